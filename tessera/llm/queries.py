@@ -7,10 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import license_scan, mixing, quality, sharding
+from . import decontam, langid, license_scan, mixing, quality, sharding
 from .common import table
 
 
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(table(spark, sf_dir, "documents"))[0]
 
@@ -29,10 +33,16 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_decontamination": op2_decontamination,
     "op5_license_scan": op5_license_scan,
     "op6_quality_rules": op6_quality_rules,
     "op7_sharding": op7_sharding,
     "op9_mixing": op9_mixing,
+    "op10_language_id": op10_language_id,
 }
 ORACLES: dict[str, str] = {}
