@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from .common import checkpointed, n_words
 
-BINS = 1 << 14
+BINS = 1 << 12
 WEIGHTS = (3, 1, 2)
 SHARE_PERCENT = 150
 #: A source is repeated at most so many times.
@@ -88,11 +88,11 @@ def mix(docs: DataFrame, keep: list[str] | None = None, split_last: bool = True,
     plan = plan.withColumn("rest", F.greatest(F.lit(0), F.round("target").cast("long") - F.col("epochs") * F.col("source_size")))
     running = Window.partitionBy("source").orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)
     before = bins.withColumn("before", F.coalesce(F.sum("words").over(running), F.lit(0)))
-    wanted = plan.select(F.col("source").alias("_p"), "rest")
+    few = F.broadcast if n_sources <= BROADCAST_SOURCES else lambda df: df
+    wanted = few(plan.select(F.col("source").alias("_p"), "rest"))
     ends = before.join(wanted, F.col("source").eqNullSafe(F.col("_p"))).where("before < rest AND rest <= before + words").select("_p", F.col("_bin").alias("end_bin"), "before")
     budget = plan.withColumnRenamed("source", "_s").join(ends, F.col("_s").eqNullSafe(F.col("_p")), "left").drop("_p")
-    budget = F.broadcast(budget) if n_sources <= BROADCAST_SOURCES else budget
-    marked = rows.join(budget, F.col("source").eqNullSafe(F.col("_s"))).drop("_s")
+    marked = rows.join(few(budget), F.col("source").eqNullSafe(F.col("_s"))).drop("_s")
     whole = marked.where("end_bin IS NULL OR _bin <> end_bin").withColumn("part", F.when(F.col("_bin") < F.col("end_bin"), F.col("size")).otherwise(F.lit(0)))
     inside = Window.partitionBy("source").orderBy("_key", "doc_id", "_h", "size").rowsBetween(Window.unboundedPreceding, -1)
     edge = marked.where("_bin = end_bin").withColumn("left", F.col("rest") - F.col("before") - F.coalesce(F.sum("size").over(inside), F.lit(0)))
