@@ -66,40 +66,67 @@ def targets(sizes: DataFrame) -> DataFrame:
     return filled.select("source", "source_size", F.when(F.col("final").isNull(), F.col("cap")).otherwise(F.least("cap", F.col("final") * F.col("weight"))).alias("target"))
 
 
-def mix(docs: DataFrame, keep: list[str] | None = None, split_last: bool = True, seed: int = SEED) -> DataFrame:
-    """doc_id, source, keep, size, source_size, target, epochs, taken of every document.
-
-    taken is the words that the mix takes, over all epochs. Where a budget ends inside a
-    document, split_last takes the words up to the budget; otherwise the document is taken
-    whole if that brings the source nearer to its target.
-    """
-    keep = [c for c in keep or [] if c not in ("doc_id", "source", "text")]
-    text_hash = F.xxhash64("text")
+def _keyed(seed: int) -> dict:
+    """Columns of a row: size, key, bin of the key, hash of the text."""
     uniform = (F.shiftrightunsigned(F.xxhash64(F.lit(seed), "doc_id"), 11) + F.lit(0.5)) / float(1 << 53)
-    rows = docs.select("doc_id", "source", *keep, n_words("text").alias("size"), quality_weight("text", n_words("text")).alias("_w"), uniform.alias("_u"), text_hash.alias("_h"))
-    rows = rows.withColumn("_key", -F.log("_u") / F.col("_w"))
-    rows = rows.withColumn("_bin", F.least(F.lit(BINS - 1), F.floor((1 - F.exp(-F.col("_key"))) * BINS)).cast("int")).drop("_u", "_w")
+    size = n_words("text")
+    key = -F.log(uniform) / quality_weight("text", size)
+    return {"size": size, "_key": key, "_bin": F.least(F.lit(BINS - 1), F.floor((1 - F.exp(-key)) * BINS)).cast("int"), "_h": F.xxhash64("text")}
+
+
+def _dealt(docs: DataFrame, keep: list[str], split_last: bool, seed: int) -> tuple[DataFrame, DataFrame, DataFrame, bool]:
+    """Rows outside and inside the bin where their source's budget ends, each with part (words of
+    the fractional epoch); the budgets; whether these are few."""
+    rows = docs.select("doc_id", "source", *keep, *[c.alias(n) for n, c in _keyed(seed).items()])
     rows = checkpointed(rows)
     bins = checkpointed(rows.groupBy("source", "_bin").agg(F.sum("size").alias("words")))
-    sizes = bins.groupBy("source").agg(F.sum("words").alias("source_size"))
-    plan = checkpointed(targets(sizes))
-    n_sources = plan.count()
+    plan = checkpointed(targets(bins.groupBy("source").agg(F.sum("words").alias("source_size"))))
+    few = plan.count() <= BROADCAST_SOURCES
+    send = F.broadcast if few else lambda df: df
     plan = plan.withColumn("epochs", F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("long"))
     plan = plan.withColumn("rest", F.greatest(F.lit(0), F.round("target").cast("long") - F.col("epochs") * F.col("source_size")))
     running = Window.partitionBy("source").orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)
     before = bins.withColumn("before", F.coalesce(F.sum("words").over(running), F.lit(0)))
-    few = F.broadcast if n_sources <= BROADCAST_SOURCES else lambda df: df
-    wanted = few(plan.select(F.col("source").alias("_p"), "rest"))
+    wanted = send(plan.select(F.col("source").alias("_p"), "rest"))
     ends = before.join(wanted, F.col("source").eqNullSafe(F.col("_p"))).where("before < rest AND rest <= before + words").select("_p", F.col("_bin").alias("end_bin"), "before")
     budget = plan.withColumnRenamed("source", "_s").join(ends, F.col("_s").eqNullSafe(F.col("_p")), "left").drop("_p")
-    marked = rows.join(few(budget), F.col("source").eqNullSafe(F.col("_s"))).drop("_s")
+    marked = rows.join(send(budget), F.col("source").eqNullSafe(F.col("_s"))).drop("_s")
     whole = marked.where("end_bin IS NULL OR _bin <> end_bin").withColumn("part", F.when(F.col("_bin") < F.col("end_bin"), F.col("size")).otherwise(F.lit(0)))
     inside = Window.partitionBy("source").orderBy("_key", "doc_id", "_h", "size").rowsBetween(Window.unboundedPreceding, -1)
     edge = marked.where("_bin = end_bin").withColumn("left", F.col("rest") - F.col("before") - F.coalesce(F.sum("size").over(inside), F.lit(0)))
     cut = F.greatest(F.lit(0), F.least("size", "left"))
     if not split_last:
-        cut = F.when(2 * cut >= F.col("size"), F.when(cut > 0, F.col("size")).otherwise(F.lit(0))).otherwise(F.lit(0))
-    edge = edge.withColumn("part", cut).drop("left")
+        cut = F.when((2 * cut >= F.col("size")) & (cut > 0), F.col("size")).otherwise(F.lit(0))
+    return whole, edge.withColumn("part", cut).drop("left"), budget, few
+
+
+def mix(docs: DataFrame, keep: list[str] | None = None, split_last: bool = True, seed: int = SEED) -> DataFrame:
+    """doc_id, source, keep, size, source_size, target, epochs, taken of every document.
+
+    taken is the words that the mix takes, over all epochs. Where a budget ends inside a
+    document, split_last takes the words up to the budget; otherwise the document is taken
+    whole if that brings the source nearer to its target.
+    """
+    keep = [c for c in keep or [] if c not in ("doc_id", "source", "text")]
+    whole, edge, _, _ = _dealt(docs, keep, split_last, seed)
     out = ["doc_id", "source", *keep, "size", "source_size", "target", "epochs"]
     taken = (F.col("epochs") * F.col("size") + F.col("part")).cast("long").alias("taken")
     return whole.select(*out, taken).unionByName(edge.select(*out, taken))
+
+
+def repeated(docs: DataFrame, seed: int = SEED) -> DataFrame:
+    """The mix itself: every row of docs as often as it is taken, whole, with the columns of docs.
+
+    The rows are dealt out where they are read, by the last key that each source takes, so
+    texts are not shuffled. Copies of the row at that place (equal id and text) are all taken.
+    """
+    _, edge, budget, few = _dealt(docs, [], False, seed)
+    own = F.struct("_key", "doc_id", "_h")
+    last = edge.where("part > 0").groupBy(F.col("source").alias("_l")).agg(F.max(own).alias("_last"))
+    budget = budget.select("_s", F.col("epochs").alias("_epochs"), F.col("end_bin").alias("_end")).join(last, F.col("_s").eqNullSafe(F.col("_l")), "left").drop("_l")
+    budget = checkpointed(budget)
+    rows = docs.withColumns({n: c for n, c in _keyed(seed).items() if n != "size"} | {"_words": n_words("text")})
+    rows = rows.join(F.broadcast(budget) if few else budget, F.col("source").eqNullSafe(F.col("_s")))
+    more = F.coalesce((F.col("_bin") < F.col("_end")) | (own <= F.col("_last")), F.lit(False)) & (F.col("_words") > 0)
+    times = F.when(F.col("_words") > 0, F.col("_epochs")).otherwise(0) + more.cast("long")
+    return rows.withColumn("_times", times.cast("int")).where("_times > 0").withColumn("_n", F.explode(F.sequence(F.lit(1), "_times"))).select(*[F.col(f"`{c}`") for c in docs.columns])

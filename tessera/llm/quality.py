@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import text as T
-from .common import checkpointed, free_name
+from .common import checkpointed
 
 ALPHA, DELTA, LOSS, GRID = 0.02, 0.05, 10, 200
 #: Largest number of strata whose cutoffs are sent to all executors; beyond it they are joined.
@@ -81,15 +81,14 @@ def count_block(b: T.Block) -> dict[str, np.ndarray]:
 
 def counts(docs: DataFrame, keep: list[str], text: str = "text") -> DataFrame:
     """Columns keep of docs and COUNTS of the text."""
-    source = docs.select(*keep, F.col(text).alias(free_name(keep, "text")))
-    names = list(keep)
+    source = docs.select(*keep) if text in keep else docs.select(*keep, text)
+    names, at = list(keep), source.columns.index(text)
 
     def run(batches):
         for batch in batches:
-            columns = batch.columns
-            for b in T.blocks(columns[-1]):
+            for b in T.blocks(batch.column(at)):
                 found = count_block(b)
-                part = batch.slice(b.rows.start, b.n).columns[:-1]
+                part = batch.slice(b.rows.start, b.n).columns[: len(names)]
                 yield pa.RecordBatch.from_arrays([*part, *(pa.array(found[c]) for c in COUNTS)], [*names, *COUNTS])
 
     schema = source.schema[: len(keep)]
@@ -168,14 +167,31 @@ def assess(docs: DataFrame, labels: DataFrame, keep: list[str] | None = None, st
     """doc_id, keep, COUNTS, base_failed, failed_rules (array of rule names) and kept of every document."""
     keep = [c for c in keep or [] if c not in ("doc_id", stratum)]
     found = counts(docs, ["doc_id", stratum, *keep])
-    found = found.withColumn("base_failed", (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words")))
-    found = checkpointed(found)
+    found = checkpointed(found.withColumn("base_failed", _base_failed()))
     cuts, strata = cutoffs(found, labels.select("doc_id", "quality"), stratum, "doc_id", alpha, delta)
     cuts = F.broadcast(cuts) if strata <= BROADCAST_STRATA else cuts
+    return _judged(found, cuts, stratum).select("doc_id", stratum, *keep, *COUNTS, "base_failed", "failed_rules", "kept")
+
+
+def _base_failed():
+    return (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
+
+
+def _judged(found: DataFrame, cuts: DataFrame, stratum: str) -> DataFrame:
     fails = F.array_compact(F.array(*[F.when(_grid(r) > F.col(f"cut_{r}"), F.lit(r)) for r in RULES]))
-    return (
-        found.join(cuts, F.col(stratum).eqNullSafe(F.col("_stratum")), "left")
-        .withColumn("failed_rules", fails)
-        .withColumn("kept", ~F.col("base_failed") & (F.size("failed_rules") == 0))
-        .select("doc_id", stratum, *keep, *COUNTS, "base_failed", "failed_rules", "kept")
-    )
+    joined = found.join(cuts, F.col(stratum).eqNullSafe(F.col("_stratum")), "left")
+    return joined.withColumn("failed_rules", fails).withColumn("kept", ~F.col("base_failed") & (F.size("failed_rules") == 0))
+
+
+def keep(docs: DataFrame, labels: DataFrame, stratum: str = "lang", alpha: float = ALPHA, delta: float = DELTA) -> DataFrame:
+    """The rows of docs that are kept, with all their columns.
+
+    A second pass counts again and filters where the text is, so texts are not shuffled.
+    """
+    small = checkpointed(counts(docs, ["doc_id", stratum]).withColumn("base_failed", _base_failed()))
+    cuts, strata = cutoffs(small, labels.select("doc_id", "quality"), stratum, "doc_id", alpha, delta)
+    cuts = F.broadcast(cuts) if strata <= BROADCAST_STRATA else cuts
+    safe = {c: f"c{i}" for i, c in enumerate(docs.columns)}  # no clash with the names of counts
+    wide = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in safe.items()])
+    found = counts(wide, list(safe.values()), safe["text"]).withColumn("base_failed", _base_failed())
+    return _judged(found, cuts, safe[stratum]).where("kept").select(*[F.col(n).alias(c) for c, n in safe.items()])
