@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, langid, license_scan, mixing, neardup, quality, sharding, suffix_dedup
+from . import chat, decontam, html_extract, langid, license_scan, mixing, neardup, quality, sharding, suffix_dedup
 from .common import table
 
 
@@ -19,6 +19,10 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(table(spark, sf_dir, "pages"))
+
+
 def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.deduplicate(table(spark, sf_dir, "documents"))
 
@@ -37,6 +41,10 @@ def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", F.col("slot").cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op8_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.repair(table(spark, sf_dir, "conversations"))
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -48,10 +56,12 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_near_dedup": op1_near_dedup,
     "op2_decontamination": op2_decontamination,
+    "op3_html_extraction": op3_html_extraction,
     "op4_suffix_dedup": op4_suffix_dedup,
     "op5_license_scan": op5_license_scan,
     "op6_quality_rules": op6_quality_rules,
     "op7_sharding": op7_sharding,
+    "op8_chat_formatting": op8_chat_formatting,
     "op9_mixing": op9_mixing,
     "op10_language_id": op10_language_id,
 }
