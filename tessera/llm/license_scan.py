@@ -21,9 +21,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import checkpointed
+
 K, GAP, COVER, STRETCH = 3, 2, 0.75, 1.5
-UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-WORD = "[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
+#: What stands between words; after lower(), which maps no other character of a phrase's words to ASCII.
+BETWEEN = "[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
 # Phrases, license notices and their labels.
 BASE = [("under the mit license", "mit"), ("apache license version 2", "apache-2"), ("cc by nc", "cc-by-nc")]
 NOTICES = [
@@ -56,22 +58,27 @@ NOTICES = [
 
 
 def words(text: str):
-    return F.regexp_extract_all(F.translate(F.col(text), UPPER, LOWER), F.lit(WORD), F.lit(0))
+    """The words, with an empty string before or after them where the text begins or ends with something else."""
+    return F.split(F.lower(F.col(text)), BETWEEN)
+
+
+def _count(array: str):
+    edge = lambda i: (F.element_at(array, i) == "").cast("int")
+    return F.when(F.size(array) > 1, F.size(array) - edge(1) - edge(-1)).otherwise(1 - edge(1))
 
 
 def templates(spark) -> DataFrame:
     """tpl, label, is_base, pos, gram, n_grams (distinct), n_tpl_words: a row a place of a template."""
     texts = [(i, label, i < len(BASE), text) for i, (text, label) in enumerate([*BASE, *NOTICES])]
     rows = spark.createDataFrame(texts, "tpl int, label string, is_base boolean, text string").withColumn("w", F.split("text", " "))
-    grams = rows.select("tpl", "label", "is_base", F.size("w").alias("n_tpl_words"), F.posexplode(_grams("w")).alias("pos", "gram"))
+    grams = rows.select("tpl", "label", "is_base", F.size("w").alias("n_tpl_words"), F.posexplode(F.slice(_grams("w"), 1, F.size("w") - K + 1)).alias("pos", "gram"))
     n = grams.groupBy("tpl").agg(F.count_distinct("gram").alias("n_grams"))
     return grams.join(n, "tpl")
 
 
 def _grams(array: str):
-    """Rolling hashes of K words."""
-    starts = F.when(F.size(array) >= K, F.sequence(F.lit(0), F.size(array) - K)).otherwise(F.array().cast("array<int>"))
-    return F.transform(starts, lambda i: F.xxhash64(*[F.get(F.col(array), i + j) for j in range(K)]))
+    """Rolling hashes of K words; those of the last places reach over the end and match nothing."""
+    return F.transform(array, lambda x, i: F.xxhash64(x, *[F.get(F.col(array), i + j) for j in range(1, K)]))
 
 
 def scan(docs: DataFrame, keep: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
@@ -82,11 +89,13 @@ def scan(docs: DataFrame, keep: list[str] | None = None) -> tuple[DataFrame, Dat
     keep = [c for c in keep or [] if c != "doc_id"]
     spark = docs.sparkSession
     text_hash = F.xxhash64("text").alias("text_hash")
-    places = docs.where("text IS NOT NULL").select("doc_id", text_hash, words("text").alias("w")).select("doc_id", "text_hash", F.posexplode(_grams("w")).alias("at", "gram"))
-    hits = places.join(F.broadcast(templates(spark)), "gram").withColumn("diagonal", F.col("at") - F.col("pos"))
+    places = docs.where("text IS NOT NULL").select("doc_id", text_hash, words("text").alias("w"))
+    places = places.select("doc_id", "text_hash", (F.get("w", F.lit(0)) == "").cast("int").alias("skip"), F.posexplode(_grams("w")).alias("at", "gram"))
+    hits = places.join(F.broadcast(templates(spark)), "gram").withColumn("at", F.col("at") - F.col("skip")).withColumn("diagonal", F.col("at") - F.col("pos"))
     votes = hits.groupBy("doc_id", "text_hash", "tpl", "label", "is_base", "n_grams", "n_tpl_words", "diagonal").agg(
         F.collect_set("gram").alias("grams"), F.min("at").alias("first"), (F.max("at") + K - 1).alias("last"), F.min("pos").alias("head"), F.max("pos").alias("tail")
     )  # at most a template's length of hits on a diagonal
+    votes = checkpointed(votes)
     full = votes.where(F.col("is_base") & (F.size("grams") == F.col("n_grams")) & (F.col("last") - F.col("first") + 1 == F.col("n_tpl_words")))
     base = full.groupBy("doc_id", "text_hash").agg(
         F.count("*").alias("n_base"), F.min("first").alias("first_word"), F.max("first").alias("last_word"), F.collect_set("label").alias("base_set")
@@ -103,8 +112,7 @@ def scan(docs: DataFrame, keep: list[str] | None = None) -> tuple[DataFrame, Dat
     method = spans.groupBy("doc_id", "text_hash").agg(F.collect_set("label").alias("own_set"), F.max("coverage").alias("best"))
     found = base.join(method, ["doc_id", "text_hash"], "full_outer")
     found = found.select(*[F.col(c).alias(f"f_{c}") for c in found.columns])
-    n = F.coalesce(F.regexp_count(F.translate("text", UPPER, LOWER), F.lit(WORD)), F.lit(0)).cast("long").alias("n_words")
-    rows = docs.select("doc_id", *keep, text_hash, n)
+    rows = docs.select("doc_id", *keep, text_hash, words("text").alias("w")).withColumn("n_words", F.coalesce(_count("w"), F.lit(0)).cast("long")).drop("w")
     none = F.array().cast("array<string>")
     base_set, own_set = F.coalesce("f_base_set", none), F.coalesce("f_own_set", none)
     joined = rows.join(found, rows["doc_id"].eqNullSafe(found["f_doc_id"]) & (rows["text_hash"] == found["f_text_hash"]), "left")
