@@ -33,7 +33,7 @@ def latest_rows(df: DataFrame, key: str, order: str) -> DataFrame:
 
 def whole_texts(spark: SparkSession, path: str) -> DataFrame:
     """path, text of each file of a glob; line ends as \\n."""
-    files = spark.read.option("wholetext", True).text(path)
+    files = spark.read.text(path, wholetext=True)
     return files.select(F.regexp_replace("_metadata.file_path", "^file:", "").alias("path"), F.regexp_replace("value", r"\r\n?", "\n").alias("text"))
 
 

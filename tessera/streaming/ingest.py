@@ -11,7 +11,7 @@ from ..operators.documents import agreements_and_events
 def agreement_stream(spark: SparkSession, pattern: str, out: str, checkpoint: str) -> None:
     """Reads files of a pattern that came since the last call; writes agreements, events and rejects
     below out, a folder a batch, so a batch that is run again replaces itself."""
-    files = spark.readStream.option("wholetext", True).text(pattern).select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("text"))
+    files = spark.readStream.text(pattern, wholetext=True).select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("text"))
 
     def write(batch: DataFrame, number: int) -> None:
         for name, table in zip(("agreements", "events", "rejects"), agreements_and_events(batch), strict=True):
