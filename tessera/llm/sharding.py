@@ -9,7 +9,7 @@ is looked at inside it; so rows are never sorted or gathered, every pass shuffle
 most nodes * 2**DIGIT sums, and the driver sees one row a node.
 
 The items are groups of equal texts, which stay together. A group over
-1 / GROUP_PART of a shard is dealt into pieces by a hash of the id first, so that one
+1 / GROUP_PART of a shard is dealt into small pieces by a hash of the id first, so that one
 hot group cannot unbalance the shards.
 
 Defined cases: a null or empty text has size 8; nulls in source or language are values
@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from .common import checkpointed, n_bytes
 
-SHARDS, GROUP_PART = 24, 8
+SHARDS, GROUP_PART, PIECES = 24, 8, 32
 #: Bits of a coordinate, of the tie-breaking hash behind it, and of one digit.
 COORDINATE, TIE, DIGIT = 24, 24, 12
 #: Rows of a shard that are numbered by one task, about.
@@ -102,8 +102,8 @@ def shard(docs: DataFrame, shards: int = SHARDS, keep: list[str] | None = None)
     groups = checkpointed(groups)
     total, n_rows = groups.agg(F.sum("bytes"), F.sum("n")).first()
     limit = max(1.0, (total or 0) / shards / GROUP_PART)
-    pieces = F.when((F.col("bytes") > limit) & (F.col("n") > 1), F.least("n", F.ceil(2 * F.col("bytes") / F.lit(limit)))).otherwise(1).cast("long").alias("pieces")
-    large = groups.select("_text", "text_crc32", "size", pieces).where("pieces > 1")  # at most 2 * shards * GROUP_PART pieces in all, so as few groups
+    pieces = F.when((F.col("bytes") > limit) & (F.col("n") > 1), F.least("n", F.ceil(PIECES * F.col("bytes") / F.lit(limit)))).otherwise(1).cast("long").alias("pieces")
+    large = groups.select("_text", "text_crc32", "size", pieces).where("pieces > 1")  # fewer than shards * GROUP_PART groups
     dealt = rows.join(F.broadcast(large), ["_text", "text_crc32", "size"], "left").withColumn("_piece", F.when(F.col("pieces").isNull(), 0).otherwise(F.pmod("_deal", "pieces")))
     same = ["_text", "text_crc32", "size", "_piece"]
     items = dealt.groupBy(*same).agg(
