@@ -136,14 +136,14 @@ def sample_hashes(data: np.ndarray, at: np.ndarray) -> np.ndarray:
     return out
 
 
-def pack_texts(docs: DataFrame) -> DataFrame:
+def pack_texts(docs: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
     """chunk, n_bytes, meta, blob."""
     source = docs.select(F.col("doc_id").cast("long"), F.xxhash64("text"), F.xxhash64(F.lit(1), "text"), F.col("text")).toDF("a", "b", "c", "text")
 
     def run(batches):
         part, n = TaskContext.get().partitionId(), 0
         for batch in batches:
-            for b in T.blocks(batch.column(3), CHUNK_BYTES):
+            for b in T.blocks(batch.column(3), chunk_bytes):
                 ids = batch.column(0).slice(b.rows.start, b.n)
                 nulls = ids.is_null().to_numpy(zero_copy_only=False)
                 keys = [batch.column(i).slice(b.rows.start, b.n).to_numpy(zero_copy_only=False).view(T.U) for i in (1, 2)]
@@ -187,7 +187,7 @@ def _cover(chunks: DataFrame, bits: int, kept: int) -> DataFrame:
     return chunks.mapInArrow(run, _FIELDS)
 
 
-def _tied_in_bucket(pdf: pd.DataFrame) -> pd.DataFrame:
+def _tied_in_bucket(pdf: pd.DataFrame, hot_chunks: int = HOT_CHUNKS) -> pd.DataFrame:
     """Of the samples of a bucket: those in several chunks, by chunk; texts that equal one of smaller id."""
     out = []
     bucket = int(pdf["bucket"].iloc[0])
@@ -200,7 +200,7 @@ def _tied_in_bucket(pdf: pd.DataFrame) -> pd.DataFrame:
         for number, v in zip(own["chunk"], values, strict=True):
             at = np.minimum(np.searchsorted(again, v), max(0, len(again) - 1))
             tied = (again[at] == v) if len(again) else np.zeros(len(v), bool)
-            many = tied & (count[at] > HOT_CHUNKS) if len(again) else tied
+            many = tied & (count[at] > hot_chunks) if len(again) else tied
             for kind, chosen in ((TIED, tied & ~many), (HOT, many)):
                 if chosen.any():
                     out.append((number, kind, bucket, _pack_sorted(v[chosen])))
@@ -382,7 +382,7 @@ def _settle_bucket(pdf: pd.DataFrame) -> pd.DataFrame:
             doc_chunk, row, place = numbers[of[gone]], row[gone].astype(np.int64), place[gone]
             order = np.argsort(doc_chunk, kind="stable")
             bounds = np.flatnonzero(np.concatenate([[True], np.diff(doc_chunk[order]) != 0])) if len(order) else np.zeros(0, int)
-            for a, b in zip(bounds, np.append(bounds[1:], len(order)), strict=True):
+            for a, b in zip(bounds, np.append(bounds[1:], len(order))[: len(bounds)], strict=True):
                 s = order[a:b]
                 x = joined_spans(row[s], place[s], place[s] + LENGTH)
                 out.append((int(doc_chunk[order[a]]), SPANS, bucket, _pack(x[0].astype(np.uint32), x[1], x[2])))
@@ -422,14 +422,14 @@ def _removed(joined: DataFrame, with_text: bool) -> DataFrame:
     return joined.mapInArrow(run, "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string" + (", kept binary" if with_text else ""))
 
 
-def deduplicate(docs: DataFrame, with_text: bool = False) -> DataFrame:
+def deduplicate(docs: DataFrame, with_text: bool = False, chunk_bytes: int = CHUNK_BYTES, bucket_bytes: int = BUCKET_BYTES, hot_chunks: int = HOT_CHUNKS) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 and, if wanted, kept (binary) of every text."""
-    chunks = checkpointed(pack_texts(docs))
+    chunks = checkpointed(pack_texts(docs, chunk_bytes))
     total = chunks.agg(F.sum("n_bytes")).first()[0] or 1
-    bits = int(np.clip(math.ceil(math.log2(max(1, total / BUCKET_BYTES))), 4, 20))
+    bits = int(np.clip(math.ceil(math.log2(max(1, total / bucket_bytes))), 4, 20))
     kept = int(np.clip(math.ceil(math.log2(total)) + 6, bits + 8, 64))
     cover = _cover(chunks.select("chunk", "meta", "blob"), bits, kept)
-    tied = cover.groupBy("bucket").applyInPandas(_tied_in_bucket, _FIELDS)
+    tied = cover.groupBy("bucket").applyInPandas(lambda pdf: _tied_in_bucket(pdf, hot_chunks), _FIELDS)
     around = _surroundings(_with(chunks, tied), bits, kept)
     spans = around.groupBy("bucket").applyInPandas(_settle_bucket, _FIELDS)
     return _removed(_with(chunks, spans), with_text)
