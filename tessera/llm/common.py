@@ -25,6 +25,18 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def measured(df: DataFrame, rows: int = 50_000) -> tuple[DataFrame, int]:
+    """checkpointed(df) in as few partitions as hold so many rows each, and its number of rows. A
+    small table is then not dealt out by very many tasks, each with files of its own."""
+    df = checkpointed(df)
+    n = df.count()
+    return df.coalesce(max(1, -(-n // rows))), n
+
+
+def compacted(df: DataFrame, rows: int = 50_000) -> DataFrame:
+    return measured(df, rows)[0]
+
+
 def parts(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -16,9 +16,9 @@ multisets overlap by SIMILARITY or more (exact weighted Jaccard, not estimated).
 Candidates share one of BANDS bands of ROWS components; at similarity 0.8 a pair is
 missed with probability 7e-5. Equal texts are one node. Within a bucket no pairs are
 made at first: its members are verified against its least member, and only where that
-leaves a bucket in several components are members outside the leader's component
-compared with those of other components, so no link that could join two components is
-left out, while a large group of alike texts costs one comparison a member.
+leaves a bucket in several components are members compared across them, after an exact
+bound on the overlap. So no link that could join two components is left out, while a
+large group of alike texts costs about one comparison a member.
 
 Defined cases: texts without a word (null, empty, only punctuation) are alone in their
 class unless equal and not empty; texts under SHINGLE words have one shingle, all their
@@ -34,12 +34,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import text as T
-from .common import checkpointed
+from .common import checkpointed, compacted, measured
 
 SHINGLE, SIMILARITY = 5, 0.8
 BANDS, ROWS = 24, 5
 SIGNATURE = BANDS * ROWS
 MAX_ROUNDS = 60
+#: Links that one task may join up into components.
+FEW_LINKS = 1_000_000
+#: Most texts that a rare token has; such a token gives RARE * (RARE - 1) / 2 pairs at most.
+RARE = 16
 _DOC_BITS = 12
 _ID = T.U((1 << (64 - _DOC_BITS)) - 1)
 _BLOCK_ROWS = 1 << _DOC_BITS
@@ -166,42 +170,57 @@ def _bag(b: T.Block) -> pa.Array:
     return _list(T.mix(x + copy * T.U(0xA24BAED4963EE407)), np.bincount(row, weights=weight, minlength=b.n).astype(np.int64))
 
 
-def components(links: DataFrame) -> DataFrame:
-    """node, label (least node of its component) of all ends of links (a, b): least labels of
-    neighbours, then of labels (pointer jumping), until nothing changes."""
+def components(links: DataFrame, n_links: int, few: int = FEW_LINKS) -> DataFrame:
+    """node, label (least node of its component) of all ends of links (a, b).
+
+    Up to few links are joined up by one task, which holds two numbers a link. More are joined up by
+    all: least labels of neighbours, then of labels (pointer jumping), until nothing changes.
+    """
+    if n_links <= few:
+        return compacted(links.select("a", "b").coalesce(1).mapInArrow(_joined_up, "node bigint, label bigint"))
     both = links.select(F.col("a").alias("u"), F.col("b").alias("v")).unionByName(links.select(F.col("b").alias("u"), F.col("a").alias("v")))
-    both = checkpointed(both)
-    label = checkpointed(both.groupBy(F.col("u").alias("node")).agg(F.least(F.min("v"), F.first("u")).alias("label")))
+    both = compacted(both)
+    label = compacted(both.groupBy(F.col("u").alias("node")).agg(F.least(F.min("v"), F.first("u")).alias("label")))
     for _ in range(MAX_ROUNDS):
         far = both.join(label.select(F.col("node").alias("v"), F.col("label").alias("far")), "v").groupBy(F.col("u").alias("node")).agg(F.min("far").alias("far"))
         nearer = label.join(far, "node").select("node", F.col("label").alias("old"), F.least("label", "far").alias("label"))
         jump = label.select(F.col("node").alias("label"), F.col("label").alias("next"))
-        new = checkpointed(nearer.join(jump, "label").select("node", F.least("label", "next").alias("label"), (F.least("label", "next") != F.col("old")).alias("moved")))
+        new = compacted(nearer.join(jump, "label").select("node", F.least("label", "next").alias("label"), (F.least("label", "next") != F.col("old")).alias("moved")))
         label = new.drop("moved")
         if new.where("moved").isEmpty():
             return label
     raise RuntimeError(f"components did not settle in {MAX_ROUNDS} rounds")
 
 
-def _verify(pairs: DataFrame, bags: DataFrame, similarity: float) -> DataFrame:
-    """a, b, similarity of the pairs that are links."""
+def _joined_up(batches):
+    """Union-find over all links of the partition."""
+    parent: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        while parent[x] != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    for batch in batches:
+        for a, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            a, b = find(parent.setdefault(a, a)), find(parent.setdefault(b, b))
+            parent[max(a, b)] = min(a, b)
+    nodes = list(parent)
+    yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array([find(x) for x in nodes], pa.int64())], ["node", "label"])
+
+
+def _verify(pairs: DataFrame, bags: DataFrame, similarity: float) -> tuple[DataFrame, int]:
+    """a, b, similarity of the pairs that are links, and their number."""
     left = bags.select(F.col("node").alias("a"), F.col("bag").alias("bag_a"))
     right = bags.select(F.col("node").alias("b"), F.col("bag").alias("bag_b"))
     both = pairs.select("a", "b").join(right, "b").join(left, "a")
     common = F.size(F.array_intersect("bag_a", "bag_b"))
     share = common / (F.size("bag_a") + F.size("bag_b") - common)
-    return checkpointed(both.select("a", "b", share.alias("similarity")).where(F.col("similarity") >= similarity))
+    return measured(both.select("a", "b", share.alias("similarity")).where(F.col("similarity") >= similarity))
 
 
-def _across(pairs: DataFrame, label: DataFrame) -> DataFrame:
-    """The pairs whose ends are in different components; a node without a link is its own."""
-    for end in ("a", "b"):
-        own = label.select(F.col("node").alias(end), F.col("label").alias(f"l_{end}"))
-        pairs = pairs.join(own, end, "left").withColumn(f"l_{end}", F.coalesce(f"l_{end}", end))
-    return pairs.where("l_a <> l_b").drop("l_a", "l_b")
-
-
-def classes(docs: DataFrame, similarity: float = SIMILARITY) -> tuple[DataFrame, DataFrame]:
+def classes(docs: DataFrame, similarity: float = SIMILARITY, few: int = FEW_LINKS) -> tuple[DataFrame, DataFrame]:
     """(doc_id, text_hash, class_id) a distinct row of id and text; and the verified links (a, b, similarity) of text hashes.
 
     class_id is the least id of the class.
@@ -213,25 +232,16 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY) -> tuple[DataFrame,
     postings = texts.select("text_hash", F.explode("bands").alias("key"))
     leaders = postings.groupBy("key").agg(F.min("text_hash").alias("a"), F.count("*").alias("n")).where("n > 1").drop("n")
     stars = postings.join(leaders, "key").where("text_hash <> a").select("key", "a", F.col("text_hash").alias("b"))
-    stars = checkpointed(stars)
-    edges = checkpointed(stars.groupBy("a", "b").agg(F.count("*").alias("n")))
+    stars = compacted(stars)
+    edges = compacted(stars.groupBy("a", "b").agg(F.count("*").alias("n")))
     nodes = edges.select(F.col("a").alias("text_hash")).union(edges.select(F.col("b").alias("text_hash"))).distinct()
     wanted = texts.join(nodes, "text_hash").select(F.col("rep").alias("doc_id"), F.col("text_hash").alias("node"))
     chosen = keyed.join(wanted, "doc_id").where("node = text_hash").select("node", "text")
-    bags = checkpointed(_per_text(chosen, _bag).withColumnRenamed("made", "bag").dropDuplicates(["node"]))
+    bags = compacted(_per_text(chosen, _bag).withColumnRenamed("made", "bag").dropDuplicates(["node"]), 2_000)
     # the leader met most often first: most members need no other comparison
     best = edges.groupBy("b").agg(F.max(F.struct("n", "a")).alias("x")).select(F.col("x.a").alias("a"), "b")
-    links = _verify(best, bags, similarity)
-    label = components(links)
-    rest = _across(edges.join(best, ["a", "b"], "left_anti").select("a", "b"), label)
-    more = _verify(rest, bags, similarity)
-    if not more.isEmpty():
-        links = links.unionByName(more)
-        label = components(links)
-    extra = _verify(_unsettled(stars, label), bags, similarity)
-    if not extra.isEmpty():
-        links = links.unionByName(extra)
-        label = components(links)
+    links, n = _verify(best, bags, similarity)
+    links, label = _settle(stars, bags, links, n, similarity, few)
     heads = texts.join(label, F.col("text_hash") == F.col("node"), "left").select("text_hash", "rep", F.coalesce("label", "text_hash").alias("label"))
     least = heads.groupBy("label").agg(F.min("rep").alias("class_id"))
     named = heads.join(least, "label").select("text_hash", "class_id")
@@ -239,19 +249,71 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY) -> tuple[DataFrame,
     return result, links
 
 
-def _unsettled(stars: DataFrame, label: DataFrame) -> DataFrame:
-    """Pairs of one bucket, in different components, that were not compared: of which one is outside the leader's component."""
-    own = label.select(F.col("node").alias("b"), F.col("label").alias("l_b"))
-    lead = label.select(F.col("node").alias("a"), F.col("label").alias("l_a"))
-    members = stars.join(own, "b", "left").join(lead, "a", "left").select("key", "b", F.coalesce("l_b", "b").alias("l_b"), F.coalesce("l_a", "a").alias("l_a"))
-    outside = checkpointed(members.where("l_b <> l_a").select("key", F.col("b").alias("x"), F.col("l_b").alias("l_x")))
-    pairs = outside.join(members, "key").where("x <> b AND l_x <> l_b")
-    return checkpointed(pairs.select(F.least("x", "b").alias("a"), F.greatest("x", "b").alias("b")).distinct())
-
+def _settle(stars: DataFrame, bags: DataFrame, links: DataFrame, n: int, similarity: float, few_links: int) -> tuple[DataFrame, DataFrame]:
+    """All links and the components. Compares across the components of each bucket that still has several, after exact bounds.
 
-def members(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    Tokens that at most RARE texts of all such buckets have are rare. First, the members of a
+    bucket are compared with the one that has the largest share of tokens that others have too,
+    which is nearest to what they have in common. Then texts that share a rare token are
+    compared: each such token gives few pairs. Other pairs overlap in common tokens alone, and
+    are compared only where each has enough of them; that rules out texts made from one by many
+    edits, and those with much of their own around one passage.
+    """
+    label = components(links, n, few_links)
+    members = _labelled(stars, label)
+    several = members.groupBy("key").agg(F.min("l").alias("lo"), F.max("l").alias("hi")).where("lo <> hi").select("key")
+    members, left = measured(members.join(several, "key").drop("l"))
+    if not left:
+        return links, label
+    own = bags.join(members.select("node").distinct(), "node")
+    tokens = own.select("node", F.explode("bag").alias("token"))
+    few = tokens.groupBy("token").agg(F.count("*").alias("n")).where(F.col("n") <= RARE)
+    rare = compacted(tokens.join(few, "token"), 500_000)
+    found = rare.groupBy("node").agg(F.count("*").alias("rare"), F.count_if(F.col("n") == 1).alias("alone"))
+    size = F.col("size")
+    info = own.select("node", F.size("bag").alias("size")).join(found, "node", "left")
+    info = info.select("node", "size", (size - F.coalesce("alone", F.lit(0))).alias("shared"), (size - F.coalesce("rare", F.lit(0))).alias("common"))
+    info = compacted(info.where(F.col("shared") >= similarity * size - 1e-6))
+    members = compacted(members.join(info, "node"))
+
+    def may_link(*bounds: str):
+        needed = (F.col("size") + F.col("size_x")) * (similarity / (1 + similarity)) - 1e-6
+        each = [F.least(c, f"{c}_x") >= needed for c in ("size", *bounds)]
+        return (F.col("l") != F.col("l_x")) & each[0] & each[-1]
+
+    def other(df: DataFrame, *keys: str) -> DataFrame:
+        return df.select(*keys, *[F.col(c).alias(f"{c}_x") for c in df.columns if c not in keys])
+
+    for kind in ("leader", "rare", "common"):
+        with_label = lambda df: df.join(label, "node", "left").withColumn("l", F.coalesce("label", "node")).drop("label")  # noqa: B023, E731
+        now = with_label(members)
+        lead = now.groupBy("key").agg(F.max(F.struct(F.col("shared") / size, "node", "l", "size", "shared", "common")).alias("x")).select("key", "x.node", "x.l", "x.size", "x.shared", "x.common")
+        if kind == "leader":
+            pairs = now.join(other(lead, "key"), "key").where(may_link("shared"))
+        elif kind == "rare":
+            own = rare.where("n > 1").drop("n").join(with_label(info), "node")
+            pairs = own.join(other(own, "token"), "token").where((F.col("node") < F.col("node_x")) & may_link("shared"))
+        else:
+            outside = now.join(lead.select("key", F.col("l").alias("lead_l")), "key").where("l <> lead_l").drop("lead_l")
+            enough = outside.where(F.col("common") >= similarity * size - 1e-6)
+            pairs = now.join(other(compacted(enough), "key"), "key").where(may_link("common"))
+        pairs = pairs.select(F.least("node", "node_x").alias("a"), F.greatest("node", "node_x").alias("b")).distinct()
+        more, n_more = _verify(pairs, bags, similarity)
+        if n_more:
+            links, n = links.unionByName(more), n + n_more
+            label = components(links, n, few_links)
+    return links, label
+
+
+def _labelled(stars: DataFrame, label: DataFrame) -> DataFrame:
+    """key, node, l of the members of each bucket, its leader among them."""
+    nodes = stars.select("key", F.col("b").alias("node")).unionByName(stars.select("key", F.col("a").alias("node")).distinct())
+    return nodes.join(label, "node", "left").select("key", "node", F.coalesce("label", "node").alias("l"))
+
+
+def members(docs: DataFrame, similarity: float = SIMILARITY, few: int = FEW_LINKS) -> DataFrame:
     """doc_id, class_id and class_size of every row of docs."""
-    found, _ = classes(docs, similarity)
+    found, _ = classes(docs, similarity, few)
     sizes = found.groupBy("class_id").agg(F.count("*").alias("class_size"))
     found = found.join(sizes, "class_id")
     found = found.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), "class_id", "class_size")
