@@ -137,8 +137,9 @@ def brute_classes(rows, similarity=0.8):
     return {texts[i][0]: texts[find(i)][0] for i in range(len(texts))}
 
 
-def test_near_duplicates(docs, rows):
-    got = neardup.members(docs.withColumn("class_id", F.lit("clash")).withColumn("node", F.lit(1)))
+@pytest.mark.parametrize("few", [0, neardup.FEW_LINKS])
+def test_near_duplicates(docs, rows, few):
+    got = neardup.members(docs.withColumn("class_id", F.lit("clash")).withColumn("node", F.lit(1)), few=few)
     want = brute_classes(rows)
     assert got.count() == len(rows)
     assert {r["doc_id"]: r["class_id"] for r in got.collect()} == want | {None: None}
@@ -150,7 +151,8 @@ def test_one_of_each_class_stays(docs, rows):
     assert sorted(str(r["doc_id"]) for r in got.collect()) == sorted(map(str, [*set(brute_classes(rows).values()), None]))
 
 
-def test_group_of_many_edits(spark):
+@pytest.mark.parametrize("few", [0, neardup.FEW_LINKS])
+def test_group_of_many_edits(spark, few):
     """A large group around one text, members with few and with many edits; links in chains."""
     r = random.Random(5)
     base = [f"w{r.randint(0, 10**6)}" for _ in range(150)]
@@ -161,7 +163,7 @@ def test_group_of_many_edits(spark):
             w[j] = f"x{i}y{j}"
         data.append((i, " ".join(w)))
     own = spark.createDataFrame([(i, t, None, None, 0) for i, t in data], SCHEMA)
-    assert {x["doc_id"]: x["class_id"] for x in neardup.members(own).collect()} == brute_classes(data)
+    assert {x["doc_id"]: x["class_id"] for x in neardup.members(own, few=few).collect()} == brute_classes(data)
 
 
 def test_signatures_estimate_weighted_jaccard():
