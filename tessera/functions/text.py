@@ -90,6 +90,16 @@ def by_record(f, kind: str):
 unescaped = by_value(lambda x: None if x is None else html.unescape(x), "string")
 
 
+def percent(part, whole, digits: int = 1) -> Column:
+    """A share as text; blank without a whole."""
+    return F.when(col(whole) != 0, F.concat(F.format_number(100.0 * col(part) / col(whole), digits), F.lit("%"))).otherwise("")
+
+
+def grouped(n) -> Column:
+    """A whole number with commas between thousands."""
+    return F.format_number(col(n).cast("bigint"), 0)
+
+
 def without_scripts(c) -> Column:
     return F.regexp_replace(col(c), r"(?is)<(script|style)[^>]*>.*?</\1>", " ")
 

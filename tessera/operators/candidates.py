@@ -68,3 +68,11 @@ def manifest(candidates: DataFrame) -> DataFrame:
 
 def to_fetch(expected: DataFrame, done: DataFrame, keys: list[str]) -> DataFrame:
     return without_done(expected, done, keys)
+
+
+def per_entity(queries: dict[str, DataFrame], forms: list[str], new: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(union of an entity's queries, one row an accession; documents that only the query named new
+    finds; accessions by cik, source and form). queries: rows with cik and the fields of a hit."""
+    union = query_union({q: df.where(F.col("form").isin(forms)) for q, df in queries.items()}, "adsh")
+    fresh = net_new(queries[new], [df for q, df in queries.items() if q != new])
+    return union, fresh, union.groupBy("cik", "source", "form").agg(F.count_distinct("adsh").alias("n"))

@@ -10,6 +10,7 @@ import html
 import re
 from html.parser import HTMLParser
 
+import yaml
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -233,19 +234,18 @@ def contract_exhibits(documents: DataFrame, prior: DataFrame | None = None) -> D
     return distinct_contents(own, "body", ["filing_date", "accession", "filename"], prior)
 
 
+_LOADER = getattr(yaml, "CSafeLoader", yaml.SafeLoader)
 _FRONT = re.compile(r"\A---\n(.*?)\n---\n", re.S)
 FRONT = "struct<fields:map<string,string>,lists:map<string,array<string>>,body:string,error:string>"
 
 
 def front_matter_of(text: str) -> dict:
-    import yaml
-
     text = text.replace("\r\n", "\n").replace("\r", "\n")
     m = _FRONT.match(text)
     if not m:
         return {"fields": {}, "lists": {}, "body": None, "error": "no front matter"}
     try:
-        own = yaml.safe_load(m[1]) or {}
+        own = yaml.load(m[1], Loader=_LOADER) or {}
     except yaml.YAMLError as e:
         return {"fields": {}, "lists": {}, "body": None, "error": str(e).split("\n")[0]}
     fields = {str(k): str(v).strip() for k, v in own.items() if v is not None and not isinstance(v, list)}

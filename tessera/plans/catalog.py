@@ -20,6 +20,7 @@ from ..operators import documents as M
 from ..operators import entities as E
 from ..operators import intervals as V
 from ..operators import relational as O
+from ..sources import readers as S
 from . import windows as W
 
 AS_OF = "2001-12-01"
@@ -341,3 +342,173 @@ def range_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Windows of days with at most 700 events where a day allows it; tests check that they cover all."""
     days = table(spark, sf_dir, "events").groupBy(F.to_date("ts").alias("day")).agg(F.count("*").alias("n"))
     return spark.createDataFrame([(a.isoformat(), b.isoformat(), int(n)) for a, b, n in W.windows_of(days, "day", "n")], "first string, last string, n long")
+
+
+# Sources: text is made of the driver's tables and read back.
+
+
+@query(f"""WITH {VIEW_HITS} SELECT adsh, primary_doc, form, file_date, len(ciks) AS n_ciks, CASE WHEN event_id % 2 = 0 THEN 'mark ' || event_id ELSE 'high ' || event_id END AS snippet FROM hits""")
+def source_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    h = hits(spark, sf_dir)
+    key = F.when(F.col("primary_doc").isNull(), F.col("adsh")).otherwise(F.concat("adsh", F.lit(":"), "primary_doc"))
+    snippet = F.when(F.col("event_id") % 2 == 0, F.concat(F.lit("mark "), F.col("event_id").cast("string")))
+    source = F.struct("ciks", "form", "file_type", "display_names", "file_date", snippet.alias("snippet"))
+    raw = h.select(F.to_json(F.struct(key.alias("_id"), source.alias("_source"), F.struct(F.concat(F.lit("high "), F.col("event_id").cast("string")).alias("text")).alias("highlight"))).alias("value"))
+    return S.hits(raw).select("adsh", "primary_doc", "form", "file_date", F.size("ciks").cast("long").alias("n_ciks"), "snippet")
+
+
+@query("""SELECT '10-K' AS form, 'CUSTOMER ' || o_custkey || '  INC' AS company, CAST(o_custkey AS VARCHAR) AS cik, strftime(o_orderdate, '%Y-%m-%d') AS "date", lpad(CAST(o_custkey AS VARCHAR), 10, '0') || '-01-' || lpad(CAST(o_orderkey AS VARCHAR), 6, '0') AS accession FROM orders WHERE o_orderstatus = 'F'""")
+def source_form_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = table(spark, sf_dir, "orders")
+    key, entity = F.col("o_orderkey").cast("string"), F.col("o_custkey").cast("string")
+    form = F.rpad(F.when(F.col("o_orderstatus") == "F", "10-K").otherwise("10-K/A"), 12, " ")
+    path = F.concat(F.lit("edgar/data/"), entity, F.lit("/"), F.lpad(entity, 10, "0"), F.lit("-01-"), F.lpad(key, 6, "0"), F.lit(".txt"))
+    return S.form_index(o.select(F.concat(form, F.lit("CUSTOMER "), entity, F.lit("  INC      "), entity, F.lit("  "), F.date_format("o_orderdate", "yyyy-MM-dd"), F.lit("  "), path).alias("value")), "10-K")
+
+
+@query("""SELECT o_orderkey AS k, 'EX-10.' || l_linenumber AS sgml_type, CAST(l_linenumber AS VARCHAR) AS sequence, 'doc' || l_partkey || '.htm' AS filename, CASE WHEN l_linenumber % 2 = 0 THEN 'PART ' || l_partkey END AS sgml_description
+ FROM orders JOIN lineitem ON l_orderkey = o_orderkey WHERE l_partkey % 5 <> 0""")
+def source_sgml(spark: SparkSession, sf_dir: str) -> DataFrame:
+    line = table(spark, sf_dir, "lineitem")
+    part, n = F.col("l_partkey").cast("string"), F.col("l_linenumber").cast("string")
+    kind = F.when(F.col("l_partkey") % 5 == 0, ".JPG").otherwise(".htm")
+    described = F.when(F.col("l_linenumber") % 2 == 0, F.concat(F.lit("<DESCRIPTION>PART "), part, F.lit("\n"))).otherwise("")
+    text = F.concat(F.lit("<DOCUMENT>\n<TYPE>EX-10."), n, F.lit("\n<SEQUENCE>"), n, F.lit("\n<FILENAME>doc"), part, kind, F.lit("\n"), described, F.lit("<TEXT>\n"))
+    envelopes = line.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.array_join(F.collect_list(text), "").alias("text")).join(table(spark, sf_dir, "orders"), "o_orderkey")  # a few lines an order
+    return S.exhibits_of(S.sgml_documents(envelopes.select(F.col("o_orderkey").alias("k"), "text"), keep=["k"]))
+
+
+@query("""SELECT lpad(CAST(o_custkey AS VARCHAR), 10, '0') AS cik, 'C' || o_custkey % 3 AS concept, o_orderstatus AS unit, strftime(o_orderdate, '%Y-%m-%d') AS "end", o_totalprice AS val, year(o_orderdate) AS fy, o_custkey % 3 > 0 AS requires_verification FROM orders""")
+def source_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Facts from JSON of units, then the preferred concept of each entity (one each here)."""
+    o = table(spark, sf_dir, "orders")
+    fact = F.struct(F.date_format("o_orderdate", "yyyy-MM-dd").alias("end"), F.col("o_totalprice").alias("val"), F.year("o_orderdate").alias("fy"))
+    units = o.groupBy("o_custkey", "o_orderstatus").agg(F.collect_list(fact).alias("facts"))  # a customer's orders
+    raw = units.groupBy("o_custkey").agg(F.map_from_entries(F.collect_list(F.struct("o_orderstatus", "facts"))).alias("units"))
+    raw = raw.select(F.to_json(F.struct(F.col("o_custkey").cast("string").alias("cik"), F.concat(F.lit("C"), (F.col("o_custkey") % 3).cast("string")).alias("tag"), "units")).alias("value"))
+    return M.preferred_facts(S.concept_facts(raw), ["C0", "C1", "C2"]).select("cik", "concept", "unit", "end", "val", "fy", "requires_verification")
+
+
+@query("""SELECT lpad(CAST(o_custkey AS VARCHAR), 10, '0') AS cik, CAST(o_orderkey AS VARCHAR) AS "accessionNumber", strftime(o_orderdate, '%Y-%m-%d') AS "filingDate", o_orderpriority AS form FROM orders""")
+def source_parallel_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = table(spark, sf_dir, "orders")
+    row = F.struct(F.col("o_orderkey").cast("string").alias("accessionNumber"), F.date_format("o_orderdate", "yyyy-MM-dd").alias("filingDate"), F.col("o_orderpriority").alias("form"))
+    own = o.groupBy(I.padded(F.col("o_custkey").cast("string")).alias("cik")).agg(F.collect_list(row).alias("r"))  # a customer's orders
+    names = ["accessionNumber", "filingDate", "form"]
+    return S.parallel_arrays(own.select("cik", *[F.col(f"r.{c}").alias(c) for c in names]), "", dict.fromkeys(names, "string"), ["cik"])
+
+
+def summaries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Agreements as files with front matter and a timeline."""
+    a = agreements(spark, sf_dir)
+    day = lambda n: F.date_format(F.date_add(F.col("creation_date").cast("date"), n), "yyyy-MM-dd")
+    key = F.col("o_orderkey").cast("string")
+    head = F.concat(F.lit("---\ntitle: Order "), key, F.lit("\nstatus: "), "status", F.lit("\ncreation-date: "), "creation_date", F.lit("\ntermination-date: "), F.coalesce("termination_date", F.lit("")), F.lit("\ntax-asset-type: ["), F.replace("flags", F.lit("|"), F.lit(", ")), F.lit("]\n---\n"))
+    body = F.concat(F.lit("# x\n- 1990-01-01: before\n## TRA Timeline\n- "), "creation_date", F.lit(": signed\n#### Later\n  - 1999-01-01: indented\n- 1999-01: month\n- "), day(30), F.lit(": paid "), key, F.lit("\n## End\n- 2020-01-01: after\n"))
+    return a.select(F.concat(F.lit("firm_"), F.lpad(key, 10, "0"), F.lit("/o_summary.qmd")).alias("path"), F.concat(head, body).alias("text"))
+
+
+@query(f"""WITH {VIEW_AGREEMENTS} SELECT 'firm_' || lpad(CAST(o_orderkey AS VARCHAR), 10, '0') AS firm_slug, lpad(CAST(o_orderkey AS VARCHAR), 10, '0') AS cik, 'TRA-' || strftime(c, '%Y-%m-%d') AS tra_id, 'Order ' || o_orderkey AS title, s AS status,
+ strftime(c, '%Y-%m-%d') AS creation_date, coalesce(strftime(t, '%Y-%m-%d'), '') AS termination_date, strftime(c + INTERVAL 30 DAY, '%Y-%m-%d') AS last_event_date, flags AS tax_asset_types FROM agreements""")
+def agreement_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return M.agreements_and_events(summaries(spark, sf_dir))[0].select("firm_slug", "cik", "tra_id", "title", "status", "creation_date", "termination_date", "last_event_date", "tax_asset_types")
+
+
+@query(f"""WITH {VIEW_AGREEMENTS} SELECT 'firm_' || lpad(CAST(o_orderkey AS VARCHAR), 10, '0') AS firm_slug, '' AS event_group, strftime(c, '%Y-%m-%d') AS "date", 'signed' AS description FROM agreements
+ UNION ALL SELECT 'firm_' || lpad(CAST(o_orderkey AS VARCHAR), 10, '0'), 'Later', strftime(c + INTERVAL 30 DAY, '%Y-%m-%d'), 'paid ' || o_orderkey FROM agreements""")
+def event_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return M.agreements_and_events(summaries(spark, sf_dir))[1].select("firm_slug", "event_group", "date", "description")
+
+
+# Functions and rules.
+
+
+@query("""WITH k AS (SELECT o_orderkey, lpad(CAST(o_orderkey AS VARCHAR), 10, '0') || '-' || lpad(CAST(o_orderkey % 100 AS VARCHAR), 2, '0') || '-000001' AS a FROM orders)
+SELECT o_orderkey, lpad(CAST(o_orderkey AS VARCHAR), 10, '0') AS padded, CAST(o_orderkey AS VARCHAR) AS bare, replace(a, '-', '') AS digits, a AS dashed, CAST(CASE WHEN o_orderkey % 100 > 70 THEN 1900 ELSE 2000 END + o_orderkey % 100 AS INTEGER) AS year,
+ o_orderkey || '/' || replace(a, '-', '') || '/d.htm' AS path, lpad(CAST(o_orderkey AS VARCHAR), 10, '0') AS key FROM k""")
+def id_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.col("o_orderkey").cast("string")
+    a = F.concat(F.lpad(k, 10, "0"), F.lit("-"), F.lpad((F.col("o_orderkey") % 100).cast("string"), 2, "0"), F.lit("-000001"))
+    return table(spark, sf_dir, "orders").select(
+        "o_orderkey", I.padded(k).alias("padded"), I.unpadded(F.lpad(k, 12, "0")).alias("bare"), I.accession_digits(a).alias("digits"), I.accession_dashed(a).alias("dashed"), I.accession_year(a).alias("year"),
+        I.archive_path(F.lpad(k, 10, "0"), a, F.lit("d.htm")).alias("path"), I.directory_key(F.concat(F.lit("x_"), F.lpad(k, 10, "0"))).alias("key"),
+    )
+
+
+@query("""WITH d AS (SELECT DISTINCT CAST(o_orderdate AS DATE) AS d FROM orders)
+SELECT strftime(d, '%Y-%m-%d') AS d, strftime(date_trunc('month', d), '%Y-%m-%d') AS first, strftime(CASE WHEN day(d) = 1 THEN d ELSE date_trunc('month', d) + INTERVAL 1 MONTH END, '%Y-%m-%d') AS next,
+ strftime(date_trunc('month', d) + INTERVAL 15 DAY, '%Y-%m-%d') AS second_half, strftime(last_day(d), '%Y-%m-%d') AS last, strftime(d + CAST(floor((DATE '2001-12-31' - d) / 2) AS INTEGER), '%Y-%m-%d') AS middle, strftime(d - 180, '%Y-%m-%d') AS lo,
+ CAST(datediff('month', d, DATE '2001-12-01') + 1 AS INTEGER) AS n_months FROM d""")
+def date_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = table(spark, sf_dir, "orders").select(D.iso_date(F.date_format("o_orderdate", "yyyy-MM-dd")).alias("d")).distinct()
+    half = D.half_months("d")[1]
+    return d.select(
+        D.iso_text("d").alias("d"), D.iso_text(D.month_start("d")).alias("first"), D.iso_text(D.next_month_start("d")).alias("next"), D.iso_text(half["lo"]).alias("second_half"), D.iso_text(half["hi"]).alias("last"),
+        D.iso_text(D.midpoint("d", F.lit("2001-12-31").cast("date"))).alias("middle"), D.iso_text(D.around("d", 180)["lo"]).alias("lo"), F.size(D.months(D.month_start("d"), F.lit("2001-12-01").cast("date"))).alias("n_months"),
+    )
+
+
+@query(r"""WITH d AS (SELECT doc_id, list_filter(regexp_split_to_array(trim(text), '[ \t\n\x0B\f\r]+'), lambda x: x <> '') AS w, text FROM documents)
+SELECT doc_id, CAST(len(w) AS INTEGER) AS n_words, CAST(len(list_filter(w, lambda x: regexp_matches(x, '^\p{Lu}'))) AS INTEGER) AS n_capital, coalesce(nullif(regexp_extract(text, '(?i)([a-z]+) license', 1), ''), '-') AS before, sha256(text) AS hash FROM d""")
+def text_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    own = X.words("text")
+    return table(spark, sf_dir, "documents").select(
+        "doc_id", F.size(own).alias("n_words"), F.round(X.capital_share("text") * F.size(own)).cast("int").alias("n_capital"), F.coalesce(X.first_group("text", "(?i)([a-z]+) license"), F.lit("-")).alias("before"), F.sha2("text", 256).alias("hash")
+    )
+
+
+def contracts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts as contract texts of several kinds."""
+    name = F.lit("Tax Receivable Agreement ")
+    k = F.col("p_partkey")
+    body = F.concat(
+        F.when(k % 7 == 0, "Credit Agreement ").when(k % 7 == 1, "FORM 10-K ").when(k % 7 == 2, "Amendment No. 3 to ").when(k % 7 == 3, "NOTICE OF TERMINATION ").otherwise("This "), name, F.when(k % 2 == 0, "WHEREAS ").otherwise(""), F.when(k % 3 == 0, name).otherwise(""), name,
+        F.when(k % 5 == 0, "ARTICLE I ").otherwise(""), F.repeat(F.lit("word "), F.when(k % 4 == 0, 300).otherwise(3)), F.when(k % 11 == 0, "IN WITNESS WHEREOF").otherwise(""),
+    )
+    return table(spark, sf_dir, "part").select("p_partkey", body.alias("text"))
+
+
+@query("""SELECT p_partkey, p_partkey % 7 <> 0 AND (p_partkey % 2 = 0 OR p_partkey % 5 = 0 OR p_partkey % 11 = 0) AND p_partkey % 3 = 0 AS by_title, CAST(CASE WHEN p_partkey % 7 = 0 THEN 0 WHEN p_partkey % 3 = 0 THEN 3 ELSE 2 END AS BIGINT) AS n_mentions,
+ p_partkey % 7 > 3 AND p_partkey % 5 = 0 AND p_partkey % 4 = 0 AS by_preamble, CASE p_partkey % 7 WHEN 2 THEN 'amendment_3' WHEN 3 THEN 'termination' ELSE 'original' END AS kind, p_partkey % 11 = 0 AS executed FROM part""")
+def contract_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    v = R.contract_by_title("text")
+    return contracts(spark, sf_dir).select("p_partkey", v["is_contract"].alias("by_title"), v["n_mentions"].alias("n_mentions"), R.contract_by_preamble("text").alias("by_preamble"), R.document_kind("text").alias("kind"), R.executed("text").alias("executed"))
+
+
+@query("""SELECT c_custkey, CASE c_custkey % 3 WHEN 0 THEN 'in_force' WHEN 1 THEN 'terminated_by_buyout' ELSE '' END AS status_flag, CASE WHEN c_custkey % 3 = 1 THEN '2015-03-04' ELSE '' END AS date_terminated,
+ CASE WHEN c_custkey % 4 = 0 THEN '50%' ELSE '85%' END AS payment_pct, CASE WHEN c_custkey % 2 = 0 THEN 'amt_credit, section_754_step_up' ELSE 'amt_credit' END AS tax_asset_type, CASE WHEN c_custkey % 5 = 0 THEN 'beneficiary' ELSE 'pubco' END AS role,
+ 'TRA-2010-01-02' AS tra_id, '2010-01-02' AS date_executed, 'Alpha LP; Zed LLC' AS counterparties FROM customer""")
+def firm_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.col("c_custkey")
+    log = F.concat(
+        F.lit("# Firm (F)\nTRA-2010-01-02\n\nFirm role\n"), F.when(k % 5 == 0, "Role: beneficiary").otherwise("It is the public company."), F.lit("\n\nBeneficiaries\n- Zed LLC\n- Alpha LP\n\n85% of savings; AMT credit. "),
+        F.when(k % 3 == 0, "`in_force`").when(k % 3 == 1, "`terminated_by_buyout` on 2015-03-04, terminated_by_buyout effective 2015-03-04").otherwise(""), F.when(k % 4 == 0, " replaces percent (85%) with percent (50%)").otherwise(""), F.when(k % 2 == 0, " Section 754").otherwise(""),
+    )
+    logs = table(spark, sf_dir, "customer").select(F.concat(F.lit("firm_"), k.cast("string")).alias("directory"), log.alias("text"))
+    return M.firm_summary(logs).select(F.col("cik").cast("long").alias("c_custkey"), "status_flag", "date_terminated", "payment_pct", "tax_asset_type", "role", "tra_id", "date_executed", "counterparties")
+
+
+@query(f"""WITH {VIEW_HITS}, f AS (SELECT ciks[1] AS cik, adsh || event_id AS accession, CASE WHEN form = '424B3' THEN 'DEF 14A' WHEN form = '6-K' THEN 'S-1/A' ELSE form END AS form, file_date AS filing_date FROM hits),
+r AS (SELECT *, row_number() OVER (PARTITION BY cik ORDER BY filing_date, accession) AS n FROM f WHERE form IN ('S-1', 'S-1/A'))
+SELECT cik, accession, form, filing_date, form AS bucket FROM f WHERE form IN ('10-K', '8-K', 'DEF 14A') UNION ALL SELECT cik, accession, form, filing_date, 'S-1' FROM r WHERE n = 1""")
+def filing_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    form = F.when(F.col("form") == "424B3", "DEF 14A").when(F.col("form") == "6-K", "S-1/A").otherwise(F.col("form"))
+    own = hits(spark, sf_dir).select(F.get("ciks", F.lit(0)).alias("cik"), F.concat("adsh", F.col("event_id").cast("string")).alias("accession"), form.alias("form"), F.col("file_date").alias("filing_date"))
+    return M.filing_list(own)
+
+
+@query("""WITH i AS (SELECT l_orderkey AS accession, CASE l_linenumber % 4 WHEN 0 THEN 'ex-' || l_linenumber || '.htm' WHEN 1 THEN 'main' || l_linenumber || '.htm' WHEN 2 THEN 'x-index.html' ELSE 'p.gif' END AS name, CAST(l_quantity AS BIGINT) AS size FROM lineitem)
+SELECT CAST(accession AS VARCHAR) AS accession, coalesce(arg_max(name, (size, name)) FILTER (name LIKE 'main%'), arg_max(name, (size, name)) FILTER (name LIKE 'ex-%')) AS primary_doc, coalesce(string_agg(DISTINCT name, '|' ORDER BY name) FILTER (name LIKE 'ex-%'), '') AS exhibits FROM i GROUP BY 1""")
+def primary_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    n = F.col("l_linenumber")
+    name = F.when(n % 4 == 0, F.concat(F.lit("ex-"), n.cast("string"), F.lit(".htm"))).when(n % 4 == 1, F.concat(F.lit("main"), n.cast("string"), F.lit(".htm"))).when(n % 4 == 2, "x-index.html").otherwise("p.gif")
+    index = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").cast("string").alias("accession"), name.alias("name"), F.col("l_quantity").cast("bigint").cast("string").alias("size"))
+    return M.primary_document(index).select("accession", "primary_doc", F.array_join("exhibits", "|").alias("exhibits"))
+
+
+@query(f"""WITH {VIEW_HITS} SELECT cik, coalesce(min(CASE WHEN query = 'phrase' THEN query END), 'token') AS source, count(DISTINCT adsh) AS n FROM (SELECT r.cik, f.query, r.adsh FROM rows_ r JOIN (SELECT adsh, min(query) AS query FROM rows_ WHERE form IN {in_list(R.TYPICAL_FORMS)} GROUP BY adsh) f USING (adsh) WHERE r.form IN {in_list(R.TYPICAL_FORMS)} AND r.query = f.query) GROUP BY cik, query""")
+def entity_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Accessions of each entity by the first query that finds them."""
+    rows = hits(spark, sf_dir).select(F.explode("ciks").alias("cik"), "adsh", "form", "file_date", "query").where(F.col("form").isin(R.TYPICAL_FORMS))
+    first = rows.groupBy("adsh").agg(F.min("query").alias("source"))
+    return rows.join(first, "adsh").where("query = source").groupBy("cik", "source").agg(F.count_distinct("adsh").alias("n"))
