@@ -264,3 +264,11 @@ def test_contents_are_written_once(spark, tmp_path):
     K.contents(spark.createDataFrame([("a/b.txt", "one")], "path string, content string"), str(tmp_path))
     K.contents(spark.createDataFrame([("a/b.txt", "two")], "path string, content string"), str(tmp_path))
     assert (tmp_path / "a/b.txt").read_text() == "one"
+
+
+def test_grouping_and_percentages(spark):
+    docs = spark.createDataFrame([("a", "2.htm", "original"), ("a", "1.htm", "amendment_1"), ("b", "3.htm", "original")], "accession string, filename string, kind string")
+    got = {r["accession"]: r for r in M.grouped_by_filing(docs).collect()}
+    assert [d["filename"] for d in got["a"]["documents"]] == ["1.htm", "2.htm"] and got["a"]["n_original"] == 1
+    row = spark.range(1).select(X.percent(F.lit(1), F.lit(8)), X.percent(F.lit(1), F.lit(0)), X.grouped(F.lit(1234567))).first()
+    assert tuple(row) == ("12.5%", "", "1,234,567")
