@@ -34,6 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
+from . import text as T
 from .common import checkpointed, parts
 
 START, SYSTEM, USER, ASSISTANT = range(4)
@@ -181,7 +182,7 @@ def _open_fragments(placed: DataFrame, make, schema: dict):
                 out = make(f.rows[0][1], f, [_code(r[0]) for r in f.rows])
                 yield pa.RecordBatch.from_pylist([{"part": f.rows[0][1], "first": f.first, "last": f.last, "conv": None if f.conv is None else str(f.conv), **out}], fields)
 
-    found = source.mapInArrow(run, f"part int, first boolean, last boolean, conv string, {columns}").collect()  # at most two rows a partition
+    found = source.mapInArrow(T.tidy(run), f"part int, first boolean, last boolean, conv string, {columns}").collect()  # at most two rows a partition
     return sorted(found, key=lambda r: (r["part"], not r["first"]))
 
 
@@ -273,4 +274,4 @@ def repair(turns: DataFrame) -> DataFrame:
     schema = source.select("conv_id", "turn").schema.add("position", "long").add("role", "string").add("new_role", "string").add("action", "string").add("message", "long").add("cost", "long").add("piece", "string")
     names = schema.names
     types = [to_arrow_type(f.dataType) for f in schema]
-    return source.mapInArrow(run, schema)
+    return source.mapInArrow(T.tidy(run), schema)

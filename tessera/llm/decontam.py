@@ -230,7 +230,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, keep: list[str] | None =
                         rest = (pa.array([r[2] for r in found], pa.int64()), pa.array([r[3] for r in found], pa.int64()), pa.array([r[4] for r in found]), pa.array([r[5] for r in found], pa.list_(pa.string())))
                         yield pa.RecordBatch.from_arrays([*part, item, *rest], [*keep, "item_id", "n_windows", "n_matched", "share", "substitutions"])
 
-        found = source.mapInArrow(run, schema)
+        found = source.mapInArrow(T.tidy(run), schema)
         out = found if out is None else out.unionByName(found)
     return docs.sparkSession.createDataFrame([], schema) if out is None else out
 
@@ -249,5 +249,5 @@ def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
                         bad[b.rows.start + r[0]] = True
                 yield batch.filter(pa.array(~bad))
 
-        docs = docs.mapInArrow(run, docs.schema)
+        docs = docs.mapInArrow(T.tidy(run), docs.schema)
     return docs

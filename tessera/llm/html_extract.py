@@ -31,6 +31,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from . import text as T
+
 LABELLED_PAGES = 600
 C, B, M = range(3)
 # Element names of the HTML standard.
@@ -393,4 +395,4 @@ def extract(pages: DataFrame, keep: list[str] | None = None) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array(texts, pa.string()), pa.array([len(x) for x in texts], pa.int64())], [*keep, "text", "n_chars"])
 
     schema = source.schema[: len(keep)].add("text", "string").add("n_chars", "long")
-    return source.mapInArrow(run, schema)
+    return source.mapInArrow(T.tidy(run), schema)

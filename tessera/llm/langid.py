@@ -114,7 +114,7 @@ def train(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Model | None:
                 bits = np.packbits(presence(b), axis=1)
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array([r.tobytes() for r in bits], pa.binary())], ["lang", "order", "bits"])
 
-    rows = sorted(sample.mapInArrow(run, "lang string, order double, bits binary").collect(), key=lambda r: (r["lang"], r["order"], r["bits"]))  # the bounded sample
+    rows = sorted(sample.mapInArrow(T.tidy(run), "lang string, order double, bits binary").collect(), key=lambda r: (r["lang"], r["order"], r["bits"]))  # the bounded sample
     taken: dict[str, int] = {}
     kept = []
     for r in rows:
@@ -162,7 +162,7 @@ def predict(docs: DataFrame, model: Model | None, keep: list[str], text: str = "
                 yield pa.RecordBatch.from_arrays([*part, pa.array(names[best], pa.string()), pa.array(score)], [*keep, "lang_pred", "score"])
 
     schema = source.schema[: len(keep)].add("lang_pred", "string").add("score", "double")
-    return source.mapInArrow(run, schema)
+    return source.mapInArrow(T.tidy(run), schema)
 
 
 def identify(docs: DataFrame) -> DataFrame:

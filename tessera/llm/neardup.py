@@ -123,7 +123,7 @@ def signatures(hashes: np.ndarray, weight: np.ndarray, row: np.ndarray, n: int,
         todo, factor = left, factor * 2
 
 
-def _row_blocks(column, limit: int = T.BLOCK_BYTES):
+def _row_blocks(column, limit: int = 2 << 20):
     for b in T.blocks(column, limit):
         for lo in range(0, b.n, _BLOCK_ROWS):
             hi = min(b.n, lo + _BLOCK_ROWS)
@@ -148,7 +148,7 @@ def _per_text(source: DataFrame, make) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([*part, make(b)], [*names, "made"])
 
     schema = source.schema[:-1]
-    return source.mapInArrow(run, ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schema) + ", made array<bigint>")
+    return source.mapInArrow(T.tidy(run), ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schema) + ", made array<bigint>")
 
 
 def _bands(b: T.Block) -> pa.Array:
@@ -312,13 +312,11 @@ def _labelled(stars: DataFrame, label: DataFrame) -> DataFrame:
 
 
 def members(docs: DataFrame, similarity: float = SIMILARITY, few: int = FEW_LINKS) -> DataFrame:
-    """doc_id, class_id and class_size of every row of docs."""
+    """doc_id, class_id of every row of docs."""
     found, _ = classes(docs, similarity, few)
-    sizes = found.groupBy("class_id").agg(F.count("*").alias("class_size"))
-    found = found.join(sizes, "class_id")
-    found = found.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), "class_id", "class_size")
+    found = found.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), "class_id")
     rows = docs.select("doc_id", F.xxhash64("text").alias("text_hash"))
-    return rows.join(found, (F.col("doc_id") == F.col("_id")) & (F.col("text_hash") == F.col("_hash")), "left").select("doc_id", "class_id", F.coalesce("class_size", F.lit(1)).alias("class_size"))
+    return rows.join(found, (F.col("doc_id") == F.col("_id")) & (F.col("text_hash") == F.col("_hash")), "left").select("doc_id", "class_id")
 
 
 def keep_one(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:

@@ -94,7 +94,7 @@ def counts(docs: DataFrame, keep: list[str], text: str = "text") -> DataFrame:
     schema = source.schema[: len(keep)]
     for c in COUNTS:
         schema = schema.add(c, "long")
-    return source.mapInArrow(run, schema)
+    return source.mapInArrow(T.tidy(run), schema)
 
 
 def binomial_tail(k: int, n: int, p: float) -> float:

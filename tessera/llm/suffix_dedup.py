@@ -152,7 +152,7 @@ def pack_texts(docs: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
                 yield pa.RecordBatch.from_pydict({"chunk": pa.array([(part << 32) | n], pa.int64()), "n_bytes": pa.array([len(b.data)], pa.int64()), "meta": pa.array([meta], pa.binary()), "blob": pa.array([blob], pa.binary())})
                 n += 1
 
-    return source.mapInArrow(run, "chunk bigint, n_bytes bigint, meta binary, blob binary")
+    return source.mapInArrow(T.tidy(run), "chunk bigint, n_bytes bigint, meta binary, blob binary")
 
 
 def _rows(found: list[tuple]):
@@ -184,7 +184,7 @@ def _cover(chunks: DataFrame, bits: int, kept: int) -> DataFrame:
                 if found:
                     yield _rows(found)
 
-    return chunks.mapInArrow(run, _FIELDS)
+    return chunks.mapInArrow(T.tidy(run), _FIELDS)
 
 
 def _tied_in_bucket(pdf: pd.DataFrame, hot_chunks: int = HOT_CHUNKS) -> pd.DataFrame:
@@ -231,7 +231,7 @@ def _surroundings(joined: DataFrame, bits: int, kept: int) -> DataFrame:
                 if rows:
                     yield _rows(rows)
 
-    return joined.mapInArrow(run, _FIELDS)
+    return joined.mapInArrow(T.tidy(run), _FIELDS)
 
 
 def _first_of_equal(keys: np.ndarray, ids: np.ndarray, rows: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -419,7 +419,7 @@ def _removed(joined: DataFrame, with_text: bool) -> DataFrame:
                 out = {"doc_id": pa.array(c.ids, mask=c.nulls), "n_bytes": pa.array(size), "n_removed": pa.array(lost), "n_spans": pa.array(spans), "kept_sha256": pa.array(hashes, pa.string())}
                 yield pa.RecordBatch.from_pydict(out | ({"kept": pa.array(kept, pa.binary())} if with_text else {}))
 
-    return joined.mapInArrow(run, "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string" + (", kept binary" if with_text else ""))
+    return joined.mapInArrow(T.tidy(run), "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string" + (", kept binary" if with_text else ""))
 
 
 def deduplicate(docs: DataFrame, with_text: bool = False, chunk_bytes: int = CHUNK_BYTES, bucket_bytes: int = BUCKET_BYTES, hot_chunks: int = HOT_CHUNKS) -> DataFrame:

@@ -8,14 +8,15 @@ of its own, and no text is cut.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-BLOCK_BYTES = 2 << 20
+BLOCK_BYTES = 1 << 20
 U = np.uint64
 _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_BASE, -1, 1 << 64)
@@ -161,3 +162,19 @@ def row_sums(flags: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     total = np.zeros(len(flags) + 1, np.int64)
     np.cumsum(flags, out=total[1:])
     return total[offsets[1:]] - total[offsets[:-1]]
+
+
+def tidy(run: Callable) -> Callable:
+    """run over a partition's batches, after which the worker, which may stay idle for a while, gives
+    its free memory back to the system."""
+
+    def wrapped(batches):
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            library = ctypes.CDLL(None)
+            if hasattr(library, "malloc_trim"):
+                library.malloc_trim(0)
+
+    return wrapped
