@@ -179,7 +179,7 @@ def _cover(chunks: DataFrame, bits: int, kept: int) -> DataFrame:
                 shift = T.U(64 - kept)
                 found = [(number, TIED, int(i), _pack_sorted(values[lo:hi])) for i, lo, hi in _by_bucket(values << shift, bits)]
                 own = np.flatnonzero(~local)
-                own = own[np.argsort(c.keys[0][own], kind="stable")]
+                own = own[np.argsort(c.keys[0][own])]
                 found += [(number, COPIES, int(i), _pack(c.keys[0][own[lo:hi]], c.keys[1][own[lo:hi]], c.ids[own[lo:hi]], own[lo:hi].astype(np.uint32))) for i, lo, hi in _by_bucket(c.keys[0][own], bits)]
                 if found:
                     yield _rows(found)
@@ -291,12 +291,12 @@ def _around(number: int, c: Chunk, found: list[dict], bits: int, kept: int) -> l
                 settled, more = _first_of_equal(key, c.ids[rows], rows, place)
                 spans.append((rows[settled], place[settled], place[settled] + LENGTH))
                 rows, key, place = rows[more], key[more], place[more]
-                order = np.argsort(key, kind="stable")
+                order = np.argsort(key)
                 for i, a, b in _by_bucket(key[order], bits):
                     s = order[a:b]
                     out.append((number, SUFFIXES, int(i), _pack(key[s], c.ids[rows[s]], rows[s].astype(np.uint32), place[s])))
             else:
-                order = np.argsort(hashes[own], kind="stable")
+                order = np.argsort(hashes[own])
                 for i, a, b in _by_bucket(hashes[own][order], bits):
                     s = order[a:b]
                     length = hi[s] - lo[s]
@@ -336,36 +336,35 @@ def _settle_bucket(pdf: pd.DataFrame) -> pd.DataFrame:
     kinds = pdf["kind"].to_numpy()
     bucket = int(pdf["bucket"].iloc[0])
     out = [(int(numbers[i]), SPANS, bucket, pdf["payload"].iloc[i]) for i in np.flatnonzero(kinds == SPANS)]
-    keys, ids, chunk, rows, places = [], [], [], [], []
+    keys, contexts = [], []  # contexts: number of suffixes, id, row, first place, payload; suffixes of one follow each other
     for i in np.flatnonzero(kinds == TIED):
         doc, row, lo, length, body = _unpack(pdf["payload"].iloc[i], np.int64, np.uint32, np.int64, np.uint8, np.uint8)
         length = length.astype(np.int64)
         n = length - LENGTH + 1
-        base = np.cumsum(length) - length
-        within = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-        start = np.repeat(base, n) + within
-        for a in range(0, len(start), 1 << 20):  # hashes by parts: sample texts overlap no further than their own length
+        start = np.arange(n.sum()) + np.repeat(np.cumsum(length) - length - (np.cumsum(n) - n), n)
+        for a in range(0, len(start), 1 << 20):
             part = start[a : a + (1 << 20)]
             first, last = int(part[0]), int(part[-1]) + LENGTH
             keys.append(T.span_hashes(body[first:last], part - first, part - first + LENGTH))
-        ids.append(np.repeat(doc, n))
-        rows.append(np.repeat(row, n))
-        places.append(np.repeat(lo, n) + within)
-        chunk.append(np.full(len(start), i))
+        contexts.append((n, doc, row, lo, np.full(len(n), i)))
     for i in np.flatnonzero(kinds == SUFFIXES):
         key, doc, row, place = _unpack(pdf["payload"].iloc[i], T.U, np.int64, np.uint32, np.int64)
-        keys.append(key), ids.append(doc), rows.append(row), places.append(place), chunk.append(np.full(len(key), i))
+        keys.append(key)
+        contexts.append((np.ones(len(key), np.int64), doc, row, place, np.full(len(key), i)))
     if keys:
         key = np.concatenate(keys)
-        order = np.argsort(key, kind="stable")
+        n, doc, row, lo, of = (np.concatenate(x) for x in zip(*contexts, strict=True))
+        context = np.repeat(np.arange(len(n), dtype=np.int32), n)
+        order = np.argsort(key)
         k = key[order]
         same = k[1:] == k[:-1]
         multiple = np.zeros(len(k), bool)
         multiple[1:] |= same
         multiple[:-1] |= same
-        order = order[multiple]
-        doc, row, place, of = (np.concatenate(x)[order] for x in (ids, rows, places, chunk))
-        k = k[multiple]
+        order, k = order[multiple], k[multiple]
+        own = context[order]
+        place = lo[own] + order - (np.cumsum(n) - n)[own]
+        doc, row, of = doc[own], row[own], of[own]
         if len(k):
             start = np.flatnonzero(np.concatenate([[True], k[1:] != k[:-1]]))
             group = np.repeat(np.arange(len(start)), np.diff(np.append(start, len(k))))

@@ -142,8 +142,8 @@ def windows(hashes: np.ndarray, rows: np.ndarray, k: int) -> tuple[np.ndarray, n
 
 
 def repeated(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """For each key: does an equal one stand before it; is there an equal one at all."""
-    order = np.argsort(keys, kind="stable")
+    """For each key: is it one of equal keys but the one that is kept; is there an equal one at all."""
+    order = np.argsort(keys)
     same = keys[order][1:] == keys[order][:-1]
     later, any_ = np.zeros(len(keys), bool), np.zeros(len(keys), bool)
     later[order[1:]] = same
