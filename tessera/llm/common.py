@@ -41,6 +41,11 @@ def parts(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def kept(keep, *own: str) -> list[str]:
+    """Columns to carry along: not those whose names are the result's own, which win."""
+    return [c for c in keep or [] if c not in own]
+
+
 def free_name(taken, name: str) -> str:
     while name in taken:
         name = f"_{name}"

@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType
 
 from . import text as T
+from .common import free_name, kept
 
 WINDOW, MIN_LITERALS, MIN_SHARE, BAND = 5, 3, 0.5, 4
 #: Bytes of benchmark text that are sent to the executors at once.
@@ -210,8 +211,8 @@ def query_blocks(benchmark: DataFrame, item_id: str = "item_id", text: str = "te
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, keep: list[str] | None = None) -> DataFrame:
     """doc_id, keep, item_id, n_windows, n_matched, share, substitutions: a row a contaminated document and item."""
-    keep = ["doc_id", *(c for c in keep or [] if c != "doc_id")]
-    source = docs.select(*keep, F.col("text").alias("_text"))
+    keep = ["doc_id", *kept(keep, "doc_id", "item_id", "n_windows", "n_matched", "share", "substitutions")]
+    source = docs.select(*keep, F.col("text").alias(free_name(keep, "_text")))
     item_type = benchmark.schema["item_id"].dataType
     schema = source.schema[: len(keep)].add("item_id", item_type).add("n_windows", "long").add("n_matched", "long").add("share", "double").add("substitutions", ArrayType(StringType()))
     out = None

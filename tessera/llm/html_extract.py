@@ -32,6 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import text as T
+from .common import kept
 
 LABELLED_PAGES = 600
 C, B, M = range(3)
@@ -382,7 +383,7 @@ def labelled_pages(n: int = LABELLED_PAGES, seed: int = 0) -> list[str]:
 
 def extract(pages: DataFrame, keep: list[str] | None = None) -> DataFrame:
     """page_id, keep, text and n_chars of every page."""
-    keep = ["page_id", *(c for c in (["url"] if keep is None else keep) if c not in ("page_id", "html"))]
+    keep = ["page_id", *kept(["url"] if keep is None else keep, "page_id", "html", "text", "n_chars")]
     source = pages.select(*keep, F.col("html").alias("_html"))
     shared = pages.sparkSession.sparkContext.broadcast(train(labelled_pages()))
 

@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import text as T
+from .common import free_name
 
 ORDERS, FEATURES_LOG2 = (1, 2, 3), 15
 FEATURES = 1 << FEATURES_LOG2
@@ -143,7 +144,7 @@ def has_letter(b: T.Block) -> np.ndarray:
 
 def predict(docs: DataFrame, model: Model | None, keep: list[str], text: str = "text") -> DataFrame:
     """Columns keep, lang_pred and score of every row."""
-    source = docs.select(*keep, F.col(text).alias("_text"))
+    source = docs.select(*keep, F.col(text).alias(free_name(keep, "_text")))
     if model is None:
         return docs.select(*keep, F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"))
     shared = docs.sparkSession.sparkContext.broadcast(tuple(model))  # FEATURES floats a language

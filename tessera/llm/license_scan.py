@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import checkpointed
+from .common import checkpointed, kept
 
 K, GAP, COVER, STRETCH = 3, 2, 0.75, 1.5
 #: What stands between words; after lower(), which maps no other character of a phrase's words to ASCII.
@@ -86,7 +86,7 @@ def scan(docs: DataFrame, keep: list[str] | None = None) -> tuple[DataFrame, Dat
 
     Also the verified spans: doc_id, text_hash, label, template, first_word, last_word, votes, coverage.
     """
-    keep = [c for c in keep or [] if c != "doc_id"]
+    keep = kept(keep, "doc_id", "text_hash", "w", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
     spark = docs.sparkSession
     text_hash = F.xxhash64("text").alias("text_hash")
     places = docs.where("text IS NOT NULL").select("doc_id", text_hash, words("text").alias("w"))

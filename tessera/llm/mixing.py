@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import checkpointed, n_words
+from .common import checkpointed, kept, n_words
 
 BINS = 1 << 12
 WEIGHTS = (3, 1, 2)
@@ -107,7 +107,7 @@ def mix(docs: DataFrame, keep: list[str] | None = None, split_last: bool = True,
     document, split_last takes the words up to the budget; otherwise the document is taken
     whole if that brings the source nearer to its target.
     """
-    keep = [c for c in keep or [] if c not in ("doc_id", "source", "text")]
+    keep = kept(keep, "doc_id", "source", "text", "size", "source_size", "target", "epochs", "taken")
     whole, edge, _, _ = _dealt(docs, keep, split_last, seed)
     out = ["doc_id", "source", *keep, "size", "source_size", "target", "epochs"]
     taken = (F.col("epochs") * F.col("size") + F.col("part")).cast("long").alias("taken")
@@ -120,6 +120,8 @@ def repeated(docs: DataFrame, seed: int = SEED) -> DataFrame:
     The rows are dealt out where they are read, by the last key that each source takes, so
     texts are not shuffled. Copies of the row at that place (equal id and text) are all taken.
     """
+    names = {c: c if c in ("doc_id", "source", "text") else f"c{i}" for i, c in enumerate(docs.columns)}  # no clash with names in here
+    docs = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in names.items()])
     _, edge, budget, few = _dealt(docs, [], False, seed)
     own = F.struct("_key", "doc_id", "_h")
     last = edge.where("part > 0").groupBy(F.col("source").alias("_l")).agg(F.max(own).alias("_last"))
@@ -129,4 +131,4 @@ def repeated(docs: DataFrame, seed: int = SEED) -> DataFrame:
     rows = rows.join(F.broadcast(budget) if few else budget, F.col("source").eqNullSafe(F.col("_s")))
     more = F.coalesce((F.col("_bin") < F.col("_end")) | (own <= F.col("_last")), F.lit(False)) & (F.col("_words") > 0)
     times = F.when(F.col("_words") > 0, F.col("_epochs")).otherwise(0) + more.cast("long")
-    return rows.withColumn("_times", times.cast("int")).where("_times > 0").withColumn("_n", F.explode(F.sequence(F.lit(1), "_times"))).select(*[F.col(f"`{c}`") for c in docs.columns])
+    return rows.withColumn("_times", times.cast("int")).where("_times > 0").withColumn("_n", F.explode(F.sequence(F.lit(1), "_times"))).select(*[F.col(n).alias(c) for c, n in names.items()])

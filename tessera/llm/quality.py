@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import text as T
-from .common import checkpointed
+from .common import checkpointed, kept
 
 ALPHA, DELTA, LOSS, GRID = 0.02, 0.05, 10, 200
 #: Largest number of strata whose cutoffs are sent to all executors; beyond it they are joined.
@@ -165,7 +165,7 @@ def cutoffs(found: DataFrame, labels: DataFrame, stratum: str, doc_id: str, alph
 
 def assess(docs: DataFrame, labels: DataFrame, keep: list[str] | None = None, stratum: str = "lang", alpha: float = ALPHA, delta: float = DELTA) -> DataFrame:
     """doc_id, keep, COUNTS, base_failed, failed_rules (array of rule names) and kept of every document."""
-    keep = [c for c in keep or [] if c not in ("doc_id", stratum)]
+    keep = kept(keep, "doc_id", stratum, "text", *COUNTS, "base_failed", "failed_rules", "kept")
     found = counts(docs, ["doc_id", stratum, *keep])
     found = checkpointed(found.withColumn("base_failed", _base_failed()))
     cuts, strata = cutoffs(found, labels.select("doc_id", "quality"), stratum, "doc_id", alpha, delta)

@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import checkpointed, n_bytes
+from .common import checkpointed, kept, n_bytes
 
 SHARDS, GROUP_PART, PIECES = 24, 8, 32
 #: Bits of a coordinate, of the tie-breaking hash behind it, and of one digit.
@@ -89,7 +89,9 @@ def kd_tree(items: DataFrame, shards: int) -> DataFrame:
 
 def shard(docs: DataFrame, shards: int = SHARDS, keep: list[str] | None = None) -> DataFrame:
     """doc_id, keep, size, text_crc32, shard and slot of every row."""
-    keep = [c for c in keep or [] if c != "doc_id"]
+    names = {c: f"c{i}" for i, c in enumerate(kept(keep, "doc_id", "size", "text_crc32", "shard", "slot"))}  # no clash with names in here
+    keep = list(names.values())
+    docs = docs.select("doc_id", "text", "source", "lang", *[F.col(f"`{c}`").alias(n) for c, n in names.items()])
     crc = F.crc32(F.coalesce("text", F.lit("")).cast("binary"))
     code = lambda c: F.crc32(F.coalesce(c, F.lit("\0")).cast("binary"))
     rows = docs.select(
@@ -113,7 +115,8 @@ def shard(docs: DataFrame, shards: int = SHARDS, keep: list[str] | None = None)
     leaves = kd_tree(items, shards).select(*[F.col(c).alias(f"i{c}") for c in same], F.col("node").alias("shard"))
     match = [dealt[c] == leaves[f"i{c}"] for c in same]
     placed = dealt.join(leaves, match).select("doc_id", *keep, "size", "text_crc32", "_text", "shard")
-    return with_slots(placed, max(1, -(-(n_rows or 0) // (shards * SLOT_ROWS))))
+    numbered = with_slots(placed, max(1, -(-(n_rows or 0) // (shards * SLOT_ROWS))))
+    return numbered.select("doc_id", *[F.col(n).alias(c) for c, n in names.items()], "size", "text_crc32", "shard", "slot")
 
 
 def with_slots(placed: DataFrame, sections: int) -> DataFrame:
