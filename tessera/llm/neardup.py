@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import text as T
-from .common import checkpointed, compacted, measured
+from .common import checkpointed, compacted, free_name, measured
 
 SHINGLE, SIMILARITY = 5, 0.8
 BANDS, ROWS = 24, 5
@@ -230,7 +230,8 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY, few: int = FEW_LINK
     texts = checkpointed(found.groupBy("text_hash").agg(F.min("doc_id").alias("rep"), F.first("made").alias("bands")))
     rows = keyed.select("doc_id", "text_hash", (F.coalesce(F.length("text"), F.lit(0)) == 0).alias("empty")).distinct()
     postings = texts.select("text_hash", F.explode("bands").alias("key"))
-    leaders = postings.groupBy("key").agg(F.min("text_hash").alias("a"), F.count("*").alias("n")).where("n > 1").drop("n")
+    # aggregates are written before they are joined: joined in the same stage, a hot key could not be split
+    leaders = compacted(postings.groupBy("key").agg(F.min("text_hash").alias("a"), F.count("*").alias("n")).where("n > 1").drop("n"), 200_000)
     stars = postings.join(leaders, "key").where("text_hash <> a").select("key", "a", F.col("text_hash").alias("b"))
     stars = compacted(stars)
     edges = compacted(stars.groupBy("a", "b").agg(F.count("*").alias("n")))
@@ -243,7 +244,7 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY, few: int = FEW_LINK
     links, n = _verify(best, bags, similarity)
     links, label = _settle(stars, bags, links, n, similarity, few)
     heads = texts.join(label, F.col("text_hash") == F.col("node"), "left").select("text_hash", "rep", F.coalesce("label", "text_hash").alias("label"))
-    least = heads.groupBy("label").agg(F.min("rep").alias("class_id"))
+    least = compacted(heads.groupBy("label").agg(F.min("rep").alias("class_id")), 200_000)
     named = heads.join(least, "label").select("text_hash", "class_id")
     result = rows.join(named, "text_hash").select("doc_id", "text_hash", F.when(F.col("empty"), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"))
     return result, links
@@ -261,7 +262,7 @@ def _settle(stars: DataFrame, bags: DataFrame, links: DataFrame, n: int, similar
     """
     label = components(links, n, few_links)
     members = _labelled(stars, label)
-    several = members.groupBy("key").agg(F.min("l").alias("lo"), F.max("l").alias("hi")).where("lo <> hi").select("key")
+    several = compacted(members.groupBy("key").agg(F.min("l").alias("lo"), F.max("l").alias("hi")).where("lo <> hi").select("key"), 200_000)
     members, left = measured(members.join(several, "key").drop("l"))
     if not left:
         return links, label
@@ -284,17 +285,18 @@ def _settle(stars: DataFrame, bags: DataFrame, links: DataFrame, n: int, similar
     def other(df: DataFrame, *keys: str) -> DataFrame:
         return df.select(*keys, *[F.col(c).alias(f"{c}_x") for c in df.columns if c not in keys])
 
+    share = F.struct(F.col("shared") / size, "node", "size", "shared", "common")
+    lead = compacted(members.groupBy("key").agg(F.max(share).alias("x")).select("key", "x.node", "x.size", "x.shared", "x.common"), 200_000)
     for kind in ("leader", "rare", "common"):
         with_label = lambda df: df.join(label, "node", "left").withColumn("l", F.coalesce("label", "node")).drop("label")  # noqa: B023, E731
         now = with_label(members)
-        lead = now.groupBy("key").agg(F.max(F.struct(F.col("shared") / size, "node", "l", "size", "shared", "common")).alias("x")).select("key", "x.node", "x.l", "x.size", "x.shared", "x.common")
         if kind == "leader":
-            pairs = now.join(other(lead, "key"), "key").where(may_link("shared"))
+            pairs = now.join(other(with_label(lead), "key"), "key").where(may_link("shared"))
         elif kind == "rare":
             own = rare.where("n > 1").drop("n").join(with_label(info), "node")
             pairs = own.join(other(own, "token"), "token").where((F.col("node") < F.col("node_x")) & may_link("shared"))
         else:
-            outside = now.join(lead.select("key", F.col("l").alias("lead_l")), "key").where("l <> lead_l").drop("lead_l")
+            outside = now.join(with_label(lead).select("key", F.col("l").alias("lead_l")), "key").where("l <> lead_l").drop("lead_l")
             enough = outside.where(F.col("common") >= similarity * size - 1e-6)
             pairs = now.join(other(compacted(enough), "key"), "key").where(may_link("common"))
         pairs = pairs.select(F.least("node", "node_x").alias("a"), F.greatest("node", "node_x").alias("b")).distinct()
@@ -322,7 +324,8 @@ def members(docs: DataFrame, similarity: float = SIMILARITY, few: int = FEW_LINK
 def keep_one(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """One document of each class: the one whose id names it. Rows without an id stay."""
     found, _ = classes(docs, similarity)
-    kept = found.where("doc_id = class_id").select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"))
-    keyed = docs.withColumn("_own", F.xxhash64("text"))
-    first = keyed.join(kept, (F.col("doc_id") == F.col("_id")) & (F.col("_own") == F.col("_hash")), "left_semi").dropDuplicates(["doc_id", "_own"])
-    return first.unionByName(keyed.where("doc_id IS NULL")).drop("_own")
+    own = free_name(docs.columns, "_own")
+    heads = found.where("doc_id = class_id").select(F.col("doc_id").alias(f"{own}_id"), F.col("text_hash").alias(f"{own}_hash"))
+    keyed = docs.withColumn(own, F.xxhash64("text"))
+    first = keyed.join(heads, (F.col("doc_id") == F.col(f"{own}_id")) & (F.col(own) == F.col(f"{own}_hash")), "left_semi").dropDuplicates(["doc_id", own])
+    return first.unionByName(keyed.where("doc_id IS NULL")).drop(own)
