@@ -420,3 +420,21 @@ def test_kernel_is_exact_on_presence():
         grams = {body[i : i + n] for n in langid.ORDERS for i in range(len(body) - n + 1)}
         assert f.sum() == len(grams)
     assert np.array_equal(flags[0] & flags[1], flags[0])
+
+
+CLASHES = ["size", "slot", "shard", "target", "taken", "_own", "_key", "_bin", "_h", "_text", "node", "label", "n_words", "labels", "kept", "item_id", "share", "c0", "key"]
+
+
+def test_columns_of_clashing_names(spark, docs, rows):
+    """Filtering operators return them as they came; others carry those along whose names are free."""
+    wide = docs.withColumns({c: F.lit(f"own {c}") for c in CLASHES})
+    bench = spark.createDataFrame(items(), "item_id long, text string").withColumn("doc_id", F.lit("clash"))
+    labels = spark.createDataFrame([(0, 1)], "doc_id long, quality int").withColumns({c: F.lit(c) for c in ("lang", "text", "n_words")})
+    for got in (neardup.keep_one(wide), mixing.repeated(wide), quality.keep(wide, labels), decontam.clean(wide, bench)):
+        assert got.columns == wide.columns
+        first = got.first()
+        assert all(first[c] == f"own {c}" for c in CLASHES)
+    for got in (sharding.shard(wide, keep=wide.columns[1:]), mixing.mix(wide, keep=CLASHES[:4]), quality.assess(wide, labels, keep=CLASHES[10:15]), license_scan.scan(wide, keep=CLASHES)[0]):
+        assert got.count() == len(rows) and len(got.columns) == len(set(got.columns))
+    assert sharding.shard(wide, keep=wide.columns[1:]).first()["node"] == "own node"
+    assert decontam.contaminated(wide, bench, keep=CLASHES).count() == 0
