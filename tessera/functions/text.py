@@ -74,14 +74,15 @@ def by_value(f, kind: str):
 
 
 def by_record(f, kind: str):
-    """Like by_value, for an f that gives a dict of the fields of a struct."""
+    """Like by_value, for an f that gives a dict of the fields of a struct. It is declared not to be
+    deterministic, so that no use of a field, above all in a filter, has f applied once more."""
 
     def applied(c) -> Column:
         @F.pandas_udf(kind)
         def run(values: pd.Series) -> pd.DataFrame:
             return pd.DataFrame([f(x) for x in values]) if len(values) else pd.DataFrame([f("")]).iloc[:0]
 
-        return run(col(c))
+        return run.asNondeterministic()(col(c))
 
     return applied
 
