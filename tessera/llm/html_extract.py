@@ -13,9 +13,12 @@ sample, the same at every size of the input.
 
 Each page is handled alone and whole. Character references are decoded, white space
 within a run (Unicode white space and <br>) becomes one space, and runs are joined by
-an empty line. Defined cases: a null or empty page has an empty text; markup that is
-not closed ends with the page; a page without tags is one run of text; repeated rows are
-handled one by one; an empty table gives an empty result.
+an empty line. Defined cases: a null or empty page has an empty text; a comment or raw text (RAW) that is
+not closed ends with the page, but of an element of SUBTREES only the tag is dropped then;
+"/>" closes svg and math; nothing that may stand in a head has text, so its tags are passed
+over and the first other thing is of the body, closed head or not; a page without
+tags is one run of text; repeated rows are handled one by one; an empty table gives an
+empty result.
 """
 
 from __future__ import annotations
@@ -37,7 +40,9 @@ from .common import kept
 LABELLED_PAGES = 600
 C, B, M = range(3)
 # Element names of the HTML standard.
-DROPPED = "script style noscript template svg math iframe object canvas audio video textarea select datalist head title".split()
+RAW = "script style iframe textarea title".split()
+SUBTREES = frozenset("noscript template svg math object canvas audio video select datalist".split())
+FOREIGN = frozenset("svg math".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark nobr q rp rt ruby s samp small span strike strong sub sup time tt u var".split())
 CLOSES_P = frozenset("address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre section table ul".split())
@@ -45,7 +50,7 @@ SIBLING = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "t
 SCOPE = frozenset("table ul ol dl body html article section div td th".split())
 
 _TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(?P<drop>" + "|".join(DROPPED) + r")(?=[\s/>])(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>.*?(?:</(?P=drop)\s*>|\Z)"
+    r"<!--.*?(?:-->|\Z)|(?P<tag><(?P<drop>" + "|".join(RAW) + r")(?=[\s/>])(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>).*?(?:</(?P=drop)\s*>|\Z)"
     r"|<(?P<close>/?)(?P<name>[a-zA-Z][^\s/>]*+)(?P<rest>(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>"
     r"|</?[a-zA-Z][^>]*+(?:>|\Z)|<[!?/][^>]*+(?:>|\Z)",
     re.S | re.I,
@@ -61,6 +66,36 @@ class Tree(NamedTuple):
     states: list[int]  # of labelled pages, else -1
 
 
+_END_OF_FOREIGN = re.compile(r"</(?:svg|math)\s*>", re.I)
+
+
+def _tokens(page: str) -> tuple[list[tuple[int, int, re.Match]], dict[int, int]]:
+    """Start, end and match of each token; by the start of a closed element of SUBTREES, its end."""
+    tokens, closed = [], {}
+    opened: dict[str, list[int]] = defaultdict(list)
+    foreign = spot = 0
+    while m := _TOKEN.search(page, spot):
+        start, spot = m.span()
+        if m["drop"] is not None:
+            # In svg and math, an element of RAW can be closed by "/>" and ends with them.
+            if foreign > 0 and (m["tag"].endswith("/>") or _END_OF_FOREIGN.search(page, m.end("tag"), spot)):
+                spot = m.end("tag")
+        elif m["name"] is not None and (name := m["name"].lower()) in CLOSES_P:
+            foreign = 0  # a block is no longer in them
+        elif m["name"] is not None and name in SUBTREES:
+            if m["close"]:
+                if opened[name]:
+                    closed[opened[name].pop()] = spot
+                    foreign = max(0, foreign - (name in FOREIGN))
+            elif name in FOREIGN and m["rest"].endswith("/"):
+                closed[start] = spot
+            else:
+                opened[name].append(start)
+                foreign += name in FOREIGN
+        tokens.append((start, spot, m))
+    return tokens, closed
+
+
 def _shape(text: str, linked: int, tag: str) -> tuple[str, ...]:
     n = len(text)
     size = "s" if n < 25 else "m" if n < 80 else "l" if n < 250 else "x"
@@ -101,13 +136,21 @@ def parse(page: str) -> Tree:
         flush()
         del stack[depth:]
 
-    for m in _TOKEN.finditer(page):
-        say(page[spot : m.start()])
-        spot = m.end()
+    tokens, closed = _tokens(page)
+    for start, end, m in tokens:
+        if start < spot:
+            continue
+        say(page[spot:start])
+        spot = end
         name = m["name"]
         if name is None:
             continue
         name = name.lower()
+        if name in SUBTREES:
+            spot = closed.get(start, end)
+            continue
+        if name == "head":
+            continue
         if name in INLINE:
             if name == "a":
                 links = 0 if m["close"] else 1

@@ -123,3 +123,25 @@ def test_repair(spark, seed):
     again = chat.repair(spark.createDataFrame(rows, TURNS).repartition(5)).collect()
     assert sorted(map(str, got)) == sorted(map(str, again))
     assert chat.repair(spark.createDataFrame([], TURNS)).count() == 0
+
+
+OPEN = "The article goes on after it, with a sentence that is long enough to be read."
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        f"<html><head><title>x</title><meta name=a><body><article><p>{OPEN}</p></article>",
+        f"<html><head><title>x</title><article><p>{OPEN}</p></article>",
+        f"<body><article><svg class='i' viewBox='0 0 1 1'/><p>{OPEN}</p></article>",
+        f"<body><article><math alttext='x' /><p>{OPEN}</p><svg><path d='M0'/></svg></article>",
+        f"<body><article><svg><title/><svg><text>no</text></svg><text>no</text></svg><p>{OPEN}</p></article>",
+        f"<body><article><svg><title>no</svg><p>{OPEN}</p></article>",
+        *(f"<body><article><{name} id=o><p>{OPEN}</p></article>" for name in "object canvas audio video svg math noscript template select datalist".split()),
+        f"<body><article><svg><p>{OPEN}</p><script>a = '<svg></svg> no'</script></article>",
+        f"<body><article><object><object>no</object>no</object><p>{OPEN}</p></article>",
+    ],
+)
+def test_open_and_self_closed_elements_keep_the_article(page):
+    assert [x for x in html_extract.parse(page).texts if x] == [OPEN]
+    assert html_extract.main_text(page, html_extract.train(html_extract.labelled_pages(120))) == OPEN
