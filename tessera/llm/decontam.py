@@ -1,10 +1,13 @@
 """Benchmark decontamination by template canonicalisation.
 
 Texts and benchmark items become sequences of tokens in which numbers, names (a capital
-before small letters, not at the start of a sentence) and units (after a number) are
-typed placeholders. Windows of WINDOW tokens are hashed and looked up in the hash table
-of the benchmark's windows; a window counts only if MIN_LITERALS of its tokens are
-words. Hits of an item on neighbouring alignments (BAND) are put together, and their
+before small letters) and units (after a number) are typed placeholders. A capital at the
+start of a sentence may be a name or not, so each sequence is read in four ways: it is
+never a name, it is one if the same word is a name elsewhere in the text, it always is
+one, and, fourth, every token stands for itself without regard to capitals. Windows of
+WINDOW tokens are hashed in each reading and looked up in the hash table of the
+benchmark's windows in that reading; a window counts only if MIN_LITERALS of its tokens
+are words in the first reading. Hits of an item on neighbouring alignments (BAND) are put together, and their
 slots are checked: one value of the item must stand for one value of the text
 throughout, and windows with a contradicting slot are struck out. A document is
 contaminated by an item if MIN_SHARE of the item's windows remain.
@@ -48,9 +51,10 @@ _PLACE = T.mix(np.arange(11, 15, dtype=T.U))
 
 
 class Tokens(NamedTuple):
-    hashes: np.ndarray  # canonical: of the word, or of the placeholder's type
     values: np.ndarray  # of the word itself
-    kinds: np.ndarray
+    kinds: np.ndarray  # in the first reading
+    known: np.ndarray  # kinds with words at the start of a sentence that are names elsewhere in the text
+    broad: np.ndarray  # kinds with all capitals as names
     starts: np.ndarray
     ends: np.ndarray
     rows: np.ndarray
@@ -73,6 +77,7 @@ def canonical(b: T.Block) -> Tokens:
     starts, ends, rows = T.spans(inside, b.offsets)
     values = T.span_hashes(low, starts, ends)
     kinds = np.zeros(len(values), np.int8)
+    known, broad = kinds.copy(), kinds.copy()
     if len(values):
         digits = np.zeros(len(low) + 1, np.int64)
         np.cumsum(_DIGIT[b.data], out=digits[1:])
@@ -87,16 +92,18 @@ def canonical(b: T.Block) -> Tokens:
         second = np.minimum(starts + 1 + wide, len(low) - 1)
         long = (ends - starts) > 1 + wide
         small = long & ~caps[second] & ~((b.data[second] >= 0xC3) & caps[np.minimum(second + 1, len(low) - 1)])
-        name = capital & small & ~first & ~number
+        able = capital & small & ~number
+        name = able & ~first
+        own = T.mix(values + rows.astype(T.U) * T.U(0x9E3779B97F4A7C15))
         units = _unit_hashes()
         at = np.minimum(np.searchsorted(units, values), len(units) - 1)
         after = np.zeros(len(values), bool)
         after[1:] = number[:-1] & (rows[1:] == rows[:-1])
-        kinds[name] = NAME
-        kinds[(units[at] == values) & after & ~number] = UNIT
-        kinds[number] = NUMBER
-    hashes = np.where(kinds == LITERAL, values, _PLACE[kinds])
-    return Tokens(hashes, values, kinds, starts, ends, rows)
+        for reading, names in ((kinds, name), (known, able & np.isin(own, own[name])), (broad, able)):
+            reading[names] = NAME
+            reading[(units[at] == values) & after & ~number] = UNIT
+            reading[number] = NUMBER
+    return Tokens(values, kinds, known, broad, starts, ends, rows)
 
 
 def _word(b: T.Block, t: Tokens, i: int) -> str:
@@ -108,15 +115,22 @@ class Index(NamedTuple):
 
     items: list
     totals: np.ndarray  # windows of each item
-    kinds: list[np.ndarray]
+    kinds: list[np.ndarray]  # with all capitals as names
     words: list[list[str]]
-    tables: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]  # length: hashes, items, places
+    tables: dict[tuple[int, int], tuple[np.ndarray, np.ndarray, np.ndarray]]  # length, reading: hashes, items, places
 
 
-def _windows(t: Tokens, k: int) -> tuple[np.ndarray, np.ndarray]:
-    keys, at = T.windows(t.hashes, t.rows, k)
-    literal = np.zeros(len(t.kinds) + 1, np.int64)
-    np.cumsum(t.kinds == LITERAL, out=literal[1:])
+READINGS = range(4)
+
+
+def _windows(t: Tokens, k: int, reading: int) -> tuple[np.ndarray, np.ndarray]:
+    typed = (t.kinds, t.known, t.broad, t.kinds)[reading]
+    exact = reading == 3
+    keys, at = T.windows(t.values if exact else np.where(typed == LITERAL, t.values, _PLACE[typed]), t.rows, k)
+    if exact:
+        return keys, at
+    literal = np.zeros(len(typed) + 1, np.int64)
+    np.cumsum(typed == LITERAL, out=literal[1:])
     enough = literal[at + k] - literal[at] >= MIN_LITERALS
     return keys[enough], at[enough]
 
@@ -131,17 +145,21 @@ def build_index(items: list, texts: list[str]) -> Index:
             lo, hi = bounds[r], bounds[r + 1]
             own = Tokens(*(x[lo:hi] for x in t))
             k = min(WINDOW, hi - lo)
-            keys, at = _windows(own, k) if k >= MIN_LITERALS else (np.zeros(0, T.U), np.zeros(0, np.int64))
-            tables[k].append((keys, np.full(len(keys), len(totals)), at))
-            totals.append(len(keys))
-            kinds.append(own.kinds)
+            counted = _windows(own, k, 0)[1] if k >= MIN_LITERALS else np.zeros(0, np.int64)
+            for reading in READINGS:
+                if len(counted):
+                    keys, at = _windows(own, k, reading)
+                    some = np.isin(at, counted)
+                    tables[k, reading].append((keys[some], np.full(some.sum(), len(totals)), at[some]))
+            totals.append(len(counted))
+            kinds.append(own.broad)
             words.append([_word(b, t, i) for i in range(lo, hi)])
     done = {}
-    for k, found in tables.items():
+    for way, found in tables.items():
         keys, of, at = (np.concatenate(x) for x in zip(*found, strict=True))
         order = np.argsort(keys, kind="stable")
         if len(keys):
-            done[k] = keys[order], of[order], at[order]
+            done[way] = keys[order], of[order], at[order]
     return Index(items, np.array(totals), kinds, words, done)
 
 
@@ -159,15 +177,26 @@ def _lookup(keys: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, np.ndarray
 def match_block(b: T.Block, index: Index) -> list[tuple]:
     """(row, item, windows, matched, share, substitutions) of the contaminated rows of a block."""
     t = canonical(b)
-    groups: dict[tuple[int, int], list[tuple[int, int, int]]] = defaultdict(list)
-    for k, (table, of, places) in index.tables.items():
-        keys, at = _windows(t, k)
+    found = [np.zeros((3, 0), np.int64)]
+    for (k, reading), (table, of, places) in index.tables.items():
+        keys, at = _windows(t, k, reading)
         here, there = _lookup(keys, table)
-        for row, item, i, j in zip(t.rows[at[here]].tolist(), of[there].tolist(), at[here].tolist(), places[there].tolist(), strict=True):
-            groups[row, item].append((i - j, i, j))
+        found.append(np.stack([of[there], at[here], places[there]]))
+    of, at, places = np.concatenate(found, axis=1)
+    rows = t.rows[at]
+    order = np.lexsort((places, at, of, rows))
+    rows, of, at, places = (x[order] for x in (rows, of, at, places))
+    fresh = np.ones(len(rows), bool)
+    fresh[1:] = (rows[1:] != rows[:-1]) | (of[1:] != of[:-1]) | (at[1:] != at[:-1]) | (places[1:] != places[:-1])
+    rows, of, at, places = (x[fresh] for x in (rows, of, at, places))
+    bounds = np.flatnonzero(np.concatenate([[True], (rows[1:] != rows[:-1]) | (of[1:] != of[:-1]), [True]])) if len(rows) else np.zeros(1, np.int64)
     out = []
-    for (row, item), hits in groups.items():
+    for lo, hi in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
+        row, item = int(rows[lo]), int(of[lo])
         total = int(index.totals[item])
+        if hi - lo < MIN_SHARE * total:
+            continue
+        hits = [(i - j, i, j) for i, j in zip(at[lo:hi].tolist(), places[lo:hi].tolist(), strict=True)]
         if len({j for _, _, j in hits}) < MIN_SHARE * total:
             continue
         k = min(WINDOW, len(index.words[item]))

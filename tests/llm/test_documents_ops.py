@@ -386,6 +386,27 @@ def test_inconsistent_slots_do_not_count():
     assert not match(mixed)
 
 
+def matched(item, text):
+    import pyarrow as pa
+    from tessera.llm.text import blocks
+
+    index = decontam.build_index(["q"], [item])
+    return [m for b in blocks(pa.array([text])) for m in decontam.match_block(b, index)]
+
+
+def test_names_at_the_start_of_sentences_and_capitals():
+    tom = "Tom has 5 apples. Tom buys 3 more. Tom eats 2. How many apples does Tom have now?"
+    ann = tom.replace("Tom", "Ann").replace("5", "7").replace("3", "4").replace("2", "1")
+    (m,) = matched(tom, ann)
+    assert {"tom=ann", "5=7"} <= set(m[5])
+    once = "Tom walks to the shop and buys a loaf of bread."
+    assert matched(once, once.replace("Tom", "Ann"))
+    german = "Der Hund von Peter jagt die Katze durch den Garten und Peter sucht im Haus nach seiner Leine."
+    for text in (german.lower(), german.upper(), german.replace(" Peter", "\nPeter").replace(" Haus", "\nHaus"), german.replace("Peter", "Otto")):
+        assert matched(german, text)
+    assert not matched(tom, "Eva owns 5 pears. Max sells 3 pens. How many rooms does the house have?")
+
+
 # languages
 
 
