@@ -15,9 +15,15 @@ contaminated by an item if MIN_SHARE of the item's windows remain.
 The benchmark is a query set, taken in blocks of at most BLOCK_BYTES of text; each block
 is sent to the executors and run against all documents, whatever the number of blocks.
 
-Defined cases: null or empty texts and items match nothing; an item under WINDOW tokens
-is one window of its own length if it has MIN_LITERALS words, else it matches nothing;
-repeated rows are judged one by one; empty tables give empty results.
+Characters of scripts without spaces are tokens of their own. An item of which no window
+has MIN_LITERALS words (arithmetic, lists of names or numbers, very short items) matches
+where all its tokens follow each other exactly as they are, without regard to capitals
+and signs between them.
+
+Defined cases: null or empty texts and items, and those without a letter or digit, match
+nothing; an item under WINDOW tokens is one window of its own length; an item of one token
+matches only where the token is a line or text of its own, since any text may hold it
+elsewhere; repeated rows are judged one by one; empty tables give empty results.
 """
 
 from __future__ import annotations
@@ -50,6 +56,11 @@ LITERAL, NUMBER, NAME, UNIT = range(4)
 _PLACE = T.mix(np.arange(11, 15, dtype=T.U))
 
 
+# Code points of scripts written without spaces, and of their punctuation.
+_ALONE = np.array([(0x0E00, 0x0EFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x3005, 0x3007), (0x3040, 0x30FA), (0x30FC, 0x30FF), (0x3400, 0x4DBF), (0x4E00, 0x9FFF), (0xF900, 0xFAFF)])
+_SIGNS = np.array([(0x3000, 0x3004), (0x3008, 0x303F), (0x30FB, 0x30FB), (0xFF01, 0xFF0F), (0xFF1A, 0xFF20), (0xFF3B, 0xFF40), (0xFF5B, 0xFF65)])
+
+
 class Tokens(NamedTuple):
     values: np.ndarray  # of the word itself
     kinds: np.ndarray  # in the first reading
@@ -67,14 +78,33 @@ def _unit_hashes() -> np.ndarray:
     return np.sort(T.span_hashes(data, starts, ends))
 
 
+def _within(points: np.ndarray, ranges: np.ndarray) -> np.ndarray:
+    at = np.searchsorted(ranges[:, 0], points, "right") - 1
+    return (at >= 0) & (points <= ranges[at, 1])
+
+
+def _characters(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Bounds of the characters that are tokens of their own; bytes of punctuation of their scripts."""
+    lead = np.flatnonzero(data[:-2] >= 0xE0)
+    points = ((data[lead].astype(np.int64) & 15) << 12) | ((data[lead + 1].astype(np.int64) & 63) << 6) | (data[lead + 2] & 63)
+    long = data[lead] >= 0xF0
+    alone = np.where(long, (data[lead] == 0xF0) & (data[lead + 1] >= 0xA0), _within(points, _ALONE))
+    signs = lead[~long & _within(points, _SIGNS)]
+    return np.unique(np.concatenate([lead[alone], lead[alone] + 3 + long[alone]])), (signs[:, None] + np.arange(3)).ravel()
+
+
 def canonical(b: T.Block) -> Tokens:
-    """Tokens are runs of letters and digits; . and , inside a number belong to it."""
+    """Tokens are runs of letters and digits, or single characters (_ALONE); . and , inside a number belong to it."""
     low = T.lower(b.data)
     inside = T.ALNUM[b.data].copy()
     if len(low) > 2:
         point = ((b.data[1:-1] == 46) | (b.data[1:-1] == 44)) & _DIGIT[b.data[:-2]] & _DIGIT[b.data[2:]]
         inside[1:-1] |= point
-    starts, ends, rows = T.spans(inside, b.offsets)
+    cuts, signs = _characters(b.data)
+    inside[signs] = False
+    starts, ends, rows = T.spans(inside, np.union1d(b.offsets, cuts) if len(cuts) else b.offsets)
+    if len(cuts):
+        rows = np.searchsorted(b.offsets, starts, "right") - 1
     values = T.span_hashes(low, starts, ends)
     kinds = np.zeros(len(values), np.int8)
     known, broad = kinds.copy(), kinds.copy()
@@ -115,6 +145,7 @@ class Index(NamedTuple):
 
     items: list
     totals: np.ndarray  # windows of each item
+    exact: np.ndarray  # must all of them be there, in their order
     kinds: list[np.ndarray]  # with all capitals as names
     words: list[list[str]]
     tables: dict[tuple[int, int], tuple[np.ndarray, np.ndarray, np.ndarray]]  # length, reading: hashes, items, places
@@ -137,7 +168,7 @@ def _windows(t: Tokens, k: int, reading: int) -> tuple[np.ndarray, np.ndarray]:
 
 def build_index(items: list, texts: list[str]) -> Index:
     column = pa.array(texts, pa.string())
-    totals, kinds, words, tables = [], [], [], defaultdict(list)
+    totals, exact, kinds, words, tables = [], [], [], [], defaultdict(list)
     for b in T.blocks(column):
         t = canonical(b)
         bounds = np.searchsorted(t.rows, np.arange(b.n + 1))
@@ -146,8 +177,13 @@ def build_index(items: list, texts: list[str]) -> Index:
             own = Tokens(*(x[lo:hi] for x in t))
             k = min(WINDOW, hi - lo)
             counted = _windows(own, k, 0)[1] if k >= MIN_LITERALS else np.zeros(0, np.int64)
+            exact.append(not len(counted))
             for reading in READINGS:
-                if len(counted):
+                if k and not len(counted) and reading == 3:
+                    keys, at = _windows(own, k, reading)
+                    tables[k, reading].append((keys, np.full(len(keys), len(totals)), at))
+                    counted = at
+                elif not exact[-1]:
                     keys, at = _windows(own, k, reading)
                     some = np.isin(at, counted)
                     tables[k, reading].append((keys[some], np.full(some.sum(), len(totals)), at[some]))
@@ -160,7 +196,7 @@ def build_index(items: list, texts: list[str]) -> Index:
         order = np.argsort(keys, kind="stable")
         if len(keys):
             done[way] = keys[order], of[order], at[order]
-    return Index(items, np.array(totals), kinds, words, done)
+    return Index(items, np.array(totals), np.array(exact), kinds, words, done)
 
 
 def _lookup(keys: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -174,12 +210,24 @@ def _lookup(keys: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return at, np.repeat(lo - np.concatenate([[0], np.cumsum(n)[:-1]]) if len(n) else lo, n) + np.arange(len(at))
 
 
+def _lines(b: T.Block, t: Tokens) -> np.ndarray:
+    """Is a token a line of its own?"""
+    breaks = np.zeros(len(b.data) + 1, np.int64)
+    np.cumsum((b.data == 10) | (b.data == 13), out=breaks[1:])
+    cut = np.ones(len(t.values) + 1, bool)
+    cut[1:-1] = (t.rows[1:] != t.rows[:-1]) | (breaks[t.starts[1:]] > breaks[t.ends[:-1]])
+    return cut[1:] & cut[:-1]
+
+
 def match_block(b: T.Block, index: Index) -> list[tuple]:
     """(row, item, windows, matched, share, substitutions) of the contaminated rows of a block."""
     t = canonical(b)
     found = [np.zeros((3, 0), np.int64)]
     for (k, reading), (table, of, places) in index.tables.items():
         keys, at = _windows(t, k, reading)
+        if k == 1:
+            alone = _lines(b, t)[at]
+            keys, at = keys[alone], at[alone]
         here, there = _lookup(keys, table)
         found.append(np.stack([of[there], at[here], places[there]]))
     of, at, places = np.concatenate(found, axis=1)
@@ -194,10 +242,11 @@ def match_block(b: T.Block, index: Index) -> list[tuple]:
     for lo, hi in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
         row, item = int(rows[lo]), int(of[lo])
         total = int(index.totals[item])
-        if hi - lo < MIN_SHARE * total:
+        need, band = (total, 0) if index.exact[item] else (MIN_SHARE * total, BAND)
+        if hi - lo < need:
             continue
         hits = [(i - j, i, j) for i, j in zip(at[lo:hi].tolist(), places[lo:hi].tolist(), strict=True)]
-        if len({j for _, _, j in hits}) < MIN_SHARE * total:
+        if len({j for _, _, j in hits}) < need:
             continue
         k = min(WINDOW, len(index.words[item]))
         hits.sort()
@@ -205,11 +254,11 @@ def match_block(b: T.Block, index: Index) -> list[tuple]:
         lo = 0
         runs = []
         for n in range(1, len(hits) + 1):
-            if n == len(hits) or hits[n][0] - hits[n - 1][0] > BAND:
+            if n == len(hits) or hits[n][0] - hits[n - 1][0] > band:
                 runs.append(hits[lo:n])
                 lo = n
         for run in runs:
-            if len({j for _, _, j in run}) < MIN_SHARE * total:
+            if len({j for _, _, j in run}) < need:
                 continue
             votes: dict[tuple[int, str], dict[str, int]] = defaultdict(lambda: defaultdict(int))
             slots = []
@@ -222,7 +271,7 @@ def match_block(b: T.Block, index: Index) -> list[tuple]:
             good = {j for (_, _, j), own in zip(run, slots, strict=True) if all(chosen[a] == v for a, v in own)}
             if len(good) > best:
                 best, substitutions = len(good), {a[1]: v for a, v in chosen.items() if a[1] != v}
-        if best and best >= MIN_SHARE * total:
+        if best and best >= need:
             out.append((row, item, total, best, best / total, [f"{a}={v}" for a, v in sorted(substitutions.items())]))
     return out
 

@@ -407,6 +407,17 @@ def test_names_at_the_start_of_sentences_and_capitals():
     assert not matched(tom, "Eva owns 5 pears. Max sells 3 pens. How many rooms does the house have?")
 
 
+@pytest.mark.parametrize("item", ["Compute 12 + 7 * 3", "Anna Berta Clara Dora Emil Fritz Gustav", "12 kg 15 kg 18 kg 21 kg 24 kg 27 kg", "Solve 42", "小明有五个苹果，又买了三个，一共有几个？", "3 + 4", "有几个", "ไม่มีใคร"])
+def test_items_without_plain_words(item):
+    assert matched(item, f"before. {item} after") and matched(item, f"天地玄黄。{item}宇宙洪荒") and matched(item, item)
+    changed = item.replace("7", "8").replace("Dora", "Doris").replace("21", "22").replace("42", "43").replace("4", "5").replace("几", "九").replace("五个苹果", "很多书").replace("又买了", "他看见").replace("ม", "ก")
+    assert changed != item and not matched(item, f"before. {changed} after")
+
+
+def test_items_of_one_token_match_whole_lines_only():
+    assert matched("42", "Answer:\n 42.\nNext") and not matched("42", "There are 42 of them") and not matched("...", "...")
+
+
 # languages
 
 
