@@ -7,10 +7,13 @@ never a name, it is one if the same word is a name elsewhere in the text, it alw
 one, and, fourth, every token stands for itself without regard to capitals. Windows of
 WINDOW tokens are hashed in each reading and looked up in the hash table of the
 benchmark's windows in that reading; a window counts only if MIN_LITERALS of its tokens
-are words in the first reading. Hits of an item on neighbouring alignments (BAND) are put together, and their
-slots are checked: one value of the item must stand for one value of the text
-throughout, and windows with a contradicting slot are struck out. A document is
-contaminated by an item if MIN_SHARE of the item's windows remain.
+are words in the first reading. Hits of an item on neighbouring alignments (BAND) are
+put together, and their slots are checked: one value of the item must stand for one
+value of the text throughout, and windows with a contradicting slot are struck out. A
+document is contaminated by an item if MIN_SHARE of the item's windows remain among the
+hits of such a run and all hits at most an item's length before or after it that agree
+with its slots, or if hits on one alignment cover LONG_RUN tokens as they stand in the
+item without a break, or twice as many with other values in the slots.
 
 The benchmark is a query set, taken in blocks of at most BLOCK_BYTES of text; each block
 is sent to the executors and run against all documents, whatever the number of blocks.
@@ -28,6 +31,7 @@ elsewhere; repeated rows are judged one by one; empty tables give empty results.
 
 from __future__ import annotations
 
+from bisect import bisect_left, bisect_right
 from collections import defaultdict
 from typing import NamedTuple
 
@@ -41,6 +45,9 @@ from . import text as T
 from .common import free_name, kept
 
 WINDOW, MIN_LITERALS, MIN_SHARE, BAND = 5, 3, 0.5, 4
+#: Tokens of an unbroken run that is enough whatever its share, and the fewest windows that can cover them.
+LONG_RUN = 13
+LONG_HITS = -(-LONG_RUN // WINDOW)
 #: Bytes of benchmark text that are sent to the executors at once.
 BLOCK_BYTES = 8 << 20
 # Units of measure, lower case.
@@ -219,6 +226,78 @@ def _lines(b: T.Block, t: Tokens) -> np.ndarray:
     return cut[1:] & cut[:-1]
 
 
+def _judge(b: T.Block, t: Tokens, index: Index, item: int, hits: list[tuple[int, int, int]], need: float, band: int, whole: bool) -> tuple[int, dict[str, str]] | None:
+    """Windows and substitutions of the best set of hits (diagonal, place in text, in item) of an item in a row, if they are enough."""
+    kinds, words = index.kinds[item], index.words[item]
+    k = min(WINDOW, len(words))
+    known: dict[tuple[int, int], list] = {}
+
+    def slots(hit: tuple[int, int, int]) -> list:
+        _, i, j = hit
+        if (i, j) not in known:
+            known[i, j] = [((int(kinds[j + s]), words[j + s].lower()), _word(b, t, i + s).lower()) for s in range(k) if kinds[j + s] != LITERAL]
+        return known[i, j]
+
+    def vote(some: list, fixed: dict) -> dict:
+        """fixed, and for other slots the value that most hits have."""
+        votes: dict[tuple[int, str], dict[str, int]] = defaultdict(lambda: defaultdict(int))
+        for hit in some:
+            for a, v in slots(hit):
+                votes[a][v] += 1
+        return {a: max(sorted(v), key=v.__getitem__) for a, v in votes.items()} | fixed
+
+    def agreeing(some: list, chosen: dict) -> list:
+        return [hit for hit in some if all(chosen.get(a, v) == v for a, v in slots(hit))]
+
+    best, enough, substitutions = 0, False, {}
+
+    def take(some: list, chosen: dict, long: bool = False) -> None:
+        nonlocal best, enough, substitutions
+        n = len({j for _, _, j in some})
+        if n > best:
+            best, substitutions = n, {a[1]: v for a, v in chosen.items() if a[1] != v}
+        enough |= long or n >= need
+
+    hits.sort()
+    runs, lo = [], 0
+    for n in range(1, len(hits) + 1):
+        if n == len(hits) or hits[n][0] - hits[n - 1][0] > band:
+            runs.append(hits[lo:n])
+            lo = n
+    by_place = sorted(hits, key=lambda hit: hit[1:])
+    places = [i for _, i, _ in by_place]
+    for run in runs:
+        if whole or len({j for _, _, j in run}) >= need:
+            chosen = vote(run, {})
+            take(agreeing(run, chosen), chosen)
+        if whole:
+            continue
+        lo = 0
+        for n in range(1, len(run) + 1):
+            if n == len(run) or run[n][0] != run[n - 1][0] or run[n][1] - run[n - 1][1] > k:
+                if run[n - 1][2] - run[lo][2] + k >= LONG_RUN:
+                    chosen = vote(run[lo:n], {})
+                    for values, length in (({a: a[1] for a in chosen}, LONG_RUN), (chosen, 2 * LONG_RUN)):
+                        good, first = agreeing(run[lo:n], values), 0
+                        for x in range(1, len(good) + 1):
+                            if x == len(good) or good[x][1] - good[x - 1][1] > k:
+                                if good[x - 1][2] - good[first][2] + k >= length:
+                                    take(good[first:x], values, True)
+                                first = x
+                lo = n
+    if not whole:
+        for run in runs:
+            if best == index.totals[item]:
+                break
+            near = by_place[bisect_left(places, min(i for _, i, _ in run) - len(words)) : bisect_right(places, max(i for _, i, _ in run) + len(words))]
+            if len(near) > len(run) and len({j for _, _, j in near}) >= max(need, best + 1):
+                chosen = vote(run, {})
+                near = agreeing(near, chosen)
+                chosen = vote(near, chosen)
+                take(agreeing(near, chosen), chosen)
+    return (best, substitutions) if enough else None
+
+
 def match_block(b: T.Block, index: Index) -> list[tuple]:
     """(row, item, windows, matched, share, substitutions) of the contaminated rows of a block."""
     t = canonical(b)
@@ -242,36 +321,17 @@ def match_block(b: T.Block, index: Index) -> list[tuple]:
     for lo, hi in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
         row, item = int(rows[lo]), int(of[lo])
         total = int(index.totals[item])
-        need, band = (total, 0) if index.exact[item] else (MIN_SHARE * total, BAND)
-        if hi - lo < need:
+        whole = bool(index.exact[item])
+        need = total if whole else MIN_SHARE * total
+        least = need if whole else min(need, LONG_HITS)
+        if hi - lo < least:
             continue
         hits = [(i - j, i, j) for i, j in zip(at[lo:hi].tolist(), places[lo:hi].tolist(), strict=True)]
-        if len({j for _, _, j in hits}) < need:
+        if len({j for _, _, j in hits}) < least:
             continue
-        k = min(WINDOW, len(index.words[item]))
-        hits.sort()
-        best, substitutions = 0, {}
-        lo = 0
-        runs = []
-        for n in range(1, len(hits) + 1):
-            if n == len(hits) or hits[n][0] - hits[n - 1][0] > band:
-                runs.append(hits[lo:n])
-                lo = n
-        for run in runs:
-            if len({j for _, _, j in run}) < need:
-                continue
-            votes: dict[tuple[int, str], dict[str, int]] = defaultdict(lambda: defaultdict(int))
-            slots = []
-            for _, i, j in run:
-                own = [((int(index.kinds[item][j + s]), index.words[item][j + s].lower()), _word(b, t, i + s).lower()) for s in range(k) if index.kinds[item][j + s] != LITERAL]
-                slots.append(own)
-                for a, v in own:
-                    votes[a][v] += 1
-            chosen = {a: max(sorted(v), key=v.__getitem__) for a, v in votes.items()}
-            good = {j for (_, _, j), own in zip(run, slots, strict=True) if all(chosen[a] == v for a, v in own)}
-            if len(good) > best:
-                best, substitutions = len(good), {a[1]: v for a, v in chosen.items() if a[1] != v}
-        if best and best >= need:
+        judged = _judge(b, t, index, item, hits, need, 0 if whole else BAND, whole)
+        if judged:
+            best, substitutions = judged
             out.append((row, item, total, best, best / total, [f"{a}={v}" for a, v in sorted(substitutions.items())]))
     return out
 

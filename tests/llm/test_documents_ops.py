@@ -418,6 +418,22 @@ def test_items_of_one_token_match_whole_lines_only():
     assert matched("42", "Answer:\n 42.\nNext") and not matched("42", "There are 42 of them") and not matched("...", "...")
 
 
+def test_parts_of_items():
+    r = random.Random(6)
+    word = lambda: "".join(r.choices("abcdefghij", k=6))
+    some = lambda n: " ".join(word() for _ in range(n))
+    first, second = some(10), some(10)
+    (m,) = matched(f"{first} {second}", f"{some(50)} {first} {some(6)} {second} {some(50)}")
+    assert m[2:5] == (16, 12, 0.75)
+    assert not matched(f"{first} {second}", f"{first} {some(500)} {second}")
+    long = [word() for _ in range(400)]
+    (m,) = matched(" ".join(long), f"{some(30)} {' '.join(long[100:290])} {some(30)}")
+    assert m[2:4] == (396, 186)
+    assert matched(" ".join(long), some(30) + " " + " ".join(long[7:20])) and not matched(" ".join(long), some(30) + " " + " ".join(long[7:19]))
+    named = " ".join(long[:13]) + " Bob " + " ".join(long[13:26])
+    assert matched(f"{named} {some(100)}", f"{some(30)} {named.replace('Bob', 'Eve')} {some(30)}")
+
+
 # languages
 
 
