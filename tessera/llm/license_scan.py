@@ -5,8 +5,10 @@ hashes in the license templates. A hit votes for its diagonal (place in the text
 place in the template); votes are added up by text, template and diagonal, diagonals at
 most GAP apart are merged (a word was put in or left out), and a merged span is
 verified: it must hold COVER of the template's distinct word groups with the first and
-the last, on a stretch at most STRETCH times as long as the template. The base phrases are templates too, of
-which all groups must meet on one diagonal, so every place of them is found.
+the last, and every phrase that tells the license from others (TELLING: its version, or
+"lesser"), on a stretch at most STRETCH times as long as the template. The base phrases
+are templates too, of which all groups must meet on one diagonal, so every place of them
+is found.
 
 The templates are constants of this module, so the broadcast side is bounded by their
 length; a text's hits are aggregated by text, never by template or label.
@@ -48,7 +50,23 @@ NOTICES = [
         "gpl-3",
     ),
     ("licensed under the gnu general public license version 2", "gpl-2"),
+    (
+        "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 2 of the license or at your option any later version",
+        "gpl-2",
+    ),
     ("licensed under the gnu lesser general public license", "lgpl"),
+    (
+        "this program is free software you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the free software foundation either version 3 of the license or at your option any later version",
+        "lgpl",
+    ),
+    (
+        "this library is free software you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the free software foundation either version 2 1 of the license or at your option any later version",
+        "lgpl",
+    ),
+    (
+        "this library is free software you can redistribute it and or modify it under the terms of the gnu library general public license as published by the free software foundation either version 2 of the license or at your option any later version",
+        "lgpl",
+    ),
     (
         "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met",
         "bsd",
@@ -56,6 +74,26 @@ NOTICES = [
     ("this source code form is subject to the terms of the mozilla public license v 2 0", "mpl-2"),
 ]
 
+#: What tells a label's notices from others of nearly the same words; at most K words each.
+TELLING = {
+    "mit": ["mit license"],
+    "apache-2": ["apache license", "version 2"],
+    "cc-by-nc": ["nc 4", "noncommercial 4"],
+    "cc-by": ["attribution 4"],
+    "cc-by-sa": ["attribution sharealike"],
+    "gpl-3": ["gnu general", "version 3"],
+    "gpl-2": ["gnu general", "version 2"],
+    "lgpl": ["lesser general", "library general"],
+    "mpl-2": ["mozilla public", "v 2"],
+}
+
+
+def _telling(text: str, label: str) -> list[int]:
+    """By place in a template: the telling phrases that its word group holds, as bits."""
+    w = text.split()
+    groups = [" " + " ".join(w[i : i + K]) + " " for i in range(len(w) - K + 1)]
+    return [sum(1 << b for b, phrase in enumerate(TELLING.get(label, [])) if f" {phrase} " in g) for g in groups]
+
 
 def words(text: str):
     """The words, with an empty string before or after them where the text begins or ends with something else."""
@@ -68,10 +106,12 @@ def _count(array: str):
 
 
 def templates(spark) -> DataFrame:
-    """tpl, label, is_base, pos, gram, n_grams (distinct), n_tpl_words: a row a place of a template."""
-    texts = [(i, label, i < len(BASE), text) for i, (text, label) in enumerate([*BASE, *NOTICES])]
-    rows = spark.createDataFrame(texts, "tpl int, label string, is_base boolean, text string").withColumn("w", F.split("text", " "))
-    grams = rows.select("tpl", "label", "is_base", F.size("w").alias("n_tpl_words"), F.posexplode(F.slice(_grams("w"), 1, F.size("w") - K + 1)).alias("pos", "gram"))
+    """tpl, label, is_base, pos, gram, tells, all_tells, n_grams (distinct), n_tpl_words: a row a place of a template."""
+    texts = [(i, label, i < len(BASE), text, _telling(text, label)) for i, (text, label) in enumerate([*BASE, *NOTICES])]
+    rows = spark.createDataFrame(texts, "tpl int, label string, is_base boolean, text string, bits array<int>").withColumn("w", F.split("text", " "))
+    rows = rows.withColumn("all_tells", F.aggregate("bits", F.lit(0), lambda a, x: a.bitwiseOR(x)))
+    grams = rows.select("tpl", "label", "is_base", "bits", "all_tells", F.size("w").alias("n_tpl_words"), F.posexplode(F.slice(_grams("w"), 1, F.size("w") - K + 1)).alias("pos", "gram"))
+    grams = grams.withColumn("tells", F.get("bits", F.col("pos"))).drop("bits")
     n = grams.groupBy("tpl").agg(F.count_distinct("gram").alias("n_grams"))
     return grams.join(n, "tpl")
 
@@ -92,8 +132,8 @@ def scan(docs: DataFrame, keep: list[str] | None = None) -> tuple[DataFrame, Dat
     places = docs.where("text IS NOT NULL").select("doc_id", text_hash, words("text").alias("w"))
     places = places.select("doc_id", "text_hash", (F.get("w", F.lit(0)) == "").cast("int").alias("skip"), F.posexplode(_grams("w")).alias("at", "gram"))
     hits = places.join(F.broadcast(templates(spark)), "gram").withColumn("at", F.col("at") - F.col("skip")).withColumn("diagonal", F.col("at") - F.col("pos"))
-    votes = hits.groupBy("doc_id", "text_hash", "tpl", "label", "is_base", "n_grams", "n_tpl_words", "diagonal").agg(
-        F.collect_set("gram").alias("grams"), F.min("at").alias("first"), (F.max("at") + K - 1).alias("last"), F.min("pos").alias("head"), F.max("pos").alias("tail")
+    votes = hits.groupBy("doc_id", "text_hash", "tpl", "label", "is_base", "all_tells", "n_grams", "n_tpl_words", "diagonal").agg(
+        F.collect_set("gram").alias("grams"), F.bit_or("tells").alias("tells"), F.min("at").alias("first"), (F.max("at") + K - 1).alias("last"), F.min("pos").alias("head"), F.max("pos").alias("tail")
     )  # at most a template's length of hits on a diagonal
     votes = checkpointed(votes)
     full = votes.where(F.col("is_base") & (F.size("grams") == F.col("n_grams")) & (F.col("last") - F.col("first") + 1 == F.col("n_tpl_words")))
@@ -103,11 +143,13 @@ def scan(docs: DataFrame, keep: list[str] | None = None) -> tuple[DataFrame, Dat
     by_text = Window.partitionBy("doc_id", "text_hash", "tpl").orderBy("diagonal")
     fresh = F.when(F.col("diagonal") - F.lag("diagonal").over(by_text) <= GAP, 0).otherwise(1)
     runs = votes.where(~F.col("is_base")).withColumn("fresh", fresh).withColumn("run", F.sum("fresh").over(by_text))
-    spans = runs.groupBy("doc_id", "text_hash", "tpl", "label", "n_grams", "n_tpl_words", "run").agg(
+    spans = runs.groupBy("doc_id", "text_hash", "tpl", "label", "all_tells", "n_grams", "n_tpl_words", "run").agg(
+        F.bit_or("tells").alias("tells"),
         F.size(F.array_distinct(F.flatten(F.collect_list("grams")))).alias("votes"), F.min("first").alias("first"), F.max("last").alias("last"), F.min("head").alias("head"), F.max("tail").alias("tail")
     )
     ends = (F.col("head") == 0) & (F.col("tail") == F.col("n_tpl_words") - K)
-    spans = spans.withColumn("coverage", F.col("votes") / F.col("n_grams")).where(ends & (F.col("coverage") >= COVER) & (F.col("last") - F.col("first") + 1 <= STRETCH * F.col("n_tpl_words")))
+    told = F.col("tells") == F.col("all_tells")
+    spans = spans.withColumn("coverage", F.col("votes") / F.col("n_grams")).where(ends & told & (F.col("coverage") >= COVER) & (F.col("last") - F.col("first") + 1 <= STRETCH * F.col("n_tpl_words")))
     verified = spans.select("doc_id", "text_hash", "label", F.col("tpl").alias("template"), F.col("first").cast("long").alias("first_word"), F.col("last").cast("long").alias("last_word"), F.col("votes").cast("long").alias("votes"), "coverage")
     method = spans.groupBy("doc_id", "text_hash").agg(F.collect_set("label").alias("own_set"), F.max("coverage").alias("best"))
     found = base.join(method, ["doc_id", "text_hash"], "full_outer")

@@ -264,6 +264,21 @@ def test_license_scan(spark):
     assert license_scan.scan(spark.createDataFrame([], SCHEMA))[0].count() == 0
 
 
+def license_labels(spark, texts):
+    got = license_scan.scan(spark.createDataFrame([(i, t, None, None, 0) for i, t in enumerate(texts)], SCHEMA))[0].collect()
+    return [r["labels"] for r in sorted(got, key=lambda r: r["doc_id"])]
+
+
+def test_licenses_of_nearly_the_same_words(spark):
+    header = "x This {} is free software; you can redistribute it and/or modify it under the terms of the GNU {}General Public License as published by the Free Software Foundation, either version {} of the License, or (at your option) any later version. y"
+    cc = "Licensed under a Creative Commons Attribution{} 4.0 International License"
+    texts = {
+        header.format("program", "", "3"): "gpl-3", header.format("program", "", "2"): "gpl-2", header.format("program", "Lesser ", "3"): "lgpl", header.format("library", "Lesser ", "2.1"): "lgpl",
+        header.format("library", "Library ", "2"): "lgpl", header.format("program", "Affero ", "3"): "", header.format("program", "", "1"): "", cc.format(""): "cc-by", cc.format("-ShareAlike"): "cc-by-sa", cc.format("-NonCommercial"): "cc-by-nc", cc.format("-NonCommercial-ShareAlike"): "",
+    }
+    assert license_labels(spark, texts) == list(texts.values())
+
+
 # shards
 
 
