@@ -4,8 +4,8 @@ All rolling hashes of K words of every text are joined to the positions of the s
 hashes in the license templates. A hit votes for its diagonal (place in the text less
 place in the template); votes are added up by text, template and diagonal, diagonals at
 most GAP apart are merged (a word was put in or left out), and a merged span is
-verified: it must hold COVER of the template's distinct word groups with the first and
-the last, and every phrase that tells the license from others (TELLING: its version, or
+verified: it must hold COVER of the template's distinct word groups, for templates of at
+most FEW words with the first and the last, and every phrase that tells the license from others (TELLING: its version, or
 "lesser"), on a stretch at most STRETCH times as long as the template. The base phrases
 are templates too, of which all groups must meet on one diagonal, so every place of them
 is found.
@@ -26,6 +26,8 @@ from pyspark.sql import functions as F
 from .common import checkpointed, kept
 
 K, GAP, COVER, STRETCH = 3, 2, 0.75, 1.5
+#: Templates of at most so many words must be met to both ends.
+FEW = 12
 #: What stands between words; after lower(), which maps no other character of a phrase's words to ASCII.
 BETWEEN = "[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
 # Phrases, license notices and their labels.
@@ -147,7 +149,7 @@ def scan(docs: DataFrame, keep: list[str] | None = None) -> tuple[DataFrame, Dat
         F.bit_or("tells").alias("tells"),
         F.size(F.array_distinct(F.flatten(F.collect_list("grams")))).alias("votes"), F.min("first").alias("first"), F.max("last").alias("last"), F.min("head").alias("head"), F.max("tail").alias("tail")
     )
-    ends = (F.col("head") == 0) & (F.col("tail") == F.col("n_tpl_words") - K)
+    ends = (F.col("n_tpl_words") > FEW) | (F.col("head") == 0) & (F.col("tail") == F.col("n_tpl_words") - K)
     told = F.col("tells") == F.col("all_tells")
     spans = spans.withColumn("coverage", F.col("votes") / F.col("n_grams")).where(ends & told & (F.col("coverage") >= COVER) & (F.col("last") - F.col("first") + 1 <= STRETCH * F.col("n_tpl_words")))
     verified = spans.select("doc_id", "text_hash", "label", F.col("tpl").alias("template"), F.col("first").cast("long").alias("first_word"), F.col("last").cast("long").alias("last_word"), F.col("votes").cast("long").alias("votes"), "coverage")

@@ -279,6 +279,12 @@ def test_licenses_of_nearly_the_same_words(spark):
     assert license_labels(spark, texts) == list(texts.values())
 
 
+def test_notices_with_changed_ends(spark):
+    (grant,) = [t for _, t, *_ in license_rows() if t and "hereby" in t]
+    texts = {grant.replace("hereby ", ""): "mit", grant.replace(" to do so", ""): "mit", "Permission is hereby granted, free of charge, to any person": "", "Released under the": "", "licensed under a creative commons attribution 4 0": ""}
+    assert license_labels(spark, texts) == list(texts.values())
+
+
 # shards
 
 
