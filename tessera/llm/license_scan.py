@@ -153,8 +153,9 @@ def scan(docs: DataFrame, keep: list[str] | None = None) -> tuple[DataFrame, Dat
     told = F.col("tells") == F.col("all_tells")
     spans = spans.withColumn("coverage", F.col("votes") / F.col("n_grams")).where(ends & told & (F.col("coverage") >= COVER) & (F.col("last") - F.col("first") + 1 <= STRETCH * F.col("n_tpl_words")))
     verified = spans.select("doc_id", "text_hash", "label", F.col("tpl").alias("template"), F.col("first").cast("long").alias("first_word"), F.col("last").cast("long").alias("last_word"), F.col("votes").cast("long").alias("votes"), "coverage")
-    method = spans.groupBy("doc_id", "text_hash").agg(F.collect_set("label").alias("own_set"), F.max("coverage").alias("best"))
-    found = base.join(method, ["doc_id", "text_hash"], "full_outer")
+    method = spans.groupBy(F.col("doc_id").alias("m_doc_id"), F.col("text_hash").alias("m_text_hash")).agg(F.collect_set("label").alias("own_set"), F.max("coverage").alias("best"))
+    found = base.join(method, F.col("doc_id").eqNullSafe(F.col("m_doc_id")) & (F.col("text_hash") == F.col("m_text_hash")), "full_outer")
+    found = found.withColumns({c: F.coalesce(c, f"m_{c}") for c in ("doc_id", "text_hash")}).drop("m_doc_id", "m_text_hash")
     found = found.select(*[F.col(c).alias(f"f_{c}") for c in found.columns])
     rows = docs.select("doc_id", *keep, text_hash, words("text").alias("w")).withColumn("n_words", F.coalesce(_count("w"), F.lit(0)).cast("long")).drop("w")
     none = F.array().cast("array<string>")

@@ -285,6 +285,12 @@ def test_notices_with_changed_ends(spark):
     assert license_labels(spark, texts) == list(texts.values())
 
 
+def test_license_of_a_null_id(spark):
+    texts = ["Released under the MIT License.", "cc by nc", "Licensed under the GNU Lesser General Public License", None]
+    got = license_scan.scan(spark.createDataFrame([(None, t, None, None, 0) for t in texts], SCHEMA))[0].collect()
+    assert sorted((r["n_base"], r["base_labels"], r["labels"], r["score"]) for r in got) == [(0, "", "", 0.0), (0, "", "lgpl", 1.0), (1, "cc-by-nc", "cc-by-nc", 1.0), (1, "mit", "mit", 1.0)]
+
+
 # shards
 
 
