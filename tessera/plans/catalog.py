@@ -283,6 +283,13 @@ def title_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "pages").select("page_id", M.title_block("html").alias("title"), M.data_of_html("html").alias("data"))
 
 
+@query()
+def classified_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The seven rules on whole pages, titles read from their markup. Tests compare it with Python."""
+    pages = table(spark, sf_dir, "pages").select(F.concat(F.col("page_id").cast("string"), F.lit(".html")).alias("path"), F.col("html").alias("text"), F.octet_length("html").alias("size_bytes"))
+    return M.classified(pages)
+
+
 @query(r"""SELECT page_id, split_part(url, '/', -1) AS name, trim(regexp_replace(lower(url), '[^a-z0-9]+', '-', 'g'), '-') AS slug_hyphen, trim(regexp_replace(translate(lower(trim(url)), ',.&''/()', ''), '[^a-z0-9]+', '_', 'g'), '_') AS slug_company,
  left(trim(regexp_replace(lower(trim(url)), '[^a-z0-9]+', '_', 'g'), '_'), 60) AS slug_short, regexp_matches(split_part(url, '/', -1), '(?i)ex-?[0-9]') AS short_exhibit, regexp_matches(split_part(url, '/', -1), '^[a-z0-9]+\.html$') AS plain_name FROM pages""")
 def url_names(spark: SparkSession, sf_dir: str) -> DataFrame:

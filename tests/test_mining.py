@@ -66,6 +66,37 @@ def test_classified_files(spark):
     assert M.classification_report(M.classified(files)).count() == 4
 
 
+def test_classified_pages_equal_python(spark, tmp_path):
+    from tessera.functions import rules as R
+    from tessera.plans import catalog
+
+    far = "<p>" + "word " * 1000 + "</p>"
+    pages = ["", far, far + f"<p align=center>{NAME}</p>", far + "<p align=center>LEASE AGREEMENT</p>", far + "under the tax receivable agreement", "x" * 399_900 + " tax receivable agreement ", "x" * 400_000 + " tax receivable agreement ", f"{far}<p>no</p>" * 240, far * 20 + f"<p align=center>{NAME}</p>"]
+    spark.createDataFrame(list(enumerate(pages)), "page_id long, html string").write.parquet(str(tmp_path / "pages.parquet"))
+    found = catalog.QUERIES["classified_pages"](spark, str(tmp_path))
+
+    plain = lambda p: re.sub(r"^\(\?\w+\)", "(?i)", p)  # noqa: E731  Java's flags
+
+    def rules(page):
+        title, text, size = M.title_in(page[:80_000]), page[:400_000], len(page.encode())
+        said, n = bool(re.search(plain(R.TITLE_PHRASE), text)), sum(bool(re.search(plain(t), text)) for t in R.TERMS)
+        if re.search(plain(R.TITLE_PHRASE), title):
+            return "keep", "centered title contains 'tax receivable agreement'"
+        if any(re.search(rf"(?i)\b(?:{o})\b", title) for o in R.OTHER_INSTRUMENTS) and not said:
+            return "drop", "title names a non-TRA instrument; no TRA phrase"
+        if said:
+            return "keep", "'tax receivable agreement' phrase present in body"
+        if n >= 3:
+            return "keep", f"{n} TRA-specific defined terms present"
+        if size < 4000:
+            return "drop", f"file too small ({size} B < 4000), no phrase"
+        return "drop", f"large filing ({size} B) with no TRA phrase or terms" if size > 1_200_000 else "no TRA title, phrase, or defining terminology"
+
+    got = {r["path"]: (r["decision"], r["reason"]) for r in found.collect()}
+    assert got == {f"{i}.html": rules(page) for i, page in enumerate(pages)}
+    assert len(set(got.values())) >= 6
+
+
 def test_distinct_contents_and_exhibits(spark):
     body = f"{NAME} WHEREAS {NAME} {NAME}"
     docs = spark.createDataFrame([("2", "2002", "b", "EX-10.2", body), ("1", "2001", "a", "EX-10", body), ("3", "2003", "c", "EX-101", body + "x"), ("4", "2004", "d", "ex-10.(A)", body + "y"), ("5", "2005", "e", "EX-10", None)], "accession string, filing_date string, filename string, sgml_type string, body string")
