@@ -10,12 +10,15 @@ most FEW words with the first and the last, and every phrase that tells the lice
 are templates too, of which all groups must meet on one diagonal, so every place of them
 is found.
 
-The templates are constants of this module, so the broadcast side is bounded by their
-length; a text's hits are aggregated by text, never by template or label.
+Texts are read once. Their hashes are sifted by the bits of the templates' where they are
+made, so that few places leave a text and its words never do; the join decides. The
+templates are constants of this module, so the broadcast side is bounded by their length;
+a text's hits are aggregated by text, never by template or label.
 
 Defined cases: a null or empty text has no words, no places, empty labels and score 0;
-repeated rows (equal id and text) get equal results; an empty table gives an empty
-result.
+repeated rows (equal id and text) get equal results, rows without an id as others; the
+work for a text is in proportion to its words; columns to carry along that are named like
+the result's own are left out; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -28,6 +31,8 @@ from .common import checkpointed, kept
 K, GAP, COVER, STRETCH = 3, 2, 0.75, 1.5
 #: Templates of at most so many words must be met to both ends.
 FEW = 12
+#: Bits, as a power of two, of the table that sifts the hashes of texts before they are joined.
+SIEVE = 14
 #: What stands between words; after lower(), which maps no other character of a phrase's words to ASCII.
 BETWEEN = "[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
 # Phrases, license notices and their labels.
@@ -109,13 +114,11 @@ def _count(array: str):
 
 def templates(spark) -> DataFrame:
     """tpl, label, is_base, pos, gram, tells, all_tells, n_grams (distinct), n_tpl_words: a row a place of a template."""
-    texts = [(i, label, i < len(BASE), text, _telling(text, label)) for i, (text, label) in enumerate([*BASE, *NOTICES])]
-    rows = spark.createDataFrame(texts, "tpl int, label string, is_base boolean, text string, bits array<int>").withColumn("w", F.split("text", " "))
-    rows = rows.withColumn("all_tells", F.aggregate("bits", F.lit(0), lambda a, x: a.bitwiseOR(x)))
-    grams = rows.select("tpl", "label", "is_base", "bits", "all_tells", F.size("w").alias("n_tpl_words"), F.posexplode(F.slice(_grams("w"), 1, F.size("w") - K + 1)).alias("pos", "gram"))
-    grams = grams.withColumn("tells", F.get("bits", F.col("pos"))).drop("bits")
-    n = grams.groupBy("tpl").agg(F.count_distinct("gram").alias("n_grams"))
-    return grams.join(n, "tpl")
+    texts = [f"({i}, '{label}', {i < len(BASE)}, '{text}', array({', '.join(map(str, _telling(text, label)))}))" for i, (text, label) in enumerate([*BASE, *NOTICES])]
+    rows = spark.sql(f"SELECT tpl, label, is_base, bits, split(text, ' ') AS w FROM VALUES {', '.join(texts)} AS t (tpl, label, is_base, text, bits)")
+    rows = rows.withColumn("all_tells", F.aggregate("bits", F.lit(0), lambda a, x: a.bitwiseOR(x))).withColumn("grams", F.slice(_grams("w"), 1, F.size("w") - K + 1))
+    grams = rows.select("tpl", "label", "is_base", "bits", "all_tells", F.size("w").alias("n_tpl_words"), F.size(F.array_distinct("grams")).cast("long").alias("n_grams"), F.posexplode_outer("grams").alias("pos", "gram"))
+    return grams.withColumn("tells", F.get("bits", F.col("pos"))).drop("bits")
 
 
 def _grams(array: str):
@@ -123,17 +126,31 @@ def _grams(array: str):
     return F.transform(array, lambda x, i: F.xxhash64(x, *[F.get(F.col(array), i + j) for j in range(1, K)]))
 
 
+def _sieve(grams: list[int]):
+    """A test that holds for all of grams and for few other hashes: bits of a constant array."""
+    words = [0] * (1 << (SIEVE - 6))
+    for g in grams:
+        words[(g >> 6) & (len(words) - 1)] |= 1 << (g & 63)
+    signed = [x - (1 << 64) if x >> 63 else x for x in words]
+    table = F.expr(f"array({', '.join(f'bigint({x})' for x in signed)})")
+    word = lambda g: F.get(table, F.shiftright(g, 6).bitwiseAND(len(words) - 1).cast("int"))
+    return lambda g: F.getbit(word(g), g.bitwiseAND(63).cast("int")) == 1
+
+
 def scan(docs: DataFrame, keep: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
     """Per row: doc_id, keep, n_words, n_base, first_word, last_word, base_labels, labels, score.
 
     Also the verified spans: doc_id, text_hash, label, template, first_word, last_word, votes, coverage.
     """
-    keep = kept(keep, "doc_id", "text_hash", "w", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
-    spark = docs.sparkSession
-    text_hash = F.xxhash64("text").alias("text_hash")
-    places = docs.where("text IS NOT NULL").select("doc_id", text_hash, words("text").alias("w"))
-    places = places.select("doc_id", "text_hash", (F.get("w", F.lit(0)) == "").cast("int").alias("skip"), F.posexplode(_grams("w")).alias("at", "gram"))
-    hits = places.join(F.broadcast(templates(spark)), "gram").withColumn("at", F.col("at") - F.col("skip")).withColumn("diagonal", F.col("at") - F.col("pos"))
+    keep = kept(keep, "doc_id", "text_hash", "w", "skip", "grams", "n_words", "places", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
+    own = templates(docs.sparkSession)
+    may_hit = _sieve([r[0] for r in own.select("gram").collect()])  # constants of this module
+    rows = docs.select("doc_id", *keep, F.xxhash64("text").alias("text_hash"), words("text").alias("w"))
+    rows = rows.select("doc_id", *keep, "text_hash", F.coalesce(_count("w"), F.lit(0)).cast("long").alias("n_words"), (F.get("w", F.lit(0)) == "").cast("int").alias("skip"), _grams("w").alias("grams"))
+    placed = F.transform("grams", lambda g, i: F.struct(i.alias("at"), g.alias("gram")))
+    rows = checkpointed(rows.select("doc_id", *keep, "text_hash", "n_words", "skip", F.filter(placed, lambda x: may_hit(x["gram"])).alias("places")))
+    places = rows.where(F.size("places") > 0).select("doc_id", "text_hash", "skip", F.inline("places"))
+    hits = places.join(F.broadcast(own), "gram").withColumn("at", F.col("at") - F.col("skip")).withColumn("diagonal", F.col("at") - F.col("pos"))
     votes = hits.groupBy("doc_id", "text_hash", "tpl", "label", "is_base", "all_tells", "n_grams", "n_tpl_words", "diagonal").agg(
         F.collect_set("gram").alias("grams"), F.bit_or("tells").alias("tells"), F.min("at").alias("first"), (F.max("at") + K - 1).alias("last"), F.min("pos").alias("head"), F.max("pos").alias("tail")
     )  # at most a template's length of hits on a diagonal
@@ -157,10 +174,9 @@ def scan(docs: DataFrame, keep: list[str] | None = None) -> tuple[DataFrame, Dat
     found = base.join(method, F.col("doc_id").eqNullSafe(F.col("m_doc_id")) & (F.col("text_hash") == F.col("m_text_hash")), "full_outer")
     found = found.withColumns({c: F.coalesce(c, f"m_{c}") for c in ("doc_id", "text_hash")}).drop("m_doc_id", "m_text_hash")
     found = found.select(*[F.col(c).alias(f"f_{c}") for c in found.columns])
-    rows = docs.select("doc_id", *keep, text_hash, words("text").alias("w")).withColumn("n_words", F.coalesce(_count("w"), F.lit(0)).cast("long")).drop("w")
     none = F.array().cast("array<string>")
     base_set, own_set = F.coalesce("f_base_set", none), F.coalesce("f_own_set", none)
-    joined = rows.join(found, rows["doc_id"].eqNullSafe(found["f_doc_id"]) & (rows["text_hash"] == found["f_text_hash"]), "left")
+    joined = rows.drop("places", "skip").join(found, rows["doc_id"].eqNullSafe(found["f_doc_id"]) & (rows["text_hash"] == found["f_text_hash"]), "left")
     result = joined.select(
         "doc_id", *keep, "n_words",
         F.coalesce("f_n_base", F.lit(0)).cast("long").alias("n_base"),

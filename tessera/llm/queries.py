@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontam, html_extract, langid, license_scan, mixing, neardup, quality, sharding, suffix_dedup
+from . import chat, decontam, html_extract, langid, license_scan, mixing, neardup, oracles, quality, sharding, suffix_dedup
 from .common import table
 
 
@@ -65,4 +65,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_mixing": op9_mixing,
     "op10_language_id": op10_language_id,
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op5_license_scan": oracles.license_scan()}
