@@ -7,14 +7,19 @@ met by complete epochs first (every document once for each whole multiple of the
 source's size), then by the documents with the smallest keys until the rest of the
 target is used up.
 
-The prefix sums do not gather a source in one task: the map exp(-w' key) spreads the
-keys evenly over BINS bins, bins are summed with map-side combining, and rows are
-sorted only inside the single bin where a source's budget ends.
+The prefix sums do not gather a source in one task: keys are binned by their logarithm,
+BINS bins an octave. Whatever the weights, an exponential key falls into an octave's bin
+with a probability of at most ln(2) / (e * BINS), about 1 in 4,000, so bins are small for
+any source; they are summed with map-side combining, and rows are sorted only inside the
+single bin where a source's budget ends. Sources are ranked by range partitions, and the
+level of their targets is found among the distinct pairs of size and weight, so that a
+source for each host does not gather all of them in a task either.
 
 Defined cases: a null text has size 0 and is never taken; a null source is a source of
 its own and comes last; repeated rows (equal id and text) have equal keys and are
-taken one after the other; an empty table gives an empty result. Reruns agree, as
-nothing depends on partitioning.
+taken one after the other; a text is counted whole, however long; columns to carry along
+that are named like the result's own are left out; an empty table gives an empty result.
+Reruns agree, as nothing depends on partitioning.
 """
 
 from __future__ import annotations
@@ -24,7 +29,8 @@ from pyspark.sql import functions as F
 
 from .common import checkpointed, kept, n_words
 
-BINS = 1 << 12
+#: Bins of keys an octave.
+BINS = 1 << 10
 WEIGHTS = (3, 1, 2)
 SHARE_PERCENT = 150
 #: A source is repeated at most so many times.
@@ -40,38 +46,46 @@ def quality_weight(text: str, words):
     return F.greatest(F.lit(0.05), F.lit(1.0) - symbols / F.greatest(words, F.lit(1)))
 
 
+def ranked(sizes: DataFrame) -> DataFrame:
+    """Adds n, the place of each source from 1, by code point and null last: by range partitions and their counts."""
+    order = F.col("source").asc_nulls_last()
+    placed = checkpointed(sizes.repartitionByRange(order).withColumn("_part", F.spark_partition_id()))
+    counts = placed.groupBy("_part").agg(F.count("*").alias("_n"))  # a row a partition
+    before = counts.select(F.col("_part").alias("_p"), F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
+    own = F.row_number().over(Window.partitionBy("_part").orderBy(order))
+    return placed.withColumn("_own", own).join(F.broadcast(before), F.col("_part") == F.col("_p")).select(*sizes.columns, (F.col("_before") + F.col("_own")).alias("n"))
+
+
 def targets(sizes: DataFrame) -> DataFrame:
     """source, source_size, target. sizes: source and source_size, one row a source.
 
     Water filling in closed form: with sources in ascending order of cap / weight, source
     i is at its cap exactly if the budget left after the caps before it, dealt by weight to
     the rest, reaches the cap; the level (target per unit of weight of those below their
-    caps) follows from the first source that is not. Rows here are sources, not documents.
+    caps) follows from the first source that is not. Sources of equal size and weight are
+    one row of the order.
     """
     cycle = F.array(*[F.lit(float(w)) for w in WEIGHTS])
-    ranked = sizes.withColumn("n", F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())))
-    ranked = ranked.select("source", "source_size", F.get(cycle, ((F.col("n") - 1) % len(WEIGHTS)).cast("int")).alias("weight"), (F.col("source_size") * float(MAX_EPOCHS)).alias("cap"))
-    everything = Window.partitionBy()
-    ascending = Window.orderBy(F.col("cap") / F.col("weight"), F.col("source").asc_nulls_last()).rowsBetween(Window.unboundedPreceding, -1)
-    filled = ranked.withColumns(
-        {
-            "budget": F.sum("source_size").over(everything) * (SHARE_PERCENT / 100),
-            "caps_before": F.coalesce(F.sum("cap").over(ascending), F.lit(0.0)),
-            "weight_left": F.sum("weight").over(everything) - F.coalesce(F.sum("weight").over(ascending), F.lit(0.0)),
-        }
-    )
+    weighed = ranked(sizes).select("source", "source_size", F.get(cycle, ((F.col("n") - 1) % len(WEIGHTS)).cast("int")).alias("weight"), (F.col("source_size") * float(MAX_EPOCHS)).alias("cap"))
+    weighed = checkpointed(weighed)
+    alike = weighed.groupBy("cap", "weight").agg(F.sum("source_size").alias("size"), F.sum("cap").alias("caps"), F.sum("weight").alias("weights"))
+    ratio = F.col("cap") / F.col("weight")
+    ascending = Window.orderBy(ratio, "cap").rowsBetween(Window.unboundedPreceding, -1)  # of distinct pairs
+    before = lambda c: F.coalesce(F.sum(c).over(ascending), F.lit(0.0))
+    filled = alike.withColumns({"budget": F.sum("size").over(Window.partitionBy()) * (SHARE_PERCENT / 100), "caps_before": before("caps"), "weight_left": F.sum("weights").over(Window.partitionBy()) - before("weights")})
     filled = filled.withColumn("level", (F.col("budget") - F.col("caps_before")) / F.col("weight_left"))
-    below = F.when(F.col("level") * F.col("weight") < F.col("cap"), F.struct(F.col("cap") / F.col("weight"), F.col("source").isNull(), "source", "level"))
-    filled = filled.withColumn("final", F.min(below).over(everything)["level"])
-    return filled.select("source", "source_size", F.when(F.col("final").isNull(), F.col("cap")).otherwise(F.least("cap", F.col("final") * F.col("weight"))).alias("target"))
+    level = filled.where(F.col("level") * F.col("weight") < F.col("cap")).agg(F.min(F.struct(ratio.alias("r"), "cap", "level"))["level"]).first()[0]
+    target = F.col("cap") if level is None else F.least("cap", F.lit(level) * F.col("weight"))
+    return weighed.select("source", "source_size", target.alias("target"))
 
 
 def _keyed(seed: int) -> dict:
     """Columns of a row: size, key, bin of the key, hash of the text."""
-    uniform = (F.shiftrightunsigned(F.xxhash64(F.lit(seed), "doc_id"), 11) + F.lit(0.5)) / float(1 << 53)
+    digits = F.conv(F.substring(F.md5(F.concat_ws("|", F.lit(seed), F.col("doc_id")).cast("binary")), 1, 13), 16, 10)
+    uniform = (digits.cast("long") + F.lit(0.5)) / float(1 << 52)
     size = n_words("text")
     key = -F.log(uniform) / quality_weight("text", size)
-    return {"size": size, "_key": key, "_bin": F.least(F.lit(BINS - 1), F.floor((1 - F.exp(-key)) * BINS)).cast("int"), "_h": F.xxhash64("text")}
+    return {"size": size, "_key": key, "_bin": F.floor(F.log2(key) * BINS).cast("int"), "_h": F.xxhash64("text")}
 
 
 def _dealt(docs: DataFrame, keep: list[str], split_last: bool, seed: int) -> tuple[DataFrame, DataFrame, DataFrame, bool]:

@@ -1,34 +1,42 @@
 """Quality rules whose cutoffs carry a guarantee.
 
-Each rule compares a ratio of document counts with a cutoff. Cutoffs come from
-labelled documents: for each stratum (language) and rule they are tried from lax to
-strict, each by an exact binomial (Clopper-Pearson) test that at most ALPHA of the
-good documents are rejected, and the sequence stops at the first failure. Testing in
-a fixed order needs no correction within a sequence; across sequences the level is
-DELTA / (rules * strata) (Bonferroni), so with probability 1 - DELTA every cutoff in
-use keeps the limit. Among certified cutoffs the one that gains most is used: bad
-documents rejected less LOSS times the good ones, the laxest if equal. A stratum with
-too few labels certifies nothing, and only the base rule rejects there.
+Each rule compares a ratio of document counts with a cutoff. The labelled documents are
+split by a hash of the id. On the smaller part, the cutoff of each stratum (language) and
+rule is fitted: bad documents rejected less LOSS times the good ones are to be most, the
+laxest cutoff if equal. The fitted cutoffs end a path of STEPS steps that starts with all
+rules off and tightens all of them together. On the other part, the holdout, the steps are
+tried from lax to strict, each by an exact binomial (Clopper-Pearson) test that at most
+ALPHA of the stratum's good documents are rejected by any of the rules, and the sequence
+stops at the first failure; the last step that passed is used. The path does not depend on
+the holdout, so testing in its order needs no correction within a stratum; across strata
+the level is DELTA / strata (Bonferroni). So with probability 1 - DELTA the verdict of all
+rules together keeps the limit in every stratum. A stratum with too few labels certifies
+nothing, and only the base rule rejects there.
 
 Defined cases: a null or empty text has no words and fails the base rule; a null
-language is a stratum of its own; several labels of one id count once, as the lowest;
-repeated rows are judged one by one; an empty table gives an empty result.
+language is a stratum of its own; several labels of one id count once, as the lowest, and
+so do several rows of a labelled id; repeated rows are judged one by one; a text is counted
+whole, however long; columns to carry along that are named like the result's own are left
+out; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
+import functools
 import math
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import text as T
 from .common import checkpointed, kept
 
-ALPHA, DELTA, LOSS, GRID = 0.02, 0.05, 10, 200
+ALPHA, DELTA, LOSS, GRID, STEPS = 0.02, 0.05, 10, 200, 20
+#: One in so many labelled documents fits the cutoffs; the others certify them.
+FIT_PART = 3
 #: Largest number of strata whose cutoffs are sent to all executors; beyond it they are joined.
 BROADCAST_STRATA = 10_000
 #: Rule: numerator, denominator, scale of the grid (value of one step is 1 / scale).
@@ -115,18 +123,15 @@ def certified(n: int, k: int, alpha: float, level: float) -> bool:
     return n > 0 and k < alpha * n and binomial_tail(k, n, alpha) <= level
 
 
-def choose(good: np.ndarray, bad: np.ndarray, alpha: float, level: float) -> int | None:
-    """The cutoff on the grid (values above it are rejected) or None. good, bad: documents by grid value."""
-    n, best, gain = int(good.sum()), None, 0
-    lost, won = 0, 0
-    for cut in range(len(good) - 2, -1, -1):
-        lost += int(good[cut + 1])
-        won += int(bad[cut + 1])
+def last_certified(good: np.ndarray, alpha: float, level: float) -> int:
+    """The last step that passes before the first that fails; 0 if none does. good: good documents by
+    the first step that rejects them, 1 .. STEPS, or STEPS + 1; the first entry is not used."""
+    n, lost = int(good.sum()), 0
+    for step in range(1, STEPS + 1):
+        lost += int(good[step])
         if not certified(n, lost, alpha, level):
-            break
-        if won - LOSS * lost > gain:
-            best, gain = cut, won - LOSS * lost
-    return best
+            return step - 1
+    return STEPS
 
 
 def _grid(rule: str):
@@ -134,33 +139,50 @@ def _grid(rule: str):
     return F.when(F.col(bottom) > 0, F.least(F.lit(GRID), F.floor(F.col(top) * scale / F.col(bottom)))).otherwise(0).cast("int")
 
 
+def _at_step(rule: str, step):
+    """The cutoff of a rule at a step of the path; null if the rule is off."""
+    return GRID - F.floor((GRID - F.col(f"fit_{rule}")) * step / STEPS).cast("int")
+
+
+def fitted(rows: DataFrame) -> DataFrame:
+    """_stratum, fit_<rule> (null: the rule gains nothing). rows: _stratum, _good and the grid value of each rule."""
+    rules = F.explode(F.array(*[F.struct(F.lit(r).alias("rule"), F.col(f"v_{r}").alias("value")) for r in RULES]))
+    gain = F.sum(F.when(F.col("_good"), -LOSS).otherwise(1)).alias("gain")
+    table = rows.select("_stratum", "_good", rules.alias("x")).where("x.value > 0").groupBy("_stratum", "x.rule", "x.value").agg(gain)
+    running = Window.partitionBy("_stratum", "rule").orderBy(F.desc("value"))  # at most GRID rows
+    best = table.withColumn("gain", F.sum("gain").over(running)).where("gain > 0").groupBy("_stratum", "rule").agg(F.max(F.struct("gain", "value")).alias("x"))
+    return best.groupBy("_stratum").agg(*[F.max(F.when(F.col("rule") == r, F.col("x.value") - 1)).alias(f"fit_{r}") for r in RULES])
+
+
 def cutoffs(found: DataFrame, labels: DataFrame, stratum: str, doc_id: str, alpha: float = ALPHA, delta: float = DELTA) -> tuple[DataFrame, int]:
     """One row a stratum with its cutoffs (null: the rule is off), and the number of strata."""
-    graded = labels.where("doc_id IS NOT NULL AND quality IS NOT NULL").groupBy(F.col("doc_id").alias("_id")).agg(F.min("quality").alias("_good"))
-    rules = F.explode(F.array(*[F.struct(F.lit(r).alias("rule"), _grid(r).alias("value")) for r in RULES]))
-    table = (
-        found.where(~F.col("base_failed"))
-        .join(graded, F.col(doc_id) == F.col("_id"))
-        .select(F.col(stratum).alias("_stratum"), "_good", rules.alias("x"))
-        .groupBy("_stratum", "x.rule", "x.value")
-        .agg(F.sum((F.col("_good") > 0).cast("long")).alias("good"), F.sum((F.col("_good") <= 0).cast("long")).alias("bad"))
-    )
-    table = checkpointed(table)
-    strata = table.select("_stratum").distinct().count()
-    level = delta / max(1, len(RULES) * strata)
-
-    def fit(pdf: pd.DataFrame) -> pd.DataFrame:
-        out: dict = {"_stratum": [pdf["_stratum"].iloc[0]]}
-        for r in RULES:
-            good, bad = np.zeros(GRID + 1, np.int64), np.zeros(GRID + 1, np.int64)
-            own = pdf[pdf["rule"] == r]
-            np.add.at(good, own["value"].to_numpy(), own["good"].to_numpy())
-            np.add.at(bad, own["value"].to_numpy(), own["bad"].to_numpy())
-            out[f"cut_{r}"] = pd.array([choose(good, bad, alpha, level)], dtype="Int32")
-        return pd.DataFrame(out)
-
-    schema = "_stratum string, " + ", ".join(f"cut_{r} int" for r in RULES)
-    return table.groupBy("_stratum").applyInPandas(fit, schema), strata
+    graded = labels.where("doc_id IS NOT NULL AND quality IS NOT NULL").groupBy(F.col("doc_id").alias("_id")).agg((F.min("quality") > 0).alias("_good"))
+    values = [_grid(r).alias(f"v_{r}") for r in RULES]
+    rows = found.where(~F.col("base_failed")).join(graded, F.col(doc_id) == F.col("_id")).select("_id", F.col(stratum).alias("_stratum"), "_good", *values)
+    one = F.min(F.struct("_stratum", "_good", *[f"v_{r}" for r in RULES])).alias("x")
+    rows = checkpointed(rows.groupBy("_id").agg(one).select(in_fit("_id").alias("_fit"), "x.*"))
+    path = checkpointed(fitted(rows.where("_fit")))
+    strata = rows.select("_stratum").distinct().count()
+    level = delta / max(1, strata)
+    sent = F.broadcast(path) if strata <= BROADCAST_STRATA else path
+    held = rows.where("NOT _fit AND _good").join(sent.withColumnRenamed("_stratum", "_s"), F.col("_stratum").eqNullSafe(F.col("_s")))
+    rejected = lambda step: functools.reduce(lambda a, b: a | b, [F.coalesce(F.col(f"v_{r}") > _at_step(r, step), F.lit(False)) for r in RULES])
+    step = F.coalesce(F.array_min(F.filter(F.sequence(F.lit(1), F.lit(STEPS)), rejected)), F.lit(STEPS + 1))
+    table = held.select("_stratum", step.alias("step")).groupBy("_stratum", "step").agg(F.count("*").alias("good"))
+
+    def test(pdf: pd.DataFrame) -> pd.DataFrame:
+        good = np.zeros(STEPS + 2, np.int64)
+        good[pdf["step"].to_numpy()] = pdf["good"].to_numpy()
+        return pd.DataFrame({"_s": [pdf["_stratum"].iloc[0]], "_step": [last_certified(good, alpha, level)]})
+
+    steps = table.groupBy("_stratum").applyInPandas(test, "_s string, _step int").where("_step > 0")
+    cuts = path.join(F.broadcast(steps) if strata <= BROADCAST_STRATA else steps, F.col("_stratum").eqNullSafe(F.col("_s")))
+    return cuts.select("_stratum", *[_at_step(r, F.col("_step")).alias(f"cut_{r}") for r in RULES]), strata
+
+
+def in_fit(doc_id: str):
+    """Is a labelled document of the part that fits the cutoffs? By a hash of its id."""
+    return F.conv(F.substring(F.md5(F.col(doc_id).cast("string").cast("binary")), 1, 8), 16, 10).cast("long") % FIT_PART == 0
 
 
 def assess(docs: DataFrame, labels: DataFrame, keep: list[str] | None = None, stratum: str = "lang", alpha: float = ALPHA, delta: float = DELTA) -> DataFrame:

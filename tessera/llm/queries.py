@@ -65,4 +65,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_mixing": op9_mixing,
     "op10_language_id": op10_language_id,
 }
-ORACLES: dict[str, str] = {"op5_license_scan": oracles.license_scan()}
+ORACLES: dict[str, str] = {
+    "op5_license_scan": oracles.license_scan(),
+    "op6_quality_rules": oracles.quality_rules(),
+    "op9_mixing": oracles.mixing_of_sources(),
+}

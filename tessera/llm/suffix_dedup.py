@@ -276,7 +276,7 @@ def _around(number: int, c: Chunk, found: list[dict], bits: int, kept: int) -> l
             own, lo, hi = own[wide], lo[wide], hi[wide]
             if not len(own):
                 continue
-            key = T.mix(T.span_hashes(c.data, lo, hi) ^ T.mix((at[own] - lo).astype(T.U) + hashes[own]))
+            key = T.mix(T.rolling_hashes(c.data, lo, hi) ^ T.mix((at[own] - lo).astype(T.U) + hashes[own]))
             settled, _ = _first_of_equal(key, c.ids[of[own]], of[own], lo)
             spans.append((of[own][settled], lo[settled] - c.offsets[of[own][settled]], hi[settled] - c.offsets[of[own][settled]]))
             own, lo, hi = own[~settled], lo[~settled], hi[~settled]
@@ -286,7 +286,7 @@ def _around(number: int, c: Chunk, found: list[dict], bits: int, kept: int) -> l
                 p = np.repeat(lo - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum()) if len(n) else lo
                 p, one = np.unique(p, return_index=True)
                 rows = rows[one]
-                key = T.span_hashes(c.data, p, p + LENGTH)
+                key = T.rolling_hashes(c.data, p, p + LENGTH)
                 place = p - c.offsets[rows]
                 settled, more = _first_of_equal(key, c.ids[rows], rows, place)
                 spans.append((rows[settled], place[settled], place[settled] + LENGTH))
@@ -345,7 +345,7 @@ def _settle_bucket(pdf: pd.DataFrame) -> pd.DataFrame:
         for a in range(0, len(start), 1 << 20):
             part = start[a : a + (1 << 20)]
             first, last = int(part[0]), int(part[-1]) + LENGTH
-            keys.append(T.span_hashes(body[first:last], part - first, part - first + LENGTH))
+            keys.append(T.rolling_hashes(body[first:last], part - first, part - first + LENGTH))
         contexts.append((n, doc, row, lo, np.full(len(n), i)))
     for i in np.flatnonzero(kinds == SUFFIXES):
         key, doc, row, place = _unpack(pdf["payload"].iloc[i], T.U, np.int64, np.uint32, np.int64)
