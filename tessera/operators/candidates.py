@@ -32,7 +32,9 @@ def of_type(candidates: DataFrame, pattern: str = R.EXHIBIT_TYPE) -> tuple[DataF
 
 def query_union(queries: dict[str, DataFrame], key: str = "adsh") -> DataFrame:
     """One row a key over all queries, that of the earliest one, with source."""
-    return keep_first(tagged_union(queries, "source", missing=True), [key], ["source_order", "file_date"]).drop("source_order")
+    rows = tagged_union(queries, "source", missing=True)
+    ties = [c for c in ("cik", "primary_doc", "form") if c in rows.columns]
+    return keep_first(rows, [key], ["source_order", "file_date", *ties]).drop("source_order")
 
 
 def net_new(query: DataFrame, others: list[DataFrame], keys: list[str] = ("adsh", "primary_doc")) -> DataFrame:

@@ -91,6 +91,7 @@ def _plain(piece: str) -> str:
     return " ".join(html.unescape(re.sub(r"<[^>]+>", " ", piece)).split())
 
 
+# Patterns of headings, anchors and large or bold type.
 _H = re.compile(r"(?is)<h([1-6])([^>]*)>(.*?)</h\1>")
 _ANCHOR = re.compile(r"(?is)<a[^>]*?(?:name|id)\s*=\s*[\"']([^\"']+)[\"'][^>]*>")
 _MARKED = re.compile(
@@ -445,16 +446,14 @@ def preferred_facts(facts: DataFrame, tags: list[str]) -> DataFrame:
 def index_coverage(samples: DataFrame, hits: DataFrame, days: int = 180) -> DataFrame:
     """Is a sampled document found by its own phrase, among hits of its entity near its date?
 
-    samples: cik, accession, file_date, phrase, exhibit_phrase, error; hits: cik, adsh, file_date, snippet.
+    samples: cik, accession, file_date, phrase, exhibit_phrase, n_exhibits, error; hits: cik, adsh, file_date, snippet.
     """
     near = (samples["cik"] == F.col("h.cik")) & F.col("h.file_date").cast("date").between(F.date_sub(samples["file_date"].cast("date"), days), F.date_add(samples["file_date"].cast("date"), days))
-    joined = samples.join(hits.alias("h"), near, "left")
-    own = F.col("h.adsh") == F.col("accession")
-    seen = joined.groupBy(*[samples[c] for c in samples.columns]).agg(
-        F.coalesce(F.bool_or(own & F.col("h.snippet").contains(F.col("phrase"))), F.lit(False)).alias("primary_found"), F.coalesce(F.bool_or(own & F.col("h.snippet").contains(F.col("exhibit_phrase"))), F.lit(False)).alias("exhibit_found")
-    )
+    joined = samples.join(hits.alias("h"), near & (F.col("h.adsh") == samples["accession"]), "left")
+    found = lambda c: F.coalesce(F.bool_or(F.col("h.snippet").contains(F.col(c))), F.lit(False))
+    seen = joined.groupBy(*[samples[c] for c in samples.columns]).agg(found("phrase").alias("primary_found"), found("exhibit_phrase").alias("exhibit_found"))
     status = (
-        F.when(F.col("error").isNotNull(), "error").when(F.col("phrase").isNull(), "no_phrase").when(F.col("primary_found") & (F.col("exhibit_found") | F.col("exhibit_phrase").isNull()), "indexed").when(F.col("primary_found") | F.col("exhibit_found"), "partial").otherwise("missing")
+        F.when(F.col("error").isNotNull(), "ERROR").when(F.col("primary_found"), "INDEXED_BODY").when(F.col("exhibit_found"), "INDEXED_EXHIBIT").when(F.col("phrase").isNull() & (F.coalesce("n_exhibits", F.lit(0)) == 0), "NO_PHRASE").otherwise("NOT_FOUND")
     )
     return seen.withColumn("overall_status", status)
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import rules as R
 from ..functions.dates import bucket_start
 from ..functions.ids import padded
-from .relational import any_true, flagged, having_distinct, keep_first, last_by, pivot_counts, split_by, text_set, top, union_all
+from .relational import any_true, flagged, having_distinct, keep_first, last_by, pivot_counts, seeded_order, split_by, stratified_sample, text_set, top, union_all
 
 
 def entity_rows(hits: DataFrame, query: str) -> DataFrame:
@@ -120,3 +120,38 @@ def year_buckets(df: DataFrame, date: str, first: int = 2001, width: int = 5) ->
 
 def typical_split(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     return split_by(rows, R.typical_form("form"))
+
+
+def form_report(queries: dict[str, DataFrame], allowed: list[str], order: list) -> DataFrame:
+    """part, query, form, n_accessions, n_ciks, in_allow_list: one row an accession of a query, counted by
+    form before (pre) and after (post) the list of forms, null forms too; and totals of each query and of all."""
+    ok = F.coalesce(F.col("form").isin(allowed), F.lit(False))
+    one = union_all([keep_first(df.withColumn("query", F.lit(q)), ["adsh"], order).withColumn("_rank", F.lit(i)) for i, (q, df) in enumerate(queries.items())])
+    all_ = keep_first(one, ["adsh"], ["_rank", *order]).withColumn("query", F.lit("all"))
+
+    def counted(df: DataFrame, part: str, *keys: str) -> DataFrame:
+        own = df.select("query", "form", "adsh", ok.alias("ok"), F.explode_outer("ciks").alias("cik"))
+        n = own.groupBy(*keys).agg(F.count_distinct("adsh").alias("n_accessions"), F.count_distinct("cik").alias("n_ciks"), any_true("ok").alias("ok"))
+        by_form = "form" in keys
+        listed = F.when(F.col("ok"), "Y").otherwise("N") if by_form else F.lit(None).cast("string")
+        return n.select(F.lit(part).alias("part"), "query", F.col("form") if by_form else F.lit(None).cast("string").alias("form"), "n_accessions", "n_ciks", listed.alias("in_allow_list"))
+
+    return union_all([counted(one, "pre", "query", "form"), counted(one.where(ok), "post", "query", "form"), counted(one, "total", "query"), counted(all_, "total", "query")])
+
+
+def body_exhibit_report(hits: DataFrame, seed: int, names: int = 10) -> DataFrame:
+    """Per form: accessions (n_) and entities (c_) with a body, an exhibit and both, and with one alone;
+    a seeded sample of the names of exhibits."""
+    own = hits.withColumn("exhibit", R.exhibit_name("primary_doc"))
+    filings = own.groupBy("form", "adsh").agg(any_true("exhibit").alias("e"), any_true(~F.col("exhibit")).alias("b"))
+    n = filings.groupBy("form").agg(
+        F.count("*").alias("n_total"), F.count_if("b").alias("n_body"), F.count_if("e").alias("n_exhibit"), F.count_if(F.col("b") & F.col("e")).alias("n_both"),
+        F.count_if(F.col("b") & ~F.col("e")).alias("n_body_only"), F.count_if(F.col("e") & ~F.col("b")).alias("n_exhibit_only"),
+    )
+    rows = own.select("form", "adsh", F.explode("ciks").alias("cik")).distinct().join(filings, ["form", "adsh"])
+    some = lambda c: F.count_distinct(F.when(c, F.col("cik")))
+    c = rows.groupBy("form").agg(F.count_distinct("cik").alias("c_total"), some(F.col("b")).alias("c_body"), some(F.col("e")).alias("c_exhibit"), some(F.col("b") & F.col("e")).alias("c_both"))
+    sampled = stratified_sample(own.where("exhibit").select("form", "primary_doc").distinct(), ["form"], names, ["primary_doc"], str(seed))
+    order = F.sort_array(F.collect_list(F.struct(seeded_order("primary_doc", seed=str(seed)).alias("o"), "primary_doc")))  # at most names of a form
+    listed = sampled.groupBy("form").agg(F.array_join(F.transform(order, lambda x: x["primary_doc"]), "|").alias("exhibit_names"))
+    return n.join(c, "form").join(listed, "form", "left")

@@ -262,27 +262,6 @@ def html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "pages").select("page_id", X.flat_html("html").alias("window_text"), X.flat_html_without_references("html").alias("flat"))
 
 
-@query()
-def html_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Tests compare it with Python."""
-    return table(spark, sf_dir, "pages").select("page_id", X.lines_of_html("html").alias("text"))
-
-
-@query()
-def toc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return M.table_of_contents(table(spark, sf_dir, "pages"), "html", ["page_id"])
-
-
-@query()
-def mention_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return M.mentions(table(spark, sf_dir, "documents"), "text", ["doc_id"], r"(?i)licensed?\s+under", [r"apache"])
-
-
-@query()
-def title_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "pages").select("page_id", M.title_block("html").alias("title"), M.data_of_html("html").alias("data"))
-
-
 @query()
 def classified_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The seven rules on whole pages, titles read from their markup. Tests compare it with Python."""
@@ -344,13 +323,6 @@ def range_semi_anti(spark: SparkSession, sf_dir: str) -> DataFrame:
     return O.without_done(o.join(own, "o_custkey", "left_semi"), gone, ["o_orderkey"]).groupBy("o_custkey").agg(F.count("*").alias("n"), F.max("o_totalprice").alias("highest"))
 
 
-@query()
-def range_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Windows of days with at most 700 events where a day allows it; tests check that they cover all."""
-    days = table(spark, sf_dir, "events").groupBy(F.to_date("ts").alias("day")).agg(F.count("*").alias("n"))
-    return spark.createDataFrame([(a.isoformat(), b.isoformat(), int(n)) for a, b, n in W.windows_of(days, "day", "n")], "first string, last string, n long")
-
-
 # Sources: text is made of the driver's tables and read back.
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from pathlib import Path
 
 from pyspark.sql import DataFrame
@@ -21,7 +22,7 @@ def parquet(df: DataFrame, path: str, partitions: int | None = None, by: list[st
 def csv(df: DataFrame, path: str, separator: str = ",", partitions: int | None = 1) -> None:
     """With a header; lists are joined by bars. A single file if partitions is 1."""
     flat = df.select(*[F.array_join(c, "|").alias(c) if kind.startswith("array") else F.col(c) for c, kind in df.dtypes])
-    (flat.coalesce(partitions) if partitions else flat).write.mode("overwrite").option("header", True).option("sep", separator).option("quoteAll", False).option("emptyValue", "").csv(path)
+    (flat.coalesce(partitions) if partitions else flat).write.mode("overwrite").option("header", True).option("sep", separator).option("escape", "\"").option("quoteAll", False).option("emptyValue", "").csv(path)
 
 
 def tsv(df: DataFrame, path: str) -> None:
@@ -49,11 +50,16 @@ def json_array(df: DataFrame, limit: int = RENDERED_ROWS) -> str:
     return "[" + ",".join(r["j"] for r in bounded(own, limit)).replace("</", "<\\/") + "]"
 
 
-def page(template: str, out: str, tables: dict[str, DataFrame]) -> int:
-    """Fills the placeholders of an HTML template with tables; the length of the page."""
-    text = Path(template).read_text(encoding="utf-8")
+def filled(template: str, tables: dict[str, DataFrame]) -> str:
+    """An HTML template with its placeholders filled with tables."""
     for name, df in tables.items():
-        text = text.replace(name, json_array(df))
+        template = template.replace(name, json_array(df))
+    return template
+
+
+def page(template: str, out: str, tables: dict[str, DataFrame]) -> int:
+    """Fills the template in a file and writes the page; its length."""
+    text = filled(Path(template).read_text(encoding="utf-8"), tables)
     Path(out).write_text(text, encoding="utf-8")
     return len(text)
 
@@ -108,15 +114,20 @@ def entity_sections(stats: DataFrame, failures: DataFrame, key: str = "cik") ->
 
 
 def contents(df: DataFrame, root: str, path: str = "path", content: str = "content") -> None:
-    """Writes each row's content to a file below root, unless it is there already."""
+    """Writes each row's content to a file below root, a folder that all executors see, unless it is
+    there already: an anti join with what is there, then a write to a temporary name and a rename."""
+    Path(root).mkdir(parents=True, exist_ok=True)
+    there = df.sparkSession.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
+    done = there.select(F.regexp_replace("path", "^file:/*", "/").alias("_there"))  # names only: contents are not read
+    own = F.concat(F.lit(root.rstrip("/") + "/"), F.col(path))
+
     def write(rows) -> None:
         for r in rows:
             target = Path(root, r[path])
-            if not target.exists():
-                target.parent.mkdir(parents=True, exist_ok=True)
-                body = r[content]
-                part = target.with_name(target.name + ".part")
-                part.write_bytes(body.encode() if isinstance(body, str) else bytes(body))
-                part.replace(target)
-
-    df.select(path, content).foreachPartition(write)
+            target.parent.mkdir(parents=True, exist_ok=True)
+            body = r[content]
+            part = target.with_name(f"{target.name}.{uuid.uuid4().hex}.part")
+            part.write_bytes(body.encode() if isinstance(body, str) else bytes(body))
+            part.replace(target)
+
+    df.select(path, content).join(done, own == F.col("_there"), "left_anti").foreachPartition(write)

@@ -188,9 +188,9 @@ def test_filings_documents_and_facts(spark):
 
 
 def test_index_coverage(spark):
-    samples = spark.createDataFrame([("1", "a", "2010-01-01", "some phrase", None, None), ("1", "b", "2010-01-01", None, None, None), ("2", "c", "2010-01-01", "p", "q", None), ("3", "d", "2010-01-01", "p", None, "500")], "cik string, accession string, file_date string, phrase string, exhibit_phrase string, error string")
+    samples = spark.createDataFrame([("1", "a", "2010-01-01", "some phrase", None, 0, None), ("1", "b", "2010-01-01", None, None, 0, None), ("2", "c", "2010-01-01", "z", "p", 2, None), ("3", "d", "2010-01-01", "p", None, 0, "500"), ("2", "c", "2012-01-01", None, "q", 1, None)], "cik string, accession string, file_date string, phrase string, exhibit_phrase string, n_exhibits int, error string")
     hits = spark.createDataFrame([("1", "a", "2010-06-30", "with some phrase in it"), ("2", "c", "2010-01-02", "p alone"), ("2", "c", "2011-01-02", "q")], "cik string, adsh string, file_date string, snippet string")
-    assert {r["accession"]: r["overall_status"] for r in M.index_coverage(samples, hits).collect()} == {"a": "indexed", "b": "no_phrase", "c": "partial", "d": "error"}
+    assert sorted((r["accession"], r["overall_status"]) for r in M.index_coverage(samples, hits).collect()) == [("a", "INDEXED_BODY"), ("b", "NO_PHRASE"), ("c", "INDEXED_EXHIBIT"), ("c", "NOT_FOUND"), ("d", "ERROR")]
 
 
 # sources
