@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,10 +11,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """The folder named in spark.checkpoint.dir is used; a temporary one only where none is set."""
+    """The folder named in spark.checkpoint.dir is used. Where none is set, a local session has one in
+    its warehouse; on a cluster that is an error, since no folder is known to be shared."""
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(context.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="checkpoints"))
+        folder = context.getConf().get("spark.checkpoint.dir")
+        if not folder and not context.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors see")
+        context.setCheckpointDir(folder or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/checkpoints")
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
@@ -37,6 +39,20 @@ def compacted(df: DataFrame, rows: int = 50_000) -> DataFrame:
     return measured(df, rows)[0]
 
 
+#: Words of 64 bits of a sieve, as a power of two: it is sent to all executors, 16 bytes a word at most.
+SIEVE = 20
+
+
+def sifted(df: DataFrame, wanted: DataFrame, *keys: str) -> DataFrame:
+    """Adds _likely to df: true for all rows whose keys are those of a row of wanted, and for few others,
+    as long as wanted has few million rows; more of them fill the sieve, which then lets more through."""
+    hash_ = F.xxhash64(*[F.col(k) for k in keys])
+    word, bit = F.shiftrightunsigned(hash_, 64 - SIEVE), hash_.bitwiseAND(F.lit(63)).cast("int")
+    sieve = wanted.groupBy(word.alias("_word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(xxhash64(" + ", ".join(f"`{k}`" for k in keys) + ") & 63 AS int))")).alias("_bits"))
+    joined = df.join(F.broadcast(compacted(sieve, 200_000)), word == F.col("_word"), "left")
+    return joined.withColumn("_likely", F.coalesce(F.getbit("_bits", bit) == 1, F.lit(False))).drop("_word", "_bits")
+
+
 def parts(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -20,10 +20,15 @@ leaves a bucket in several components are members compared across them, after an
 bound on the overlap. So no link that could join two components is left out, while a
 large group of alike texts costs about one comparison a member.
 
+Texts are named by two 64-bit hashes and numbered. Neither candidates nor decisions move
+whole texts about: a sieve of bits of the wanted ids (common.sifted, of bounded size) ends
+most others in the scan, and what it lets through is decided by a join.
+
 Defined cases: texts without a word (null, empty, only punctuation) are alone in their
 class unless equal and not empty; texts under SHINGLE words have one shingle, all their
-words; rows with equal id and text count as one; rows without an id get no class; an
-empty table gives an empty result.
+words; rows with equal id and text count as one; rows without an id get no class; a text is
+read whole, however long; other columns do not matter, whatever their names; an empty table
+gives an empty result.
 """
 
 from __future__ import annotations
@@ -34,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import text as T
-from .common import checkpointed, compacted, free_name, measured
+from .common import checkpointed, compacted, free_name, measured, sifted
 
 SHINGLE, SIMILARITY = 5, 0.8
 BANDS, ROWS = 24, 5
@@ -220,15 +225,20 @@ def _verify(pairs: DataFrame, bags: DataFrame, similarity: float) -> tuple[DataF
     return measured(both.select("a", "b", share.alias("similarity")).where(F.col("similarity") >= similarity))
 
 
+def _hashed(docs: DataFrame, *more) -> DataFrame:
+    """doc_id, h1, h2 (two hashes of the text that name it) and more."""
+    return docs.select("doc_id", F.xxhash64("text").alias("h1"), F.xxhash64(F.lit(1), "text").alias("h2"), *more)
+
+
 def classes(docs: DataFrame, similarity: float = SIMILARITY, few: int = FEW_LINKS) -> tuple[DataFrame, DataFrame]:
-    """(doc_id, text_hash, class_id) a distinct row of id and text; and the verified links (a, b, similarity) of text hashes.
+    """(h1, h2, node, class_id) a distinct text of a row with an id; and the verified links (a, b, similarity) of nodes.
 
     class_id is the least id of the class.
     """
-    keyed = docs.where("doc_id IS NOT NULL").select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
+    keyed = _hashed(docs.where("doc_id IS NOT NULL"), "text")
     found = _per_text(keyed, _bands)
-    texts = checkpointed(found.groupBy("text_hash").agg(F.min("doc_id").alias("rep"), F.first("made").alias("bands")))
-    rows = keyed.select("doc_id", "text_hash", (F.coalesce(F.length("text"), F.lit(0)) == 0).alias("empty")).distinct()
+    # written with their numbers, so these do not change
+    texts = checkpointed(found.groupBy("h1", "h2").agg(F.min("doc_id").alias("rep"), F.first("made").alias("bands")).withColumn("text_hash", F.monotonically_increasing_id()))
     postings = texts.select("text_hash", F.explode("bands").alias("key"))
     # aggregates are written before they are joined: joined in the same stage, a hot key could not be split
     leaders = compacted(postings.groupBy("key").agg(F.min("text_hash").alias("a"), F.count("*").alias("n")).where("n > 1").drop("n"), 200_000)
@@ -236,18 +246,18 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY, few: int = FEW_LINK
     stars = compacted(stars)
     edges = compacted(stars.groupBy("a", "b").agg(F.count("*").alias("n")))
     nodes = edges.select(F.col("a").alias("text_hash")).union(edges.select(F.col("b").alias("text_hash"))).distinct()
-    wanted = texts.join(nodes, "text_hash").select(F.col("rep").alias("doc_id"), F.col("text_hash").alias("node"))
-    chosen = keyed.join(wanted, "doc_id").where("node = text_hash").select("node", "text")
-    bags = compacted(_per_text(chosen, _bag).withColumnRenamed("made", "bag").dropDuplicates(["node"]), 2_000)
+    wanted = compacted(texts.join(nodes, "text_hash").select(F.col("rep").alias("doc_id"), "h1", "h2", F.col("text_hash").alias("node")))
+    # most other texts end in the scan: what is shuffled are the bags of those that have a candidate
+    likely = sifted(keyed, wanted, "doc_id", "h1").where("_likely").select("doc_id", "h1", "h2", "text")
+    bags = _per_text(likely, _bag).withColumnRenamed("made", "bag").join(wanted, ["doc_id", "h1", "h2"]).select("node", "bag")
+    bags = compacted(bags.dropDuplicates(["node"]), 2_000)
     # the leader met most often first: most members need no other comparison
     best = edges.groupBy("b").agg(F.max(F.struct("n", "a")).alias("x")).select(F.col("x.a").alias("a"), "b")
     links, n = _verify(best, bags, similarity)
     links, label = _settle(stars, bags, links, n, similarity, few)
-    heads = texts.join(label, F.col("text_hash") == F.col("node"), "left").select("text_hash", "rep", F.coalesce("label", "text_hash").alias("label"))
+    heads = texts.join(label, F.col("text_hash") == F.col("node"), "left").select("h1", "h2", "text_hash", "rep", F.coalesce("label", "text_hash").alias("label"))
     least = compacted(heads.groupBy("label").agg(F.min("rep").alias("class_id")), 200_000)
-    named = heads.join(least, "label").select("text_hash", "class_id")
-    result = rows.join(named, "text_hash").select("doc_id", "text_hash", F.when(F.col("empty"), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"))
-    return result, links
+    return heads.join(least, "label").select("h1", "h2", F.col("text_hash").alias("node"), "class_id"), links
 
 
 def _settle(stars: DataFrame, bags: DataFrame, links: DataFrame, n: int, similarity: float, few_links: int) -> tuple[DataFrame, DataFrame]:
@@ -313,19 +323,39 @@ def _labelled(stars: DataFrame, label: DataFrame) -> DataFrame:
     return nodes.join(label, "node", "left").select("key", "node", F.coalesce("label", "node").alias("l"))
 
 
+def _with_class(rows: DataFrame, found: DataFrame) -> DataFrame:
+    """doc_id, h1, h2, other columns of rows but empty, and class_id."""
+    joined = rows.join(found.select("h1", "h2", "class_id"), ["h1", "h2"], "left")
+    return joined.withColumn("class_id", F.when(F.col("empty"), F.col("doc_id")).when(F.col("doc_id").isNotNull(), F.col("class_id"))).drop("empty")
+
+
+def _empty():
+    return (F.coalesce(F.length("text"), F.lit(0)) == 0).alias("empty")
+
+
 def members(docs: DataFrame, similarity: float = SIMILARITY, few: int = FEW_LINKS) -> DataFrame:
     """doc_id, class_id of every row of docs."""
     found, _ = classes(docs, similarity, few)
-    found = found.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), "class_id")
-    rows = docs.select("doc_id", F.xxhash64("text").alias("text_hash"))
-    return rows.join(found, (F.col("doc_id") == F.col("_id")) & (F.col("text_hash") == F.col("_hash")), "left").select("doc_id", "class_id")
+    return _with_class(_hashed(docs, _empty()), found).select("doc_id", "class_id")
 
 
 def keep_one(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """One document of each class: the one whose id names it. Rows without an id stay."""
+    """One document of each class: the one whose id names it. Rows without an id stay.
+
+    Rows that stay leave the scan as they are. Only those that go, repeated rows, and the few that
+    the sieve takes for such are shuffled with their texts.
+    """
     found, _ = classes(docs, similarity)
+    rows = _hashed(docs.where("doc_id IS NOT NULL"), _empty()).groupBy("doc_id", "h1", "h2").agg(F.count("*").alias("n"), F.first("empty").alias("empty"))
+    decided = compacted(_with_class(rows, found).select("doc_id", "h1", "h2", "n", (F.col("doc_id") == F.col("class_id")).alias("head")).where("n > 1 OR NOT head"), 500_000)
     own = free_name(docs.columns, "_own")
-    heads = found.where("doc_id = class_id").select(F.col("doc_id").alias(f"{own}_id"), F.col("text_hash").alias(f"{own}_hash"))
-    keyed = docs.withColumn(own, F.xxhash64("text"))
-    first = keyed.join(heads, (F.col("doc_id") == F.col(f"{own}_id")) & (F.col(own) == F.col(f"{own}_hash")), "left_semi").dropDuplicates(["doc_id", own])
-    return first.unionByName(keyed.where("doc_id IS NULL")).drop(own)
+    names = {c: f"{own}_{c}" for c in ("doc_id", "h1", "h2")}
+    keyed = docs.withColumns({names["h1"]: F.xxhash64("text"), names["h2"]: F.xxhash64(F.lit(1), "text"), names["doc_id"]: F.col("doc_id")})
+    marked = decided.select(*[F.col(c).alias(n) for c, n in names.items()], F.col("head").alias(f"{own}_head"))
+    flagged = sifted(keyed, marked, names["doc_id"], names["h1"])
+    same = list(names.values())
+    sure = flagged.where("NOT _likely").select(*docs.columns)
+    likely = flagged.where("_likely").drop("_likely")
+    other = likely.join(marked, same, "left_anti").select(*docs.columns)
+    first = likely.join(marked.where(f"`{own}_head`"), same, "left_semi").dropDuplicates(same).select(*docs.columns)
+    return sure.unionByName(other).unionByName(first)

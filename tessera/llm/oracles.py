@@ -89,3 +89,23 @@ e AS (SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size)::BIGI
 p AS (SELECT doc_id, size, source_size, target, epochs, greatest(0, round(target)::BIGINT - epochs * source_size) AS rest,
     coalesce(sum(size) OVER (PARTITION BY k.source ORDER BY key, doc_id, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM k JOIN e ON k.source IS NOT DISTINCT FROM e.source)
 SELECT doc_id, size, source_size, target, (epochs * size + greatest(0, least(size, rest - before)))::BIGINT AS taken FROM p"""
+
+
+def near_dedup() -> str:
+    n = neardup
+    k, s = n.SHINGLE, n.SIMILARITY
+    capitals = "".join(chr(c) for c in range(0xC0, 0xDF) if c != 0xD7)
+    small = "".join(chr(c + 32) for c in range(0xC0, 0xDF) if c != 0xD7)
+    return f"""
+WITH RECURSIVE t AS (SELECT text, min(doc_id) AS rep, row_number() OVER (ORDER BY min(doc_id), text) AS node FROM documents WHERE doc_id IS NOT NULL GROUP BY text),
+w AS (SELECT node, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}{capitals}', '{_LOWER}{small}'), '[0-9a-z\\x{{80}}-\\x{{10FFFF}}]+') AS w FROM t),
+g AS (SELECT node, unnest(CASE WHEN len(w) >= {k} THEN list_transform(range(1, len(w) - {k - 2}), lambda i: array_to_string(w[i : i + {k - 1}], ' ')) WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS gram FROM w),
+b AS (SELECT node, gram, count(*) AS n FROM g GROUP BY node, gram),
+size AS (SELECT node, sum(n) AS size FROM b GROUP BY node),
+p AS (SELECT x.node AS a, y.node AS b, sum(least(x.n, y.n)) AS shared FROM b x JOIN b y ON x.gram = y.gram AND x.node < y.node GROUP BY x.node, y.node),
+l AS (SELECT a, b FROM p JOIN size s ON s.node = a JOIN size u ON u.node = b WHERE shared / (s.size + u.size - shared) >= {s}),
+e AS (SELECT a, b FROM l UNION SELECT b, a FROM l),
+r AS (SELECT node, node AS label FROM t UNION SELECT e.b, r.label FROM r JOIN e ON e.a = r.node WHERE r.label < e.b),
+c AS (SELECT node, min(label) AS label FROM r GROUP BY node),
+m AS (SELECT label, min(rep) AS class_id FROM c JOIN t USING (node) GROUP BY label)
+SELECT doc_id, CASE WHEN doc_id IS NULL THEN NULL WHEN length(coalesce(d.text, '')) = 0 THEN doc_id ELSE class_id END AS class_id FROM documents d LEFT JOIN t ON d.text IS NOT DISTINCT FROM t.text LEFT JOIN c USING (node) LEFT JOIN m USING (label)"""

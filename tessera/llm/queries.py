@@ -66,6 +66,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_language_id": op10_language_id,
 }
 ORACLES: dict[str, str] = {
+    "op1_near_dedup": oracles.near_dedup(),
     "op5_license_scan": oracles.license_scan(),
     "op6_quality_rules": oracles.quality_rules(),
     "op9_mixing": oracles.mixing_of_sources(),
