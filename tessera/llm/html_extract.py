@@ -3,7 +3,7 @@
 A page becomes a tree of block elements with its runs of text as leaves. Every node is
 content (C), boilerplate (B) or a mixed container (M; elements only). Potentials are
 log-probabilities of a node's state given its parent's state, and of its features (tag,
-tag under parent's tag, tokens of class, id and role, shape of a text) given its state.
+tag under parent's tag and in the nearest section, tokens of class, id and role, shape of a text) given its state.
 Sum-product messages pass once from the leaves up and once from the root down, which is
 exact on a tree; runs of text whose marginal of C is over 1/2 are the main text.
 
@@ -15,7 +15,7 @@ Each page is handled alone and whole. Character references are decoded, white sp
 within a run (Unicode white space and <br>) becomes one space, and runs are joined by
 an empty line. Defined cases: a null or empty page has an empty text; a comment or raw text (RAW) that is
 not closed ends with the page, but of an element of SUBTREES only the tag is dropped then;
-"/>" closes svg and math; nothing that may stand in a head has text, so its tags are passed
+"/>" closes svg; formulas are part of the text around them; nothing that may stand in a head has text, so its tags are passed
 over and the first other thing is of the body, closed head or not; a page without
 tags is one run of text; repeated rows are handled one by one; an empty table gives an
 empty result.
@@ -41,12 +41,15 @@ LABELLED_PAGES = 600
 C, B, M = range(3)
 # Element names of the HTML standard.
 RAW = "script style iframe textarea title".split()
-SUBTREES = frozenset("noscript template svg math object canvas audio video select datalist".split())
-FOREIGN = frozenset("svg math".split())
+SUBTREES = frozenset("noscript template svg annotation annotation-xml object canvas audio video select datalist".split())
+FOREIGN = frozenset(["svg"])
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark nobr q rp rt ruby s samp small span strike strong sub sup time tt u var".split())
+INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark nobr q rp rt ruby s samp small span strike strong sub sup time tt u var".split()) | frozenset(
+    "math menclose merror mfrac mi mn mo mover mpadded mphantom mroot mrow ms mspace msqrt mstyle msub msubsup msup mtable mtd mtext mtr munder munderover semantics".split()
+)
 CLOSES_P = frozenset("address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre section table ul".split())
 SIBLING = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}, "tbody": {"thead", "tbody", "tr", "td", "th"}, "p": {"p"}}
+SECTIONS = frozenset("article main section nav aside header footer form".split())
 SCOPE = frozenset("table ul ol dl body html article section div td th".split())
 
 _TOKEN = re.compile(
@@ -66,7 +69,7 @@ class Tree(NamedTuple):
     states: list[int]  # of labelled pages, else -1
 
 
-_END_OF_FOREIGN = re.compile(r"</(?:svg|math)\s*>", re.I)
+_END_OF_FOREIGN = re.compile(r"</svg\s*>", re.I)
 
 
 def _tokens(page: str) -> tuple[list[tuple[int, int, re.Match]], dict[int, int]]:
@@ -77,11 +80,11 @@ def _tokens(page: str) -> tuple[list[tuple[int, int, re.Match]], dict[int, int]]
     while m := _TOKEN.search(page, spot):
         start, spot = m.span()
         if m["drop"] is not None:
-            # In svg and math, an element of RAW can be closed by "/>" and ends with them.
+            # In svg, an element of RAW can be closed by "/>" and ends with it.
             if foreign > 0 and (m["tag"].endswith("/>") or _END_OF_FOREIGN.search(page, m.end("tag"), spot)):
                 spot = m.end("tag")
         elif m["name"] is not None and (name := m["name"].lower()) in CLOSES_P:
-            foreign = 0  # a block is no longer in them
+            foreign = 0  # a block is no longer in it
         elif m["name"] is not None and name in SUBTREES:
             if m["close"]:
                 if opened[name]:
@@ -96,17 +99,18 @@ def _tokens(page: str) -> tuple[list[tuple[int, int, re.Match]], dict[int, int]]
     return tokens, closed
 
 
-def _shape(text: str, linked: int, tag: str) -> tuple[str, ...]:
+def _shape(text: str, linked: int, tag: str, around: str) -> tuple[str, ...]:
     n = len(text)
     size = "s" if n < 25 else "m" if n < 80 else "l" if n < 250 else "x"
     link = "0" if not linked else "1" if 2 * linked < n else "2"
     end = "." if text[-1] in ".!?:;\"')]»”…" else "-"
-    return (f"t:{size}{link}", f"e:{end}{size}", f"u:{tag}{link}", "copyright" if "©" in text else "plain")
+    return (f"t:{size}{link}", f"e:{end}{size}", f"u:{tag}{link}", f"u:in {around}{link}", "copyright" if "©" in text else "plain")
 
 
 def parse(page: str) -> Tree:
     tree = Tree([-1], [("root",)], [None], [M])
-    stack: list[tuple[str, int]] = [("", 0)]  # block elements: name, node
+    stack: list[tuple[str, int, str]] = [("", 0, "")]  # block elements: name, node, nearest of SECTIONS
+    standing: dict[str, int] = defaultdict(int)  # open elements by name: what is not open is not looked for
     run: list[str] = []
     links = linked = 0
     spot = 0
@@ -117,9 +121,9 @@ def parse(page: str) -> Tree:
             text = " ".join("".join(run).split())
             run.clear()
             if text:
-                name, node = stack[-1]
+                name, node, around = stack[-1]
                 tree.parents.append(node)
-                tree.features.append(_shape(text, linked, name))
+                tree.features.append(_shape(text, linked, name, around))
                 tree.texts.append(text)
                 tree.states.append(tree.states[node] if tree.states[node] != M else -1)
             linked = 0
@@ -134,6 +138,8 @@ def parse(page: str) -> Tree:
 
     def pop_to(depth: int) -> None:
         flush()
+        for name, *_ in stack[depth:]:
+            standing[name] -= 1
         del stack[depth:]
 
     tokens, closed = _tokens(page)
@@ -161,17 +167,15 @@ def parse(page: str) -> Tree:
                 flush()
             continue
         if m["close"]:
-            for depth in range(len(stack) - 1, 0, -1):
-                if stack[depth][0] == name:
-                    pop_to(depth)
-                    break
+            if standing[name]:
+                pop_to(next(depth for depth in range(len(stack) - 1, 0, -1) if stack[depth][0] == name))
             else:
                 flush()
             links = 0
             continue
         flush()
         links = 0
-        if name in CLOSES_P:
+        if name in CLOSES_P and standing["p"]:
             for depth in range(len(stack) - 1, 0, -1):
                 if stack[depth][0] == "p":
                     pop_to(depth)
@@ -182,8 +186,8 @@ def parse(page: str) -> Tree:
         if ends and name != "p":
             while len(stack) > 1 and stack[-1][0] in ends:
                 pop_to(len(stack) - 1)
-        above, node = stack[-1]
-        own, state = [name, f"{name}<{above}"], -1
+        above, node, around = stack[-1]
+        own, state = [name, f"{name}<{above}", f"{name} in {around}"], -1
         rest = m["rest"]
         if rest and "=" in rest:
             for a in _ATTRIBUTE.finditer(rest):
@@ -196,7 +200,8 @@ def parse(page: str) -> Tree:
         tree.features.append(tuple(dict.fromkeys(own)))
         tree.texts.append(None)
         tree.states.append(state)
-        stack.append((name, len(tree.parents) - 1))
+        stack.append((name, len(tree.parents) - 1, name if name in SECTIONS else around))
+        standing[name] += 1
     say(page[spot:])
     flush()
     return tree
@@ -302,14 +307,14 @@ def main_text(page: str | None, model: Model) -> str:
 # Labelled pages.
 
 _BOILER = {
-    "nav": "nav navigation menu navbar topnav mainmenu breadcrumb breadcrumbs pagination pager tabs toc links sitemap",
+    "nav": "nav navigation menu directory navbar topnav mainmenu breadcrumb breadcrumbs pagination pager tabs toc links sitemap",
     "header": "header masthead topbar branding logo banner site",
-    "footer": "footer copyright colophon legal bottom credits",
-    "aside": "sidebar aside widget related recommended trending popular rail secondary tags archive",
+    "footer": "footer contentinfo copyright colophon legal bottom credits",
+    "aside": "sidebar complementary aside widget related recommended trending popular rail secondary tags archive",
     "ad": "ad ads advert advertisement adsense promo sponsored sponsor banner commercial billboard",
     "notice": "cookie notice consent gdpr alert popup modal overlay message warning privacy toast",
     "form": "form search newsletter subscribe signup login register contact poll feedback",
-    "comments": "comments comment disqus replies discussion respond reply",
+    "comments": "comments comment wpdiscuz disqus replies discussion respond reply",
     "share": "share social sharing follow buttons toolbar meta byline print",
 }
 _CONTENT = "article content main post entry story body text page markdown article-body post-content entry-content main-content story-body prose document maincontent"
@@ -333,6 +338,11 @@ class _Writer:
     def prose(self, low: int = 1, high: int = 8) -> str:
         return " ".join(self.sentence() for _ in range(self.r.randint(low, high)))
 
+    def reading(self) -> str:
+        """A list of links that is part of an article."""
+        item = lambda: f'<a href="/{self.some(1, 1)}">{self.some(2, 8).capitalize()}</a>{self.r.choice(["", "", ", " + self.some(2, 6), ". " + self.sentence()])}'
+        return f'<ul data-y="{C}">' + "".join(f'<li data-y="{C}">{item()}</li>' for _ in range(self.r.randint(2, 6))) + "</ul>"
+
     def links(self, y: int) -> str:
         n = self.r.randint(2, 8)
         item = lambda: f'<a href="/{self.some(1, 1)}">{self.some(1, 4)}</a>'
@@ -343,7 +353,7 @@ class _Writer:
     def name(self, words: str) -> str:
         own = self.r.choice(words.split())
         extra = self.r.choice(["", "", "", f" {self.some(1, 1)}", f" {own}-{self.some(1, 1)}", " box", " wrapper", " inner"])
-        return f' {self.r.choice(["class", "class", "id"])}="{own}{extra}"'
+        return f' {self.r.choice(["class", "class", "class", "id", "id", "role"])}="{own}{extra}"'
 
     def boiler(self, kind: str) -> str:
         tag = _TAGS[kind] if self.r.random() < 0.6 else self.r.choice(["div", "div", "section", "aside" if kind in ("aside", "ad") else "div"])
@@ -388,9 +398,13 @@ class _Writer:
             f'<figure data-y="{C}"><figcaption data-y="{C}">{self.sentence()}</figcaption></figure>',
             f'<section data-y="{C}"><h3 data-y="{C}">{self.some(1, 5)}</h3>{self.paragraph()}</section>',
             f'<div data-y="{C}">{self.paragraph()}</div>',
+            f'<h2 data-y="{C}">{self.some(1, 4)}</h2>{self.reading()}',
+            self.reading(),
         ]
         for _ in range(self.r.randint(0, 4)):
             parts.insert(self.r.randint(0, len(parts)), self.r.choice(extras))
+        if self.r.random() < 0.35:
+            parts.insert(self.r.randint(1, len(parts)), self.reading())
         for _ in range(self.r.choice([0, 0, 0, 1, 2])):
             parts.insert(self.r.randint(0, len(parts)), self.boiler(self.r.choice(["ad", "aside", "share", "form", "notice"])))
         title = f'<h1 data-y="{C}">{self.some(2, 9).capitalize()}</h1>'
@@ -399,6 +413,10 @@ class _Writer:
         if self.r.random() < 0.15:
             parts.append(self.boiler("comments"))
         body = (title if self.r.random() < 0.9 else "") + "".join(parts)
+        if self.r.random() < 0.05:
+            body = f'<ul data-y="{C}">' + "".join(f'<li data-y="{C}">{self.prose(1, 4)}</li>' for _ in range(self.r.randint(2, 8))) + "</ul>"
+        if self.r.random() < 0.08:
+            return body
         tag = self.r.choice(["article", "article", "main", "div", "div", "section"])
         attributes = self.name(_CONTENT) if tag in ("div", "section") or self.r.random() < 0.4 else ""
         return f'<{tag}{attributes} data-y="{C}">{body}</{tag}>'
