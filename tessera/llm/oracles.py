@@ -109,3 +109,19 @@ r AS (SELECT node, node AS label FROM t UNION SELECT e.b, r.label FROM r JOIN e
 c AS (SELECT node, min(label) AS label FROM r GROUP BY node),
 m AS (SELECT label, min(rep) AS class_id FROM c JOIN t USING (node) GROUP BY label)
 SELECT doc_id, CASE WHEN doc_id IS NULL THEN NULL WHEN length(coalesce(d.text, '')) = 0 THEN doc_id ELSE class_id END AS class_id FROM documents d LEFT JOIN t ON d.text IS NOT DISTINCT FROM t.text LEFT JOIN c USING (node) LEFT JOIN m USING (label)"""
+
+
+def suffix_dedup_of_texts() -> str:
+    n = suffix_dedup.LENGTH
+    return f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+s AS (SELECT r, doc_id, unnest(range(0, len(h) // 2 - {n - 1})) AS p FROM d WHERE len(h) >= {2 * n}),
+k AS (SELECT s.r, s.doc_id, p, md5_number(substr(h, 2 * p + 1, {2 * n})) AS k FROM s JOIN d USING (r)),
+g AS (SELECT r, p FROM k QUALIFY coalesce(doc_id, {(1 << 63) - 1}) > min(coalesce(doc_id, {(1 << 63) - 1})) OVER (PARTITION BY k) OR p > min(p) OVER (PARTITION BY k, r)),
+i AS (SELECT r, p, sum(fresh) OVER (PARTITION BY r ORDER BY p) AS span FROM (SELECT r, p, CASE WHEN p - lag(p) OVER (PARTITION BY r ORDER BY p) <= {n} THEN 0 ELSE 1 END AS fresh FROM g)),
+x AS (SELECT r, min(p) AS lo, max(p) + {n} AS hi FROM i GROUP BY r, span),
+e AS (SELECT r, lo, hi, lag(hi, 1, 0) OVER (PARTITION BY r ORDER BY lo) AS start FROM x),
+t AS (SELECT r, sum(hi - lo) AS n_removed, count(*) AS n_spans, max(hi) AS last FROM x GROUP BY r),
+b AS (SELECT e.r, string_agg(substr(h, 2 * start + 1, 2 * (lo - start)), '' ORDER BY lo) AS body FROM e JOIN d USING (r) GROUP BY e.r)
+SELECT doc_id, CAST(len(h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans, sha256(unhex(coalesce(body, '') || substr(h, 2 * coalesce(last, 0) + 1))) AS kept_sha256
+FROM d LEFT JOIN t USING (r) LEFT JOIN b USING (r)"""

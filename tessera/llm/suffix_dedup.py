@@ -22,8 +22,9 @@ Memory is bounded by a chunk or a bucket. A sample tied in over HOT_CHUNKS chunk
 passage of very many texts) would fill one bucket; its suffixes are dealt by their own
 hash instead, one for each distinct suffix of a chunk.
 
-Suffixes are grouped by 64-bit hashes within a bucket, not compared in lexicographic
-order: removal needs ties, not ranks among different strings. Residues are counted from
+Suffixes are grouped by 64-bit hashes within a bucket and confirmed by their bytes (hot ones
+by a second hash), not compared in lexicographic order: removal needs ties, not ranks among
+different strings. Residues are counted from
 a start that differs by text, so that copies tie in one sample a period, not in all.
 
 Defined cases: a null text is empty; texts under LENGTH bytes lose nothing; rows of
@@ -276,7 +277,7 @@ def _around(number: int, c: Chunk, found: list[dict], bits: int, kept: int) -> l
             own, lo, hi = own[wide], lo[wide], hi[wide]
             if not len(own):
                 continue
-            key = T.mix(T.rolling_hashes(c.data, lo, hi) ^ T.mix((at[own] - lo).astype(T.U) + hashes[own]))
+            key = T.mix(T.span_hashes(c.data, lo, hi) ^ T.mix((at[own] - lo).astype(T.U) + hashes[own]))
             settled, _ = _first_of_equal(key, c.ids[of[own]], of[own], lo)
             spans.append((of[own][settled], lo[settled] - c.offsets[of[own][settled]], hi[settled] - c.offsets[of[own][settled]]))
             own, lo, hi = own[~settled], lo[~settled], hi[~settled]
@@ -290,11 +291,12 @@ def _around(number: int, c: Chunk, found: list[dict], bits: int, kept: int) -> l
                 place = p - c.offsets[rows]
                 settled, more = _first_of_equal(key, c.ids[rows], rows, place)
                 spans.append((rows[settled], place[settled], place[settled] + LENGTH))
+                second = T.rolling_hashes(c.data, p[more], p[more] + LENGTH, T.SECOND)
                 rows, key, place = rows[more], key[more], place[more]
                 order = np.argsort(key)
                 for i, a, b in _by_bucket(key[order], bits):
                     s = order[a:b]
-                    out.append((number, SUFFIXES, int(i), _pack(key[s], c.ids[rows[s]], rows[s].astype(np.uint32), place[s])))
+                    out.append((number, SUFFIXES, int(i), _pack(key[s], second[s], c.ids[rows[s]], rows[s].astype(np.uint32), place[s])))
             else:
                 order = np.argsort(hashes[own])
                 for i, a, b in _by_bucket(hashes[own][order], bits):
@@ -330,6 +332,32 @@ def joined_spans(rows: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> tuple[np.n
     return rows[start], lo[start], reach[end] - shift[start]
 
 
+def _confirmed(keys: np.ndarray, proofs: np.ndarray, data: np.ndarray) -> np.ndarray:
+    """Sorted keys, of which equal ones now stand for equal strings: each string is compared with the
+    first of its key, byte for byte, or by a second hash where a bucket has only hashes (hot suffixes).
+    Those that differ get keys of their own; no such case is known."""
+    if not len(keys):
+        return keys
+    words = np.ndarray((len(data) - 7,), "<u8", data, 0, (1,))
+    new = np.ones(len(keys), bool)
+    new[1:] = keys[1:] != keys[:-1]
+    first = proofs[np.maximum.accumulate(np.where(new, np.arange(len(keys)), 0))]
+    wrong = (proofs < 0) & (first < 0) & (proofs != first)
+    both = np.flatnonzero((proofs >= 0) & (first >= 0) & (proofs != first))
+    for lo in range(0, len(both), 1 << 18):
+        some = both[lo : lo + (1 << 18)]
+        a, b = proofs[some], first[some]
+        differ = np.zeros(len(some), bool)
+        for shift in (*range(0, LENGTH - 8, 8), LENGTH - 8):
+            differ |= words[a + shift] != words[b + shift]
+        wrong[some] = differ
+    keys = keys.copy()
+    for i in np.flatnonzero(wrong).tolist():
+        own = data[proofs[i] : proofs[i] + LENGTH].tobytes() if proofs[i] >= 0 else int(proofs[i]).to_bytes(8, "little", signed=True)
+        keys[i] = int.from_bytes(hashlib.blake2b(own + int(keys[i]).to_bytes(8, "little"), digest_size=8).digest(), "little")
+    return keys
+
+
 def _settle_bucket(pdf: pd.DataFrame) -> pd.DataFrame:
     """Step 3, by bucket: sorts its suffixes and marks all but the first of equal ones."""
     numbers = pdf["chunk"].to_numpy()
@@ -337,6 +365,7 @@ def _settle_bucket(pdf: pd.DataFrame) -> pd.DataFrame:
     bucket = int(pdf["bucket"].iloc[0])
     out = [(int(numbers[i]), SPANS, bucket, pdf["payload"].iloc[i]) for i in np.flatnonzero(kinds == SPANS)]
     keys, contexts = [], []  # contexts: number of suffixes, id, row, first place, payload; suffixes of one follow each other
+    proofs, bodies, upto = [], [], 0  # of a suffix: where its bytes are among bodies, or a second hash, as a negative number
     for i in np.flatnonzero(kinds == TIED):
         doc, row, lo, length, body = _unpack(pdf["payload"].iloc[i], np.int64, np.uint32, np.int64, np.uint8, np.uint8)
         length = length.astype(np.int64)
@@ -347,9 +376,13 @@ def _settle_bucket(pdf: pd.DataFrame) -> pd.DataFrame:
             first, last = int(part[0]), int(part[-1]) + LENGTH
             keys.append(T.rolling_hashes(body[first:last], part - first, part - first + LENGTH))
         contexts.append((n, doc, row, lo, np.full(len(n), i)))
+        proofs.append(start + upto)
+        bodies.append(body)
+        upto += len(body)
     for i in np.flatnonzero(kinds == SUFFIXES):
-        key, doc, row, place = _unpack(pdf["payload"].iloc[i], T.U, np.int64, np.uint32, np.int64)
+        key, second, doc, row, place = _unpack(pdf["payload"].iloc[i], T.U, T.U, np.int64, np.uint32, np.int64)
         keys.append(key)
+        proofs.append(-1 - (second >> T.U(1)).astype(np.int64))
         contexts.append((np.ones(len(key), np.int64), doc, row, place, np.full(len(key), i)))
     if keys:
         key = np.concatenate(keys)
@@ -362,6 +395,9 @@ def _settle_bucket(pdf: pd.DataFrame) -> pd.DataFrame:
         multiple[1:] |= same
         multiple[:-1] |= same
         order, k = order[multiple], k[multiple]
+        k = _confirmed(k, np.concatenate(proofs)[order], np.concatenate([*bodies, np.zeros(8, np.uint8)]))
+        sort = np.argsort(k, kind="stable")
+        order, k = order[sort], k[sort]
         own = context[order]
         place = lo[own] + order - (np.cumsum(n) - n)[own]
         doc, row, of = doc[own], row[own], of[own]

@@ -20,7 +20,8 @@ import xxhash
 BLOCK_BYTES = 1 << 20
 U = np.uint64
 _BASE = 0x9E3779B97F4A7C15 | 1
-_INVERSE = pow(_BASE, -1, 1 << 64)
+#: Another base for rolling hashes.
+SECOND = 0xD6E8FEB86659FD93
 
 
 class Block(NamedTuple):
@@ -141,12 +142,12 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     return out
 
 
-def rolling_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+def rolling_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, base: int = _BASE) -> np.ndarray:
     """A 64-bit hash of each of many overlapping spans: a polynomial modulo 2**64, then mixed with the
     length. Equal hashes are to be confirmed by the bytes."""
     total = np.zeros(len(data) + 1, U)
-    np.cumsum((mix_bytes()[data]) * powers(_BASE, len(data)), out=total[1:])
-    own = (total[ends] - total[starts]) * powers(_INVERSE, len(data) + 1)[starts]
+    np.cumsum((mix_bytes()[data]) * powers(base, len(data)), out=total[1:])
+    own = (total[ends] - total[starts]) * powers(pow(base, -1, 1 << 64), len(data) + 1)[starts]
     return mix(own ^ (ends - starts).astype(U))
 
 
