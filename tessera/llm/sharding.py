@@ -10,11 +10,19 @@ most nodes * 2**DIGIT sums, and the driver sees one row a node.
 
 The items are groups of equal texts, which stay together. A group over
 1 / GROUP_PART of a shard is dealt into small pieces by a hash of the id first, so that one
-hot group cannot unbalance the shards.
+hot group cannot unbalance the shards; group_pieces says into how many (1: together).
+
+A cut passes between items, so one large item at a cut leaves its leaves unequal. The
+leaves are therefore laid out in their order, each with its smallest items at both ends and
+the largest in the middle, and the line is cut anew into equal shares of bytes: only small
+items at the ends of a leaf change over to the leaf beside it. Positions come from sums of
+bins, at most 2 * CLASSES * 64 a leaf; items are sorted only in the bins that a cut crosses.
 
 Defined cases: a null or empty text has size 8; nulls in source or language are values
 like any other; rows with equal id and text may get any slot of their shard, and
-nothing else about them differs; an empty table gives an empty result.
+nothing else about them differs; only the length and hashes of a text are used, however long
+it is; columns to carry along that are named like the result's own are left out; an empty
+table gives an empty result.
 """
 
 from __future__ import annotations
@@ -29,6 +37,8 @@ SHARDS, GROUP_PART, PIECES = 24, 8, 32
 COORDINATE, TIE, DIGIT = 24, 24, 12
 #: Rows of a shard that are numbered by one task, about.
 SLOT_ROWS = 200_000
+#: Classes of an item's bytes: eighths of an octave.
+CLASSES = 512
 DIMENSIONS = ("x_size", "x_source", "x_lang", "x_id")
 
 
@@ -87,9 +97,31 @@ def kd_tree(items: DataFrame, shards: int) -> DataFrame:
     return items
 
 
+def even_cuts(items: DataFrame, shards: int, order: list[str]) -> DataFrame:
+    """items of kd_tree with shard: the leaves in a line, cut into shares of equal weight."""
+    size_class = F.least(F.lit(CLASSES - 1), F.floor(F.log2(F.col("weight").cast("double")) * 8)).cast("int")
+    place = F.when(F.col("tie").bitwiseAND(1) == 0, size_class).otherwise(2 * CLASSES - size_class)
+    binned = items.withColumn("_place", place).withColumn("_sub", F.shiftright("tie", 1).bitwiseAND(63).cast("int"))
+    same = ["node", "_place", "_sub"]
+    bins = checkpointed(binned.groupBy(*same).agg(F.sum("weight").alias("_bytes")))
+    leaves = bins.groupBy("node").agg(F.sum("_bytes").alias("_leaf"))  # at most shards rows
+    upto = lambda w: w.rowsBetween(Window.unboundedPreceding, -1)
+    leaves = leaves.select(F.col("node").alias("_n"), F.coalesce(F.sum("_leaf").over(upto(Window.orderBy("node"))), F.lit(0)).alias("_start"), F.sum("_leaf").over(Window.partitionBy()).alias("_all"))
+    before = F.col("_start") + F.coalesce(F.sum("_bytes").over(upto(Window.partitionBy("node").orderBy("_place", "_sub"))), F.lit(0))
+    bins = bins.join(F.broadcast(leaves), F.col("node") == F.col("_n")).select(*[F.col(c).alias(f"_b{c}") for c in same], "_bytes", "_all", before.alias("_before"))
+    number = lambda at: F.greatest(F.lit(0), F.least(F.lit(shards - 1), F.floor(at * shards / F.col("_all")))).cast("int")
+    crossed = number(F.col("_before")) != number(F.col("_before") + F.col("_bytes") - 1)
+    bins = checkpointed(bins.withColumn("_crossed", crossed))
+    found = binned.join(bins, [binned[c] == bins[f"_b{c}"] for c in same])
+    whole = found.where("NOT _crossed").withColumn("shard", number(F.col("_before") + F.col("_bytes") / 2))
+    own = F.sum("weight").over(Window.partitionBy(*same).orderBy("tie", *order))  # of at most shards bins
+    cut = found.where("_crossed").withColumn("_own", own).withColumn("shard", number(F.col("_before") + F.col("_own") - F.col("weight") / 2)).drop("_own")
+    return whole.unionByName(cut).select(*items.columns, "shard")
+
+
 def shard(docs: DataFrame, shards: int = SHARDS, keep: list[str] | None = None) -> DataFrame:
-    """doc_id, keep, size, text_crc32, shard and slot of every row."""
-    names = {c: f"c{i}" for i, c in enumerate(kept(keep, "doc_id", "size", "text_crc32", "shard", "slot"))}  # no clash with names in here
+    """doc_id, keep, size, text_crc32, shard, slot and group_pieces of every row."""
+    names = {c: f"c{i}" for i, c in enumerate(kept(keep, "doc_id", "size", "text_crc32", "shard", "slot", "group_pieces"))}  # no clash with names in here
     keep = list(names.values())
     docs = docs.select("doc_id", "text", "source", "lang", *[F.col(f"`{c}`").alias(n) for c, n in names.items()])
     crc = F.crc32(F.coalesce("text", F.lit("")).cast("binary"))
@@ -112,11 +144,11 @@ def shard(docs: DataFrame, shards: int = SHARDS, keep: list[str] | None = None)
         F.sum("size").alias("weight"), F.min("_source").alias("x_source"), F.min("_lang").alias("x_lang"), F.coalesce(F.min("doc_id"), F.lit(-1)).cast("double").alias("x_id"), F.count("*").alias("n")
     )
     items = items.withColumn("x_size", F.log2(F.col("size").cast("double"))).withColumn("tie", F.shiftrightunsigned(F.xxhash64("_text", "_piece"), 64 - TIE))
-    leaves = kd_tree(items, shards).select(*[F.col(c).alias(f"i{c}") for c in same], F.col("node").alias("shard"))
+    leaves = even_cuts(kd_tree(items, shards), shards, same).select(*[F.col(c).alias(f"i{c}") for c in same], "shard")
     match = [dealt[c] == leaves[f"i{c}"] for c in same]
-    placed = dealt.join(leaves, match).select("doc_id", *keep, "size", "text_crc32", "_text", "shard")
+    placed = dealt.join(leaves, match).select("doc_id", *keep, "size", "text_crc32", "_text", "shard", F.coalesce("pieces", F.lit(1)).cast("long").alias("group_pieces"))
     numbered = with_slots(placed, max(1, -(-(n_rows or 0) // (shards * SLOT_ROWS))))
-    return numbered.select("doc_id", *[F.col(n).alias(c) for c, n in names.items()], "size", "text_crc32", "shard", "slot")
+    return numbered.select("doc_id", *[F.col(n).alias(c) for c, n in names.items()], "size", "text_crc32", "shard", "slot", "group_pieces")
 
 
 def with_slots(placed: DataFrame, sections: int) -> DataFrame:
