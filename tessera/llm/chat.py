@@ -44,6 +44,8 @@ ALIASES = {"system": 1, "developer": 1, "user": 2, "human": 2, "prompter": 2, "a
 NEXT = {START: (SYSTEM, USER), SYSTEM: (USER,), USER: (ASSISTANT,), ASSISTANT: (USER,)}
 MERGE, RELABEL, INSERT = 2, 3, 4
 FAR = 1 << 60
+#: Bytes of turns in a partition, about.
+PART_BYTES = 64 << 20
 
 
 class Step(NamedTuple):
@@ -166,7 +168,8 @@ def arranged(turns: DataFrame) -> DataFrame:
     rows = turns.select("conv_id", "turn", "role", "text").withColumn("_copy", F.monotonically_increasing_id())  # equal rows may be parted, in any order
     order = [F.col("conv_id").asc_nulls_first(), F.col("turn").asc_nulls_first(), F.col("role").asc_nulls_first(), F.xxhash64("text"), F.col("text").asc_nulls_first(), "_copy"]
     keys = [*order[:4], order[5]]
-    placed = rows.repartitionByRange(parts(turns.sparkSession), *keys).sortWithinPartitions(*order)
+    size = turns.agg(F.sum(F.octet_length("text") + 32)).first()[0] or 0
+    placed = rows.repartitionByRange(max(parts(turns.sparkSession), -(-size // PART_BYTES)), *keys).sortWithinPartitions(*order)
     return checkpointed(placed.select(F.spark_partition_id().alias("part"), "conv_id", "turn", "role", "text"))
 
 

@@ -8,7 +8,7 @@ the rest. Since a score is linear in the presence vector, landmarks and coeffici
 fold into one matrix, and a batch of texts is scored by one matrix product.
 
 Training uses a bounded sample (a documented parameter): about PER_LANGUAGE documents
-of each language, chosen by a hash of the id among those that may be learned from.
+of each language, ALL_LANGUAGES at most, chosen by a hash of the id among those that may be learned from.
 Every text is predicted whole, from its bytes alone.
 
 Defined cases: a null text, or one without a letter, gets und and score 0; so does
@@ -32,6 +32,8 @@ ORDERS, FEATURES_LOG2 = (1, 2, 3), 15
 FEATURES = 1 << FEATURES_LOG2
 #: The sample: documents and landmarks of a language, about.
 PER_LANGUAGE, LANDMARKS_PER_LANGUAGE = 400, 48
+#: The same of all languages together: with more of them, each has fewer.
+ALL_LANGUAGES, ALL_LANDMARKS = 16_000, 2_000
 RIDGE = 1e-2
 UNKNOWN = "und"
 
@@ -73,6 +75,7 @@ class Model(NamedTuple):
 def fit(languages: np.ndarray, bits: np.ndarray, landmarks: int = LANDMARKS_PER_LANGUAGE, ridge: float = RIDGE) -> Model:
     """Nyström features and one-versus-rest kernel ridge regression. bits: packed presence, a row a text."""
     names = sorted(set(languages))
+    landmarks = max(1, min(landmarks, ALL_LANDMARKS // len(names)))
     chosen = np.concatenate([np.flatnonzero(languages == c)[:landmarks] for c in names])
     unit = lambda rows: (x := np.unpackbits(bits[rows], axis=1).astype(np.float32)) / np.sqrt(np.maximum(x.sum(1, keepdims=True), 1.0))
     marks = unit(chosen)
@@ -101,6 +104,7 @@ def train(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Model | None:
     sizes = {r["lang"]: r["count"] for r in allowed.groupBy("lang").count().collect()}  # a row a language
     if not sizes:
         return None
+    per_language = max(1, min(per_language, ALL_LANGUAGES // len(sizes)))
     order = F.shiftrightunsigned(F.xxhash64(F.lit(10), "doc_id"), 1) / float(1 << 63)
     rate = None
     for lang, n in sizes.items():
