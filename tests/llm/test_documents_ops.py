@@ -83,16 +83,28 @@ def test_exact_bounds():
 
 
 def test_cutoffs_keep_the_limit():
-    """Over many draws of labels, the chosen cutoff rejects more than alpha of the good ones at most as often as the level says."""
+    """Over many draws of a holdout, the step that is used has the rules together reject more than alpha of
+    the good ones at most as often as the level says."""
     import numpy as np
 
-    r, level, over = np.random.default_rng(0), 0.05, 0
-    truth = np.exp(-np.arange(quality.GRID + 1) / 8)
-    truth /= truth.sum()
-    for _ in range(200):
-        cut = quality.choose(r.multinomial(600, truth), r.multinomial(600, np.full(quality.GRID + 1, 1 / (quality.GRID + 1))), 0.05, level)
-        over += cut is not None and truth[cut + 1 :].sum() > 0.05
-    assert over <= 200 * level * 1.5
+    r, level, over, used = np.random.default_rng(0), 0.05, 0, 0
+    for truth in (np.full(quality.STEPS + 1, 0.004), np.r_[np.full(quality.STEPS, 0.02), 0.0], np.r_[0.049, np.full(quality.STEPS - 1, 0.002), 0.0]):
+        truth[-1] = 1 - truth[:-1].sum()
+        for _ in range(300):
+            step = quality.last_certified(np.r_[0, r.multinomial(800, truth)], 0.05, level)
+            used += step > 0
+            over += truth[:step].sum() > 0.05
+    assert used > 300 and over <= 900 * level * 1.3
+
+
+def test_long_strings_of_a_simple_make_are_told_apart(spark):
+    a = "a"
+    while len(a) < 2048:
+        a += a.translate(str.maketrans("ab", "ba"))
+    b = a.translate(str.maketrans("ab", "ba"))
+    texts = [f"{a}\n{b}", f"{a} x y {b} x y", f"{a}\n{b}\n{a}"]
+    got = quality.assess(spark.createDataFrame([(i, t, None, None, 0) for i, t in enumerate(texts)], SCHEMA), spark.createDataFrame([(0, 1)], "doc_id long, quality int"))
+    assert table(got, "doc_id", "n_dup_lines", "n_repeat_words") == [(0, 0, 0), (1, 0, 0), (2, 1, 0)]
 
 
 def test_quality_rejects_what_labels_call_bad(spark):
@@ -318,6 +330,29 @@ def test_shard_sizes_are_near_equal(spark):
     assert table(again, "doc_id", "shard") == table(sharding.shard(spark.createDataFrame(data, SCHEMA)), "doc_id", "shard")
 
 
+def brute_tree(items, first, n):
+    """node of each item (values of the dimensions, tie, weight, key): sorted along the widest dimension, cut nearest to the share."""
+    if n == 1 or not items:
+        return {x["key"]: first for x in items}
+    widest = max(sharding.DIMENSIONS, key=lambda d: max(x[d] for x in items) - min(x[d] for x in items))
+    line = sorted(items, key=lambda x: (x[widest], x["tie"]))
+    wanted, upto, cut = sum(x["weight"] for x in items) * (n // 2) / n, 0, len(line)
+    for i, x in enumerate(line):
+        if upto + x["weight"] >= wanted:
+            cut = i + (wanted - upto > x["weight"] / 2)
+            break
+        upto += x["weight"]
+    return brute_tree(line[:cut], first, n // 2) | brute_tree(line[cut:], first + n // 2, n - n // 2)
+
+
+def test_tree_splits_at_medians(spark):
+    r = random.Random(8)
+    data = [(i, r.randint(1, 5000), float(r.randint(0, 9)), float(r.randint(0, 3)), float(r.randint(0, 1)), float(i % 50), r.randint(0, (1 << sharding.TIE) - 1)) for i in range(300)]
+    df = spark.createDataFrame(data, "key long, weight long, x_size double, x_source double, x_lang double, x_id double, tie long")
+    scaled = [x.asDict() for x in sharding._scaled(df).collect()]
+    assert {x["key"]: x["node"] for x in sharding.kd_tree(df, 7).collect()} == brute_tree(scaled, 0, 7)
+
+
 def test_equal_texts_share_a_shard(spark):
     data = [(i, f"text {i % 500} " + "z" * (i % 500), "en", f"s{i % 3}", 0) for i in range(2000)]
     got = sharding.shard(spark.createDataFrame(data, SCHEMA)).groupBy("text_crc32").agg(F.count_distinct("shard").alias("n"))
@@ -367,6 +402,20 @@ def test_repeated_rows_of_the_mix(docs, rows):
     assert mixing.mix(docs.where("false")).count() == 0 and mixing.repeated(docs.where("false")).count() == 0
 
 
+def test_bins_of_keys_are_small_at_any_weight(spark):
+    data = [(i, "%%% !!! " * 5, "en", "s0", 0) for i in range(20_000)]
+    keyed = spark.createDataFrame(data, SCHEMA).select(*[c.alias(n) for n, c in mixing._keyed(1).items()])
+    assert keyed.groupBy("_bin").count().agg(F.max("count")).first()[0] < 0.01 * len(data)
+
+
+def test_targets_of_many_sources(spark):
+    r = random.Random(2)
+    sizes = {f"s{i:04}": r.randint(0, 40) for i in range(500)} | {None: 7}
+    got = mixing.targets(spark.createDataFrame(list(sizes.items()), "source string, source_size long").repartition(6)).collect()
+    want = brute_targets(sizes)
+    assert len(got) == len(sizes) and all(math.isclose(x["target"], want[x["source"]], abs_tol=1e-6) for x in got)
+
+
 def test_documents_of_quality_are_preferred(spark):
     data = [(i, ("%%% " if i % 2 else "ab ") * 20, "en", "s0", 0) for i in range(2000)] + [(5000 + i, "ab " * 40, "en", f"s{i % 5 + 1}", 0) for i in range(2000)]
     got = mixing.mix(spark.createDataFrame(data, SCHEMA)).where("source = 's0'").groupBy((F.col("doc_id") % 2).alias("bad")).agg(F.sum("taken").alias("n")).collect()

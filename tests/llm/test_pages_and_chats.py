@@ -137,7 +137,7 @@ OPEN = "The article goes on after it, with a sentence that is long enough to be
         f"<body><article><math alttext='x' /><p>{OPEN}</p><svg><path d='M0'/></svg></article>",
         f"<body><article><svg><title/><svg><text>no</text></svg><text>no</text></svg><p>{OPEN}</p></article>",
         f"<body><article><svg><title>no</svg><p>{OPEN}</p></article>",
-        *(f"<body><article><{name} id=o><p>{OPEN}</p></article>" for name in "object canvas audio video svg math noscript template select datalist".split()),
+        *(f"<body><article><{name} id=o><p>{OPEN}</p></article>" for name in "object canvas audio video svg noscript template select datalist".split()),
         f"<body><article><svg><p>{OPEN}</p><script>a = '<svg></svg> no'</script></article>",
         f"<body><article><object><object>no</object>no</object><p>{OPEN}</p></article>",
     ],
@@ -145,3 +145,26 @@ OPEN = "The article goes on after it, with a sentence that is long enough to be
 def test_open_and_self_closed_elements_keep_the_article(page):
     assert [x for x in html_extract.parse(page).texts if x] == [OPEN]
     assert html_extract.main_text(page, html_extract.train(html_extract.labelled_pages(120))) == OPEN
+
+
+SENTENCE = "A sentence of the article that goes on for some words and is read with interest."
+
+
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        (f"<body><nav><ul><li><a href=a>Home</a></li><li><a href=b>News</a></li></ul></nav><article><h1>Title of it</h1><p>{SENTENCE}</p><ul><li><a href=x>The first source of this work</a></li><li><a href=y>Another source that was read</a></li></ul><p>{SENTENCE}</p></article><footer>&copy; me</footer>", ["Title of it", SENTENCE, "The first source of this work", "Another source that was read", SENTENCE]),
+        (f"<body><nav><a href=a>Home</a></nav><ul><li>{SENTENCE}</li><li>{SENTENCE}</li></ul><footer>&copy; me</footer>", [SENTENCE] * 2),
+        (f"<body><article><p>The formula <math><mi>x</mi><mo>=</mo><mn>2</mn><annotation>no</annotation></math> holds for all of them, as we see here.</p><p>{SENTENCE}</p></article><div role=contentinfo><p>Imprint of the company and its address.</p></div><div class='wpdiscuz_unauth wpdiscuz'><p>I like it very much, thanks for it.</p></div>", ["The formula x=2 holds for all of them, as we see here.", SENTENCE]),
+    ],
+)
+def test_lists_formulas_roles_and_comment_blocks(page, text):
+    assert html_extract.main_text(page, html_extract.train(html_extract.labelled_pages())).split("\n\n") == text
+
+
+def test_stray_and_open_tags_cost_little():
+    import time
+
+    began = time.perf_counter()
+    html_extract.parse("<section>" * 60_000 + "</x>" * 60_000 + "<form>" * 60_000)
+    assert time.perf_counter() - began < 5
