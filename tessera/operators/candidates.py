@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import rules as R
 from ..functions.ids import blank, padded
-from .relational import first_by, keep_first, split_by, tagged_union, text_set, without_done
+from .relational import keep_first, ordered, split_by, tagged_union, text_set, without_done
 
 
 def document_key() -> Column:
@@ -21,7 +21,8 @@ def candidate_union(variants: dict[str, DataFrame]) -> DataFrame:
     hits = tagged_union(variants, "variant", missing=True).withColumn("_document", document_key())
     order = ["variant_order", "file_date", "form", "file_type", "snippet"]
     fields = [c for c in hits.columns if c not in ("adsh", "variant", "variant_order", "_document")]
-    return hits.groupBy("adsh", "_document").agg(*[first_by(c, *order).alias(c) for c in fields], text_set("variant").alias("phrase_variants_matched")).drop("_document")
+    first = F.min_by(F.struct(*fields), ordered(*order)).alias("_first")
+    return hits.groupBy("adsh", "_document").agg(first, text_set("variant").alias("phrase_variants_matched")).select("adsh", "_first.*", "phrase_variants_matched")
 
 
 def of_type(candidates: DataFrame, pattern: str = R.EXHIBIT_TYPE) -> tuple[DataFrame, DataFrame]:

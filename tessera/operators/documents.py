@@ -220,11 +220,15 @@ def classification_report(found: DataFrame) -> DataFrame:
     return found.groupBy("decision", "reason").agg(F.count("*").alias("n"))
 
 
-def distinct_contents(df: DataFrame, content: str, order: list, prior: DataFrame | None = None) -> DataFrame:
-    """One row for each content, the first in order, with content_hash; contents of prior (content_hash) are done."""
+def distinct_contents(df: DataFrame, content: str, order: list, prior: DataFrame | None = None, with_content: bool = True) -> DataFrame:
+    """One row for each content, the first in order, with content_hash; contents of prior (content_hash) are done.
+
+    Without with_content, only hashes are shuffled, and the content ends in the scan.
+    """
     hashed = df.withColumn("content_hash", F.sha2(F.col(content).cast("binary"), 256))
+    hashed = hashed if with_content else hashed.drop(content)
     if prior is not None:
-        hashed = hashed.join(prior.select("content_hash").distinct(), "content_hash", "left_anti").select(*df.columns, "content_hash")
+        hashed = hashed.join(prior.select("content_hash").distinct(), "content_hash", "left_anti").select(*hashed.columns)
     return keep_first(hashed, ["content_hash"], order)
 
 
@@ -407,6 +411,21 @@ def firm_summary(logs: DataFrame, directory: str = "directory", text: str = "tex
     return logs.where(F.col(directory).contains("_")).select(*head, *[blank(n, c).alias(n) for n, c in out.items()])
 
 
+#: Columns of the table of firms.
+FIRM_COLUMNS = ["cik", "company_name", "slug", "role", "tra_id", "counterparties", "date_executed", "date_terminated", "status_flag", "tax_asset_type", "payment_pct", "notes"]
+
+
+def firm_table(logs: DataFrame, prior: DataFrame, directory: str = "directory", text: str = "text") -> DataFrame:
+    """firm_summary, one row a firm, where a firm without a name of its own has that of the prior table
+    (slug, company_name, cik), and its id too if it has none."""
+    own = firm_summary(logs, directory, text)
+    known = prior.groupBy(F.col("slug").alias("_slug")).agg(F.first("company_name").alias("_name"), F.first("cik").alias("_cik"))
+    joined = own.join(known, F.col("slug") == F.col("_slug"), "left")
+    nameless = (F.col("company_name") == "") & F.col("_slug").isNotNull()
+    filled = {"cik": F.when(nameless & F.col("cik").isin("", "0000000000"), F.coalesce("_cik", "cik")).otherwise(F.col("cik")), "company_name": F.when(nameless, F.coalesce("_name", F.lit(""))).otherwise(F.col("company_name"))}
+    return joined.withColumns(filled).select(*FIRM_COLUMNS)
+
+
 def filing_list(filings: DataFrame, entity: str = "cik") -> DataFrame:
     """Periodic, event and proxy forms, and of registrations the earliest one an entity, with bucket."""
     registered = keep_first(filings.where(F.col("form").isin("S-1", "S-1/A")), [entity], ["filing_date", "accession"])

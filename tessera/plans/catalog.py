@@ -109,9 +109,9 @@ def active_stock(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT strftime(d, '%Y-%m-%d') AS as_of, CASE WHEN t <= d THEN 'Terminated' WHEN t > d THEN 'Ongoing' WHEN s = 'Terminated' THEN 'Unknown' WHEN s = 'Unknown' AND NOT coalesce(l >= d, false) THEN 'Unknown' ELSE 'Ongoing' END AS as_of_status, count(*) AS n
 FROM agreements JOIN days ON c <= d GROUP BY ALL""")
 def asof_status(spark: SparkSession, sf_dir: str) -> DataFrame:
-    own = agreements(spark, sf_dir)
-    days = [O.union_all([V.status_as_of(own, F.to_date(F.lit(d))).withColumn("as_of", F.lit(d))]) for d in ("1997-06-30", "1999-06-30", "2001-07-31")]
-    return O.union_all(days).groupBy("as_of", "as_of_status").agg(F.count("*").alias("n"))
+    days = F.explode(F.array(*[F.lit(d) for d in ("1997-06-30", "1999-06-30", "2001-07-31")]))  # one scan for all days
+    found = V.status_as_of(agreements(spark, sf_dir).withColumn("as_of", days), F.to_date("as_of"))
+    return found.groupBy("as_of", "as_of_status").agg(F.count("*").alias("n"))
 
 
 MASTER_SQL = f"""often AS (SELECT cik FROM rows_ WHERE query = 'token' AND {TYPICAL_SQL} GROUP BY cik HAVING count(DISTINCT adsh) >= 3)"""
@@ -227,7 +227,7 @@ def gap_recovery(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""SELECT sha256(text) AS content_hash, min(doc_id) AS doc_id FROM documents GROUP BY text""")
 def hash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return M.distinct_contents(table(spark, sf_dir, "documents").select("doc_id", "text"), "text", ["doc_id"]).select("content_hash", "doc_id")
+    return M.distinct_contents(table(spark, sf_dir, "documents").select("doc_id", "text"), "text", ["doc_id"], with_content=False).select("content_hash", "doc_id")
 
 
 @query("""SELECT source, min(doc_id) AS doc_id, arg_min(lang, doc_id) AS lang, arg_max(lang, doc_id) AS last_lang FROM documents GROUP BY source""")

@@ -15,11 +15,12 @@ from ..functions import text as X
 from ..operators import candidates as C
 from ..operators import documents as M
 from ..operators import entities as E
+from ..operators import intervals as V
 from ..operators import relational as O
 from ..sources import readers as S
 from ..sources import sinks as K
 from . import windows as W
-from .catalog import VIEW_HITS, hits, in_list, query, table
+from .catalog import TYPICAL_SQL, VIEW_HITS, hits, in_list, query, table
 
 
 def scratch(spark: SparkSession, name: str) -> str:
@@ -443,3 +444,87 @@ SELECT form, count(*) AS n_total, count(*) FILTER (b) AS n_body, count(*) FILTER
 def body_exhibit_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Accessions and entities of body, exhibit and both, for some forms, with a seeded sample of names of exhibits."""
     return E.body_exhibit_report(hits(spark, sf_dir).where(F.col("form").isin("10-K", "8-K")), seed=5, names=10)
+
+
+# Stock by all dimensions, diagnostics of the master list, the table of firms, the packet: C-04, C-07, C-20, K-08, K-10.
+
+
+@query("""WITH o AS (SELECT o_orderkey AS k, CAST(o_orderdate AS DATE) AS c, CASE WHEN o_orderkey % 3 = 0 THEN CAST(o_orderdate AS DATE) + 400 END AS t, CASE WHEN o_orderkey % 7 = 0 THEN '(unknown)' ELSE 'T' || o_orderkey % 3 END AS trigger_event_type,
+ CASE WHEN o_orderkey % 5 = 0 THEN '(unknown)' ELSE o_orderpriority END AS counterparty_type, 'R' || o_orderkey % 2 AS role, o_orderstatus AS status, CASE o_orderkey % 4 WHEN 0 THEN ['a', 'b'] WHEN 1 THEN ['b'] WHEN 2 THEN [] ELSE ['c', 'a', 'b'] END AS assets FROM orders),
+grid AS (SELECT CAST(unnest(generate_series(date_trunc('month', (SELECT min(c) FROM o)), DATE '1997-06-01', INTERVAL 1 MONTH)) AS DATE) AS d), a AS (SELECT * FROM grid JOIN o ON c <= d AND (t IS NULL OR t > d)),
+cells AS (SELECT d, 'trigger_event_type' AS dimension, trigger_event_type AS v FROM a UNION ALL SELECT d, 'counterparty_type', counterparty_type FROM a UNION ALL SELECT d, 'role', role FROM a UNION ALL SELECT d, 'status', status FROM a UNION ALL SELECT d, 'vintage_year', CAST(year(c) AS VARCHAR) FROM a UNION ALL SELECT d, 'tax_asset_types', unnest(assets) FROM a),
+n AS (SELECT d, dimension, v, count(*) AS n FROM cells GROUP BY ALL), r AS (SELECT dimension, v, CASE WHEN dimension = 'vintage_year' THEN CAST(v AS BIGINT) ELSE row_number() OVER (PARTITION BY dimension ORDER BY sum(n) DESC, v) END AS r FROM n GROUP BY 1, 2)
+SELECT strftime(d, '%Y-%m-%d') AS "date", dimension, v AS group_value, n AS "count", r AS "rank" FROM n JOIN r USING (dimension, v)""")
+def stock_of_six_dimensions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Active agreements by month and each of the six dimensions, with blanks, nulls and lists."""
+    k, created = F.col("o_orderkey"), F.to_date("o_orderdate")
+    assets = F.when(k % 4 == 0, "a| b").when(k % 4 == 1, "b|").when(k % 4 == 2, "").otherwise("c|a|b")
+    own = table(spark, sf_dir, "orders").select(
+        created.cast("string").alias("creation_date"), F.when(k % 3 == 0, F.date_add(created, 400).cast("string")).otherwise("").alias("termination_date"), F.when(k % 7 == 0, "").otherwise(text("T", (k % 3).cast("string"))).alias("trigger_event_type"),
+        F.when(k % 5 > 0, F.col("o_orderpriority")).alias("counterparty_type"), text("R", (k % 2).cast("string")).alias("role"), F.col("o_orderstatus").alias("status"), assets.alias("tax_asset_types"),
+    )
+    return V.stock_by_date(own, F.to_date(F.lit("1997-06-15")), ["trigger_event_type", "counterparty_type", "role", "status"], ["tax_asset_types"])
+
+
+@query(f"""WITH {VIEW_HITS}, often AS (SELECT cik FROM rows_ WHERE query = 'token' AND {TYPICAL_SQL} GROUP BY cik HAVING count(DISTINCT adsh) >= 30), b AS (SELECT cik FROM rows_ WHERE query = 'phrase' UNION SELECT cik FROM often),
+a AS (SELECT cik FROM rows_ WHERE query = 'phrase' AND {TYPICAL_SQL} AND CAST(cik AS BIGINT) % 3 > 0 UNION SELECT cik FROM often), n AS (SELECT cik, count(DISTINCT adsh) AS n FROM rows_ GROUP BY cik), lost AS (SELECT cik FROM b EXCEPT SELECT cik FROM a)
+SELECT 'before' AS part, '' AS cik, count(*) AS n FROM b UNION ALL SELECT 'after', '', count(*) FROM a UNION ALL SELECT 'kept', '', count(*) FROM a JOIN b USING (cik) UNION ALL SELECT 'gained', '', count(*) FROM (SELECT cik FROM a EXCEPT SELECT cik FROM b)
+UNION ALL SELECT 'lost', cik, 0 FROM lost UNION ALL SELECT 'largest_lost', cik, n FROM (SELECT cik, n FROM lost JOIN n USING (cik) ORDER BY n DESC, cik LIMIT 7)""")
+def master_diagnostics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The master list before and after the list of forms on both queries: how many entities, which are lost, and the largest of these."""
+    h = hits(spark, sf_dir)
+    rows = {q: E.entity_rows(h.where(F.col("query") == q), q) for q in ("phrase", "token")}
+    rows["phrase"] = rows["phrase"].withColumn("form", F.when(F.col("cik").cast("long") % 3 > 0, F.col("form")).otherwise("S-8"))
+    found = E.reaggregated(rows["phrase"], rows["token"], rows["token"].select("cik").distinct(), least=30, n=7)
+    counted = [found[p].agg(F.count("*").alias("n")).select(F.lit(p).alias("part"), F.lit("").alias("cik"), "n") for p in ("before", "after", "kept", "gained")]
+    lost = found["lost"].select(F.lit("lost").alias("part"), "cik", F.lit(0).cast("long").alias("n"))
+    return O.union_all([*counted, lost, found["largest_lost"].select(F.lit("largest_lost").alias("part"), "cik", F.col("total_hits").alias("n"))])
+
+
+@query("""WITH c AS (SELECT c_custkey AS k, c_custkey % 6 AS r FROM customer)
+SELECT lpad(CAST(k AS VARCHAR), 10, '0') AS cik, CASE WHEN r = 5 THEN 'Prior ' || k WHEN r = 4 THEN '' ELSE 'Firm' END AS company_name, 'firm' || k AS slug, CASE r WHEN 0 THEN 'pubco' WHEN 1 THEN 'beneficiary' WHEN 2 THEN 'pubco' WHEN 3 THEN 'never_executed' ELSE 'mention_only' END AS role,
+ CASE WHEN r < 3 THEN 'TRA-2011-05-06' ELSE '' END AS tra_id, CASE WHEN r < 3 THEN 'A LP; B LP' ELSE '' END AS counterparties, CASE WHEN r < 3 THEN '2011-05-06' ELSE '' END AS date_executed, CASE WHEN r = 2 THEN '2019-07-08' ELSE '' END AS date_terminated,
+ CASE r WHEN 0 THEN 'in_force' WHEN 2 THEN 'terminated_by_buyout' WHEN 3 THEN 'never_executed' ELSE '' END AS status_flag, CASE WHEN r = 0 THEN '85%' ELSE '' END AS payment_pct, CASE WHEN r = 0 THEN 'In force.' WHEN r = 2 THEN 'Terminated by buyout on 2019-07-08.' ELSE '' END AS fate FROM c""")
+def firm_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The table of firms of logs of several kinds, firms without a log named by the prior table; the end of their notes."""
+    k = F.col("c_custkey")
+    head = F.lit("# Firm (F)\n")
+    deal = F.lit("TRA-2011-05-06\n\nBeneficiaries\n- B LP\n- A LP\n\n")
+    kinds = [
+        F.concat(head, deal, F.lit("Firm role\nThe firm is the public company and obligor.\n\n85% of the savings. `in_force`")),
+        F.concat(head, deal, F.lit("Role determination\n**Role: beneficiary**\n\n")),
+        F.concat(head, deal, F.lit("Firm role\nPubCo / obligor\n\n`terminated_by_buyout` and terminated_by_buyout effective 2019-07-08.")),
+        F.concat(head, F.lit("Firm role\nIt is a public filer that signed nothing.\n\n")),
+    ]
+    log = F.when(k % 6 == 0, kinds[0]).when(k % 6 == 1, kinds[1]).when(k % 6 == 2, kinds[2]).when(k % 6 == 3, kinds[3])
+    c = table(spark, sf_dir, "customer")
+    logs = c.select(text("firm", "$c_custkey", "_", F.lpad(k.cast("string"), 10, "0")).alias("directory"), log.alias("text"))
+    prior = c.where("c_custkey % 6 <> 4").select(text("firm", "$c_custkey").alias("slug"), text("Prior ", "$c_custkey").alias("company_name"), F.lit("9999999999").alias("cik"))
+    found = M.firm_table(logs, prior)
+    return found.select(*[c for c in M.FIRM_COLUMNS if c not in ("notes", "tax_asset_type")], F.regexp_extract("notes", r"((?:In force|Terminated)[^.]*\.)$", 1).alias("fate"))
+
+
+@query("""SELECT 'closing' AS name, '## Failures' || chr(10) || string_agg('- CIK ' || n_nationkey || ' stage=index HTTP 50' || n_nationkey % 4, chr(10) ORDER BY CAST(n_nationkey AS VARCHAR)) FILTER (n_nationkey % 9 = 0) || chr(10) || '## Anomalies' || chr(10) || '- 5xx retries fired: 3' || chr(10) || '- 4xx errors:' || chr(10) || '  - HTTP 404' || chr(10) AS text FROM nation
+UNION ALL SELECT 'quiet', '## Anomalies' || chr(10) || '- 5xx retries fired: 0' || chr(10) || '- 4xx errors: none' || chr(10)
+UNION ALL SELECT 'packet ' || n_regionkey, '# Region (CIK ' || n_regionkey || ')' || chr(10) || chr(10) || '## Headline summary' || chr(10) || chr(10) || 'short' || chr(10) || chr(10) || '## Existing pipeline signals' || chr(10) || chr(10) || '- last: 2010' || chr(10) || chr(10)
+ || '## TRA event timeline' || chr(10) || chr(10) || '| date | event | filing | summary |' || chr(10) || '| --- | --- | --- | --- |' || chr(10) || '| _to fill in_ | _to fill in_ | _to fill in_ | _to fill in_ |' || chr(10) || chr(10)
+ || '## TRA exhibits' || chr(10) || chr(10) || '| filing_date | accession | sgml_type | phrase_count | byte_size | saved |' || chr(10) || '| --- | --- | --- | --- | --- | --- |' || chr(10) || string_agg('| 2001 | ' || lpad(CAST(n_nationkey AS VARCHAR), 3, '0') || ' | EX-10 | 3 | ' || (1 + n_nationkey) || ',000 | x.htm |', chr(10) ORDER BY n_nationkey) || chr(10) || chr(10)
+ || '## XBRL TRA-liability series (from Company Concept API)' || CASE WHEN n_regionkey % 2 = 0 THEN ' (FALLBACK TAG: standard us-gaap fallback used; verify against the actual filing)' ELSE '' END || chr(10) || chr(10) || '| end | val | unit | form | filed | requires_verification |' || chr(10) || '| --- | --- | --- | --- | --- | --- |' || chr(10)
+ || string_agg('| ' || lpad(CAST(n_nationkey AS VARCHAR), 3, '0') || ' | 1,000 | USD | 10-K | 2002 | ' || CASE WHEN n_regionkey % 2 = 0 THEN 'true' ELSE 'false' END || ' |', chr(10) ORDER BY n_nationkey) || chr(10) || chr(10)
+ || '## Filing timeline' || chr(10) || chr(10) || '| filing_date | form | accession | tra_mention | items | doc |' || chr(10) || '| --- | --- | --- | --- | --- | --- |' || chr(10) || string_agg('| 2001 | 10-K | ' || lpad(CAST(n_nationkey AS VARCHAR), 3, '0') || ' | ' || CASE WHEN n_nationkey % 2 = 0 THEN 'yes' ELSE '' END || ' |  | ' || CASE WHEN n_nationkey % 2 = 0 THEN '[d.htm](u/d.htm)' ELSE '' END || ' |', chr(10) ORDER BY n_nationkey) || chr(10) || chr(10)
+ || '## Per-filing notes' || chr(10) || chr(10) || string_agg(CASE WHEN n_nationkey % 2 = 0 THEN '### 2001 10-K (' || lpad(CAST(n_nationkey AS VARCHAR), 3, '0') || ')' || chr(10) || chr(10) || '- Sections: _to fill in_' || chr(10) || '- Summary: _to fill in_' || chr(10) || '- Hints: _to fill in_' || chr(10) END, chr(10) ORDER BY n_nationkey) || chr(10)
+ || '## Open questions for the reviewer' || chr(10) || chr(10) || '_To fill in._' || chr(10) FROM nation GROUP BY n_regionkey""")
+def packets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An evidence packet a region, and the end of a manifest with and without failures."""
+    n = table(spark, sf_dir, "nation")
+    failed = n.where("n_nationkey % 9 = 0").select(F.col("n_nationkey").cast("string").alias("cik"), F.lit("index").alias("stage"), text("HTTP 50", (F.col("n_nationkey") % 4).cast("string")).alias("error"))
+    rows = [("closing", K.closing_sections(failed, 3, spark.createDataFrame([("HTTP 404",)], "error string"))), ("quiet", K.closing_sections(failed.where("false"), 0, failed.where("false")))]
+    key = F.lpad(F.col("n_nationkey").cast("string"), 3, "0")
+    even = F.col("n_nationkey") % 2 == 0
+    for (region,) in sorted(n.select("n_regionkey").distinct().collect()):  # a few
+        own = n.where(F.col("n_regionkey") == region)
+        exhibits = own.select(F.lit("2001").alias("filing_date"), key.alias("accession"), F.lit("EX-10").alias("sgml_type"), F.lit(3).alias("phrase_count"), ((F.col("n_nationkey") + 1) * 1000).alias("byte_size"), F.lit("x.htm").alias("saved"))
+        series = own.select(key.alias("end"), F.lit(1000.0).alias("val"), F.lit("USD").alias("unit"), F.lit("10-K").alias("form"), F.lit("2002").alias("filed"), (F.col("n_regionkey") % 2 == 0).alias("requires_verification"))
+        filings = own.select(F.lit("2001").alias("filing_date"), F.lit("10-K").alias("form"), key.alias("accession"), even.alias("tra_mention"), F.lit(None).cast("string").alias("items"), F.lit("d.htm").alias("primary_doc"), F.when(even, "u/d.htm").otherwise("").alias("doc_url"))
+        rows.append((f"packet {region}", K.evidence_packet("Region", str(region), " short ", {"last": "2010"}, exhibits, series, filings)))
+    return spark.createDataFrame(rows, "name string, text string")

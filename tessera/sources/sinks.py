@@ -97,6 +97,39 @@ def packet(title: str, sections: dict[str, DataFrame | str], warning: str | None
     return "\n".join(out)
 
 
+# The sections of an evidence packet.
+PACKET_SECTIONS = ["Headline summary", "Existing pipeline signals", "TRA event timeline", "TRA exhibits", "XBRL TRA-liability series (from Company Concept API)", "Filing timeline", "Per-filing notes", "Open questions for the reviewer"]
+
+
+def evidence_packet(name: str, cik: str, headline: str, signals: dict[str, str | None], exhibits: DataFrame, series: DataFrame, filings: DataFrame) -> str:
+    """A firm's packet of eight sections from small tables; blanks are left for a reviewer.
+
+    exhibits: filing_date, accession, sgml_type, phrase_count, byte_size, saved; series: end, val, unit,
+    form, filed, requires_verification; filings: filing_date, form, accession, tra_mention, items,
+    primary_doc, doc_url. A series that needs verification has a warning in its heading.
+    """
+    blank_row = filings.sparkSession.createDataFrame([("_to fill in_",) * 4], "date string, event string, filing string, summary string")
+    link = F.when(F.col("doc_url") != "", F.concat(F.lit("["), F.coalesce("primary_doc", F.lit("doc")), F.lit("]("), F.col("doc_url"), F.lit(")"))).otherwise("")
+    listed = filings.orderBy("filing_date", "accession").select("filing_date", "form", "accession", F.when(F.col("tra_mention"), "yes").otherwise("").alias("tra_mention"), F.coalesce("items", F.lit("")).alias("items"), link.alias("doc"))
+    kept = exhibits.orderBy("filing_date", "accession").withColumn("byte_size", F.format_number("byte_size", 0))
+    values = series.orderBy("end").withColumn("val", F.coalesce(F.format_number(F.col("val").cast("decimal(38,0)"), 0), F.lit(""))).withColumn("requires_verification", F.when(F.col("requires_verification"), "true").otherwise("false"))
+    noted = bounded(filings.where("tra_mention").orderBy("filing_date", "accession").select("filing_date", "form", "accession"))
+    notes = "\n".join(f"### {r[0]} {r[1]} ({r[2]})\n\n- Sections: _to fill in_\n- Summary: _to fill in_\n- Hints: _to fill in_\n" for r in noted) or "None.\n"
+    bodies = [headline.strip() + "\n", "".join(f"- {k}: {v}\n" for k, v in signals.items()), blank_row, kept, values, listed, notes, "_To fill in._\n"]
+    names = list(PACKET_SECTIONS)
+    if not series.where("requires_verification").isEmpty():
+        names[4] += " (FALLBACK TAG: standard us-gaap fallback used; verify against the actual filing)"
+    return packet(f"{name} (CIK {cik})", dict(zip(names, bodies, strict=True)))
+
+
+def closing_sections(failures: DataFrame, retries: int, errors: DataFrame) -> str:
+    """The end of a manifest: entities that failed (cik, stage, error), if any, and anomalies: retries and errors of the client (error)."""
+    lines = [f"- CIK {r[0]} stage={r[1]} {r[2]}" for r in bounded(failures.select("cik", "stage", "error").orderBy("cik", "stage"))]
+    failed = ["## Failures", *lines] if lines else []
+    client = [f"  - {r[0]}" for r in bounded(errors.select("error").orderBy("error"))]
+    return "\n".join([*failed, "## Anomalies", f"- 5xx retries fired: {retries}", *(["- 4xx errors:", *client] if client else ["- 4xx errors: none"])]) + "\n"
+
+
 def grouped_log(df: DataFrame, group: str, order: list[str], line: list[str]) -> DataFrame:
     """group, text: a Markdown section for each group, its lines in order."""
     item = F.concat(F.lit("- "), F.concat_ws(": ", *[F.col(c).cast("string") for c in line]))
