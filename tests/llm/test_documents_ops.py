@@ -510,6 +510,32 @@ def test_parts_of_items():
     assert matched(f"{named} {some(100)}", f"{some(30)} {named.replace('Bob', 'Eve')} {some(30)}")
 
 
+def test_planted_items_are_found_and_others_are_not():
+    """Items at random, in documents as they are, in other capitals, with other values in their slots, with a
+    few words put in; and values that contradict each other, or too little of an item."""
+    import pyarrow as pa
+    from tessera.llm.text import blocks
+
+    r = random.Random(12)
+    word = lambda: "".join(r.choices("abcdefghijklm", k=r.randint(4, 9)))
+    some = lambda n: [word() for _ in range(n)]
+    bench, docs, want = [], [], set()
+    for i in range(60):
+        words = some(r.randint(14, 30))
+        for j in range(3, len(words), 6):
+            words[j] = r.choice(["Bob", str(r.randint(2, 99))])
+        bench.append(" ".join(words))
+        other = {"Bob": "Eve"} | {w: str(100 + int(w)) for w in words if w.isdigit()}
+        kinds = [words, [w.upper() for w in words], [other.get(w, w) for w in words], words[: len(words) // 2] + some(2) + words[len(words) // 2 :], words[: len(words) // 4], [w if j % 2 else word() for j, w in enumerate(words)]]
+        for k, own in enumerate(kinds):
+            if k < 4:
+                want.add((len(docs), i))
+            docs.append(" ".join([*some(r.randint(0, 40)), *own, *some(r.randint(0, 40))]))
+    index = decontam.build_index(list(range(60)), bench)
+    got = {(b.rows.start + m[0], m[1]) for b in blocks(pa.array(docs), 20_000) for m in decontam.match_block(b, index)}
+    assert got == want
+
+
 # languages
 
 
@@ -546,6 +572,31 @@ def test_kernel_is_exact_on_presence():
     assert np.array_equal(flags[0] & flags[1], flags[0])
 
 
+def test_scores_are_those_of_the_kernel():
+    """The folded matrix against kernel values by sets, Nystroem features and ridge regression step by step."""
+    import numpy as np
+    import pyarrow as pa
+    from tessera.llm.text import blocks
+
+    r = random.Random(9)
+    vocab = {"aa": ["the", "and", "ing"], "bb": ["der", "ung", "sch"], "cc": ["que", "ado", "cia"]}
+    texts = [" ".join("".join(r.choices(vocab[c], k=2)) for _ in range(r.randint(3, 12))) for _ in range(20) for c in vocab]
+    languages = np.array([c for _ in range(20) for c in vocab])
+    (b,) = blocks(pa.array(texts))
+    flags = langid.presence(b)
+    model = langid.fit(languages, np.packbits(flags, axis=1), landmarks=6, ridge=0.1)
+    sets = [set(np.flatnonzero(f)) for f in flags]
+    kernel = lambda a, c: len(a & c) / math.sqrt(len(a) * len(c))
+    marks = [s for c in sorted(vocab) for s in [x for x, y in zip(sets, languages, strict=True) if y == c][:6]]
+    inner = np.array([[kernel(a, c) for c in marks] for a in marks])
+    values, vectors = np.linalg.eigh(inner)
+    z = np.array([[kernel(a, c) for c in marks] for a in sets]) @ (vectors[:, values > 1e-6 * values.max()] / np.sqrt(values[values > 1e-6 * values.max()]))
+    centred = z - z.mean(0)
+    y = np.where(languages[:, None] == np.array(sorted(vocab))[None, :], 1.0, -1.0)
+    solved = np.linalg.solve(centred.T @ centred + 0.1 * len(z) / z.shape[1] * np.eye(z.shape[1]), centred.T @ (y - y.mean(0)))
+    assert np.allclose(model.scores(flags), centred @ solved + y.mean(0), atol=1e-3)
+
+
 CLASHES = ["size", "slot", "shard", "target", "taken", "_own", "_key", "_bin", "_h", "_text", "node", "label", "n_words", "labels", "kept", "item_id", "share", "c0", "key"]
 
 

@@ -3,6 +3,7 @@
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 import corpus_pipeline
@@ -70,3 +71,19 @@ def test_registered_queries_run(spark):
             assert rows == n
     assert found["pipeline"](spark, DATA).count() > 0
     assert mixing.WEIGHTS == (3, 1, 2)
+
+
+def test_stages_on_empty_tables_and_clashing_columns(spark, tmp_path):
+    d = str(tmp_path / "empty")
+    spark.createDataFrame([], SCHEMA).write.parquet(f"{d}/documents.parquet")
+    spark.createDataFrame([], "doc_id long, quality int").write.parquet(f"{d}/labels.parquet")
+    spark.createDataFrame([], "item_id long, text string").write.parquet(f"{d}/benchmark.parquet")
+    assert corpus_pipeline.run(spark, d).count() == 0
+    clashes = ["h1", "_likely", "class_id", "n_words", "kept", "item_id", "_key", "shard", "node", "slot"]
+    rows = [(i, f"{i} " + " ".join(f"w{(i * 7 + j) % 997}x{i}" for j in range(60)), "en", f"s{i % 2}", 0) for i in range(12)] + [(None, None, None, None, None), (99, "", None, None, None)]
+    docs = spark.createDataFrame(rows, SCHEMA).withColumns({c: F.lit(f"own {c}") for c in clashes})
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        got = stage(spark, docs, d)
+        assert got.columns == docs.columns and all(r[c] == f"own {c}" for r in got.collect() for c in clashes), name
+    last = corpus_pipeline.STAGES[-1][1](spark, docs, d)
+    assert last.count() == len(rows) and len(last.columns) == len(set(last.columns))
