@@ -54,6 +54,8 @@ COVER = np.array([0, 1, 3, 7, 15, 31, 36, 54, 63])
 SAMPLE = LENGTH - PERIOD + 1
 REACH = PERIOD - 1
 CHUNK_BYTES, BUCKET_BYTES, HOT_CHUNKS = 4 << 20, 4 << 20, 512
+#: Most buckets, as a power of two: BUCKET_BYTES each up to 64 TB, and 6 MB at 100 TB.
+MAX_BITS = 24
 _NO_ID = np.iinfo(np.int64).max
 _FIELDS = "chunk bigint, kind int, bucket int, payload binary"
 TIED, COPIES, HOT, SPANS, SUFFIXES = range(5)
@@ -163,8 +165,11 @@ def _rows(found: list[tuple]):
 
 def _by_bucket(values: np.ndarray, bits: int):
     """Bucket numbers (top bits) and slices of sorted 64-bit values."""
-    bounds = np.searchsorted(values >> T.U(64 - bits), np.arange((1 << bits) + 1, dtype=T.U))
-    return [(i, bounds[i], bounds[i + 1]) for i in np.flatnonzero(np.diff(bounds))]
+    if not len(values):
+        return []
+    bucket = (values >> T.U(64 - bits)).astype(np.int64)
+    starts = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]]))
+    return list(zip(bucket[starts].tolist(), starts.tolist(), [*starts[1:].tolist(), len(values)], strict=True))
 
 
 def _cover(chunks: DataFrame, bits: int, kept: int) -> DataFrame:
@@ -461,7 +466,7 @@ def deduplicate(docs: DataFrame, with_text: bool = False, chunk_bytes: int = CHU
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 and, if wanted, kept (binary) of every text."""
     chunks = checkpointed(pack_texts(docs, chunk_bytes))
     total = chunks.agg(F.sum("n_bytes")).first()[0] or 1
-    bits = int(np.clip(math.ceil(math.log2(max(1, total / bucket_bytes))), 4, 20))
+    bits = int(np.clip(math.ceil(math.log2(max(1, total / bucket_bytes))), 4, MAX_BITS))
     kept = int(np.clip(math.ceil(math.log2(total)) + 6, bits + 8, 64))
     cover = _cover(chunks.select("chunk", "meta", "blob"), bits, kept)
     tied = cover.groupBy("bucket").applyInPandas(lambda pdf: _tied_in_bucket(pdf, hot_chunks), _FIELDS)
