@@ -51,12 +51,10 @@ def _scaled(items: DataFrame) -> DataFrame:
     return wide.withColumns(scaled).select(*items.columns)
 
 
-def _case(by: dict, otherwise: Column, key: str = "node") -> Column:
-    """by[node] for the nodes of a level; at most SHARDS of them."""
-    out = None
-    for node, value in by.items():
-        out = F.when(F.col(key) == node, value) if out is None else out.when(F.col(key) == node, value)
-    return otherwise if out is None else out.otherwise(otherwise)
+def _by_node(values: dict, kind: str) -> Column:
+    """values[node], null for other nodes: a place of a constant array, however many shards there are."""
+    cells = [f"cast('{values[n]!r}' AS {kind})" if n in values else f"cast(NULL AS {kind})" for n in range(max(values, default=-1) + 1)]
+    return F.get(F.expr(f"array({', '.join(cells)})"), F.col("node"))
 
 
 def kd_tree(items: DataFrame, shards: int) -> DataFrame:
@@ -68,18 +66,19 @@ def kd_tree(items: DataFrame, shards: int) -> DataFrame:
         widths = items.where(F.col("node").isin(list(split))).groupBy("node").agg(F.sum("weight").alias("weight"), *[(F.max(d) - F.min(d)).alias(d) for d in DIMENSIONS]).collect()  # a row a node
         widest = {r["node"]: max(DIMENSIONS, key=lambda d: r[d]) for r in widths}
         wanted = {r["node"]: r["weight"] * (split[r["node"]] // 2) / split[r["node"]] for r in widths}
-        key = _case({k: F.shiftleft(F.col(d), TIE) + F.col("tie") for k, d in widest.items()}, F.lit(None).cast("long"))
+        along = F.get(F.array(*[F.col(d) for d in DIMENSIONS]), _by_node({k: DIMENSIONS.index(d) for k, d in widest.items()}, "int"))
+        key = F.shiftleft(along, TIE) + F.col("tie")
         level = items.where(F.col("node").isin(list(widest))).select("node", key.alias("key"), "weight") if widest else None
         cut = {k: 0 for k in widest}  # digits found so far
         below = {k: 0.0 for k in widest}
         for shift in range(COORDINATE + TIE - DIGIT, -1, -DIGIT):
             if not widest:
                 break
-            prefix = _case({k: F.lit(v) for k, v in cut.items()}, F.lit(-1).cast("long"))
+            prefix = _by_node(cut, "bigint")
             digit = F.shiftright(F.col("key"), shift).bitwiseAND((1 << DIGIT) - 1)
             sums = level.where(F.shiftright(F.col("key"), shift + DIGIT) == prefix).groupBy("node", digit.alias("digit")).agg(F.sum("weight").alias("weight"))
             running = Window.partitionBy("node").orderBy("digit")
-            left = _case({k: F.lit(wanted[k] - below[k]) for k in widest}, F.lit(0.0))
+            left = _by_node({k: float(wanted[k] - below[k]) for k in widest}, "double")
             marked = sums.withColumn("upto", F.sum("weight").over(running)).withColumn("left", left)
             last = marked.groupBy("node").agg(F.max("digit").alias("digit"))
             found = marked.where("upto >= left").groupBy("node").agg(F.min(F.struct("digit", F.col("upto") - F.col("weight"), "weight")).alias("hit")).collect()  # a row a node
@@ -91,8 +90,9 @@ def kd_tree(items: DataFrame, shards: int) -> DataFrame:
                 below[k] += before
                 if shift == 0 and wanted[k] - below[k] > weight / 2:  # the nearer side of the item at the cut
                     cut[k] += 1
-        right = {k: F.when(key >= F.lit(cut[k]), F.lit(k + split[k] // 2)).otherwise(F.lit(k)) for k in widest}
-        items = checkpointed(items.withColumn("node", _case(right, F.col("node")).cast("int")))
+        if widest:
+            right = F.when(key >= _by_node(cut, "bigint"), F.col("node") + _by_node({k: split[k] // 2 for k in widest}, "int"))
+            items = checkpointed(items.withColumn("node", F.coalesce(right, F.col("node")).cast("int")))
         sizes = {k: n for k, n in sizes.items() if n == 1} | {j: m for k, n in split.items() for j, m in ((k, n // 2), (k + n // 2, n - n // 2))}
     return items
 
