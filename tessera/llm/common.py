@@ -43,14 +43,15 @@ def compacted(df: DataFrame, rows: int = 50_000) -> DataFrame:
 SIEVE = 20
 
 
-def sifted(df: DataFrame, wanted: DataFrame, *keys: str) -> DataFrame:
-    """Adds _likely to df: true for all rows whose keys are those of a row of wanted, and for few others,
+def sifted(df: DataFrame, wanted: DataFrame, *keys: str, flag: str = "_likely") -> DataFrame:
+    """Adds flag to df: true for all rows whose keys are those of a row of wanted, and for few others,
     as long as wanted has few million rows; more of them fill the sieve, which then lets more through."""
+    names = f"{flag}_word", f"{flag}_bits"
     hash_ = F.xxhash64(*[F.col(k) for k in keys])
     word, bit = F.shiftrightunsigned(hash_, 64 - SIEVE), hash_.bitwiseAND(F.lit(63)).cast("int")
-    sieve = wanted.groupBy(word.alias("_word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(xxhash64(" + ", ".join(f"`{k}`" for k in keys) + ") & 63 AS int))")).alias("_bits"))
-    joined = df.join(F.broadcast(compacted(sieve, 200_000)), word == F.col("_word"), "left")
-    return joined.withColumn("_likely", F.coalesce(F.getbit("_bits", bit) == 1, F.lit(False))).drop("_word", "_bits")
+    sieve = wanted.groupBy(word.alias(names[0])).agg(F.bit_or(F.expr("shiftleft(1L, cast(xxhash64(" + ", ".join(f"`{k}`" for k in keys) + ") & 63 AS int))")).alias(names[1]))
+    joined = df.join(F.broadcast(compacted(sieve, 200_000)), word == F.col(names[0]), "left")
+    return joined.withColumn(flag, F.coalesce(F.getbit(names[1], bit) == 1, F.lit(False))).drop(*names)
 
 
 def parts(spark: SparkSession) -> int:
@@ -63,7 +64,8 @@ def kept(keep, *own: str) -> list[str]:
 
 
 def free_name(taken, name: str) -> str:
-    while name in taken:
+    """name, or with more before it, such that no name of taken begins with it."""
+    while any(c.startswith(name) for c in taken):
         name = f"_{name}"
     return name
 

@@ -352,10 +352,11 @@ def keep_one(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     names = {c: f"{own}_{c}" for c in ("doc_id", "h1", "h2")}
     keyed = docs.withColumns({names["h1"]: F.xxhash64("text"), names["h2"]: F.xxhash64(F.lit(1), "text"), names["doc_id"]: F.col("doc_id")})
     marked = decided.select(*[F.col(c).alias(n) for c, n in names.items()], F.col("head").alias(f"{own}_head"))
-    flagged = sifted(keyed, marked, names["doc_id"], names["h1"])
+    flag = f"{own}_likely"
+    flagged = sifted(keyed, marked, names["doc_id"], names["h1"], flag=flag)
     same = list(names.values())
-    sure = flagged.where("NOT _likely").select(*docs.columns)
-    likely = flagged.where("_likely").drop("_likely")
+    sure = flagged.where(~F.col(flag)).select(*docs.columns)
+    likely = flagged.where(F.col(flag)).drop(flag)
     other = likely.join(marked, same, "left_anti").select(*docs.columns)
     first = likely.join(marked.where(f"`{own}_head`"), same, "left_semi").dropDuplicates(same).select(*docs.columns)
     return sure.unionByName(other).unionByName(first)
