@@ -162,10 +162,10 @@ def form_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
     return E.form_distribution(hits(spark, sf_dir), R.TYPICAL_FORMS)
 
 
-@query(f"""WITH {VIEW_HITS}, first_ AS (SELECT adsh, arg_min(form, (file_date, form, event_id)) AS form FROM hits GROUP BY adsh)
-SELECT (SELECT count(*) FROM hits) AS raw_hits, (SELECT count(*) FROM hits WHERE form IN {in_list(R.TYPICAL_FORMS)}) AS raw_allowed, count(*) AS unique_hits FROM first_""")
+@query(f"""WITH {VIEW_HITS}, first_ AS (SELECT adsh, form FROM hits QUALIFY row_number() OVER (PARTITION BY adsh ORDER BY file_date, form NULLS FIRST) = 1)
+SELECT (SELECT count(*) FROM hits) AS raw_hits, (SELECT count(*) FROM hits WHERE form IN {in_list(R.TYPICAL_FORMS)}) AS raw_allowed, count(*) AS unique_hits, count(*) FILTER (form IN {in_list(R.TYPICAL_FORMS)}) AS unique_allowed FROM first_""")
 def hit_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return E.hit_totals(hits(spark, sf_dir), R.TYPICAL_FORMS).drop("unique_allowed")
+    return E.hit_totals(hits(spark, sf_dir), R.TYPICAL_FORMS)
 
 
 @query(f"""WITH {VIEW_HITS}, f AS (SELECT form, adsh, bool_or({EXHIBIT_SQL}) AS x, bool_or(NOT {EXHIBIT_SQL}) AS b FROM hits GROUP BY ALL), c AS (SELECT form, count(DISTINCT cik) AS n_ciks FROM rows_ GROUP BY form)
@@ -198,11 +198,10 @@ def candidate_type_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return O.tagged_union({"kept": kept.groupBy("file_type").agg(F.count("*").alias("n")), "dropped": dropped}, "part").drop("part_order")
 
 
-@query(f"""WITH {VIEW_HITS} SELECT adsh, arg_min(query, query) AS source, count(*) > 0 AS found FROM hits WHERE form IS NOT NULL GROUP BY adsh""")
+@query(f"""WITH {VIEW_HITS} SELECT adsh, min(query) AS source, arg_min(file_date, (query, file_date)) AS file_date FROM hits GROUP BY adsh""")
 def query_union(spark: SparkSession, sf_dir: str) -> DataFrame:
-    own = hits(spark, sf_dir).where("form IS NOT NULL")
-    found = C.query_union({q: own.where(F.col("query") == q) for q in ("phrase", "token")})
-    return found.select("adsh", "source", F.lit(True).alias("found"))
+    own = hits(spark, sf_dir)
+    return C.query_union({q: own.where(F.col("query") == q) for q in ("phrase", "token")}).select("adsh", "source", "file_date")
 
 
 @query(f"""WITH {VIEW_HITS} SELECT DISTINCT adsh, primary_doc FROM hits h WHERE form = '10-K' AND NOT EXISTS (SELECT 1 FROM hits o WHERE o.form IN ('8-K', 'S-1') AND o.adsh = h.adsh AND o.primary_doc IS NOT DISTINCT FROM h.primary_doc)""")
@@ -299,10 +298,10 @@ def top_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
     return O.top(table(spark, sf_dir, "events").groupBy("user_id").agg(O.n_distinct("event_type").alias("n_types"), F.count("*").alias("n")), 15, F.desc("n"), "user_id")
 
 
-@query("""SELECT lang, count(*) AS n, count(DISTINCT source) AS n_sources, arg_max(doc_id, (strlen(text), doc_id)) AS largest, mode(doc_id % 1) AS parity FROM documents GROUP BY lang""")
+@query("""SELECT lang, count(*) AS n, count(DISTINCT source) AS n_sources, arg_max(doc_id, (strlen(text), doc_id)) AS largest FROM documents GROUP BY lang""")
 def largest_document(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = table(spark, sf_dir, "documents").withColumn("size", F.octet_length("text"))
-    return d.groupBy("lang").agg(F.count("*").alias("n"), O.n_distinct("source").alias("n_sources"), F.max_by("doc_id", F.struct("size", "doc_id")).alias("largest"), F.mode(F.col("doc_id") % 1).alias("parity"))
+    return d.groupBy("lang").agg(F.count("*").alias("n"), O.n_distinct("source").alias("n_sources"), F.max_by("doc_id", F.struct("size", "doc_id")).alias("largest"))
 
 
 @query("""WITH a AS (SELECT c_custkey AS k, CASE WHEN c_custkey % 3 = 0 THEN '' ELSE c_mktsegment END AS s FROM customer), p AS (SELECT c_custkey AS k, lower(c_mktsegment) AS s FROM customer WHERE c_custkey % 2 = 0)
