@@ -142,7 +142,9 @@ def scan(docs: DataFrame, keep: list[str] | None = None) -> tuple[DataFrame, Dat
 
     Also the verified spans: doc_id, text_hash, label, template, first_word, last_word, votes, coverage.
     """
-    keep = kept(keep, "doc_id", "text_hash", "w", "skip", "grams", "n_words", "places", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
+    names = {c: f"_k{i}" for i, c in enumerate(kept(keep, "doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score"))}
+    docs = docs.select("doc_id", "text", *[F.col(f"`{c}`").alias(n) for c, n in names.items()])  # no clash with names in here
+    keep = list(names.values())
     own = templates(docs.sparkSession)
     may_hit = _sieve([r[0] for r in own.select("gram").collect()])  # constants of this module
     rows = docs.select("doc_id", *keep, F.xxhash64("text").alias("text_hash"), words("text").alias("w"))
@@ -178,7 +180,7 @@ def scan(docs: DataFrame, keep: list[str] | None = None) -> tuple[DataFrame, Dat
     base_set, own_set = F.coalesce("f_base_set", none), F.coalesce("f_own_set", none)
     joined = rows.drop("places", "skip").join(found, rows["doc_id"].eqNullSafe(found["f_doc_id"]) & (rows["text_hash"] == found["f_text_hash"]), "left")
     result = joined.select(
-        "doc_id", *keep, "n_words",
+        "doc_id", *[F.col(n).alias(c) for c, n in names.items()], "n_words",
         F.coalesce("f_n_base", F.lit(0)).cast("long").alias("n_base"),
         F.col("f_first_word").cast("long").alias("first_word"),
         F.col("f_last_word").cast("long").alias("last_word"),

@@ -597,7 +597,7 @@ def test_scores_are_those_of_the_kernel():
     assert np.allclose(model.scores(flags), centred @ solved + y.mean(0), atol=1e-3)
 
 
-CLASHES = ["size", "slot", "shard", "target", "taken", "_own", "_key", "_bin", "_h", "_text", "node", "label", "n_words", "labels", "kept", "item_id", "share", "c0", "key"]
+CLASHES = ["size", "slot", "shard", "target", "taken", "_own", "_key", "_bin", "_h", "_text", "node", "label", "n_words", "labels", "kept", "item_id", "share", "c0", "key", "places", "grams", "skip", "text_hash", "w"]
 
 
 def test_columns_of_clashing_names(spark, docs, rows):
