@@ -97,8 +97,10 @@ def packet(title: str, sections: dict[str, DataFrame | str], warning: str | None
     return "\n".join(out)
 
 
-# The sections of an evidence packet.
+# The sections of an evidence packet, the mark of one of them, and the lines of a manifest's end.
 PACKET_SECTIONS = ["Headline summary", "Existing pipeline signals", "TRA event timeline", "TRA exhibits", "XBRL TRA-liability series (from Company Concept API)", "Filing timeline", "Per-filing notes", "Open questions for the reviewer"]
+FALLBACK_MARK = " (FALLBACK TAG: standard us-gaap fallback used; verify against the actual filing)"
+FAILURES, ANOMALIES, RETRIES, ERRORS, NO_ERRORS = "## Failures", "## Anomalies", "- 5xx retries fired: ", "- 4xx errors:", "- 4xx errors: none"
 
 
 def evidence_packet(name: str, cik: str, headline: str, signals: dict[str, str | None], exhibits: DataFrame, series: DataFrame, filings: DataFrame) -> str:
@@ -118,16 +120,16 @@ def evidence_packet(name: str, cik: str, headline: str, signals: dict[str, str |
     bodies = [headline.strip() + "\n", "".join(f"- {k}: {v}\n" for k, v in signals.items()), blank_row, kept, values, listed, notes, "_To fill in._\n"]
     names = list(PACKET_SECTIONS)
     if not series.where("requires_verification").isEmpty():
-        names[4] += " (FALLBACK TAG: standard us-gaap fallback used; verify against the actual filing)"
+        names[4] += FALLBACK_MARK
     return packet(f"{name} (CIK {cik})", dict(zip(names, bodies, strict=True)))
 
 
 def closing_sections(failures: DataFrame, retries: int, errors: DataFrame) -> str:
     """The end of a manifest: entities that failed (cik, stage, error), if any, and anomalies: retries and errors of the client (error)."""
     lines = [f"- CIK {r[0]} stage={r[1]} {r[2]}" for r in bounded(failures.select("cik", "stage", "error").orderBy("cik", "stage"))]
-    failed = ["## Failures", *lines] if lines else []
+    failed = [FAILURES, *lines] if lines else []
     client = [f"  - {r[0]}" for r in bounded(errors.select("error").orderBy("error"))]
-    return "\n".join([*failed, "## Anomalies", f"- 5xx retries fired: {retries}", *(["- 4xx errors:", *client] if client else ["- 4xx errors: none"])]) + "\n"
+    return "\n".join([*failed, ANOMALIES, f"{RETRIES}{retries}", *([ERRORS, *client] if client else [NO_ERRORS])]) + "\n"
 
 
 def grouped_log(df: DataFrame, group: str, order: list[str], line: list[str]) -> DataFrame:
