@@ -3,6 +3,7 @@ with SQL that gives the same rows from the tables they were made of."""
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 from datetime import date
 
@@ -24,9 +25,13 @@ from .catalog import TYPICAL_SQL, VIEW_HITS, hits, in_list, query, table
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    """A new folder in the shared one that holds checkpoints, else in the warehouse."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.sql.warehouse.dir")
-    return f"{base.removeprefix('file:').rstrip('/')}/rounds/{name}-{uuid.uuid4().hex}"
+    """A new folder in the shared one that holds checkpoints, else in the warehouse; on one machine without
+    either, a temporary one."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not base:
+        base = tempfile.gettempdir() if spark.sparkContext.master.startswith("local") else spark.conf.get("spark.sql.warehouse.dir")
+    base = "/" + base.removeprefix("file:").strip("/") if base.startswith(("file:", "/")) else base.rstrip("/")
+    return f"{base}/rounds/{name}-{uuid.uuid4().hex}"
 
 
 def text(*parts):
