@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,14 +13,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """The folder named in spark.checkpoint.dir is used. Where none is set, a local session has one in
-    its warehouse; on a cluster that is an error, since no folder is known to be shared."""
+    """The folder named in spark.checkpoint.dir is used. Where none is set, a session on one machine has a
+    temporary one; on a cluster that is an error, since no folder is known to be shared."""
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         folder = context.getConf().get("spark.checkpoint.dir")
         if not folder and not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors see")
-        context.setCheckpointDir(folder or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/checkpoints")
+        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="checkpoints"))
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
