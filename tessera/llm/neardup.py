@@ -49,6 +49,8 @@ MAX_ROUNDS = 60
 FEW_LINKS = 1_000_000
 #: Most texts that a rare token has; such a token gives RARE * (RARE - 1) / 2 pairs at most.
 RARE = 16
+#: Members of the largest component of a bucket that the others are first compared with, and by how many times they grow.
+PIVOTS, STEP = 16, 64
 _DOC_BITS = 12
 _ID = T.U((1 << (64 - _DOC_BITS)) - 1)
 _BLOCK_ROWS = 1 << _DOC_BITS
@@ -269,6 +271,13 @@ def _settle(stars: DataFrame, bags: DataFrame, links: DataFrame, n: int, similar
     compared: each such token gives few pairs. Other pairs overlap in common tokens alone, and
     are compared only where each has enough of them; that rules out texts made from one by many
     edits, and those with much of their own around one passage.
+
+    What is left of a bucket is compared in rounds: those outside its largest component with
+    PIVOTS members of that one, then with STEP times as many, and so on. A text with many links
+    is inside after a round or two. Once the next would be all, or the rest is no more than the
+    buckets had members, all pairs across components that are left are compared, whatever their
+    number: it grows with the square of a bucket only where its texts stay in different components
+    and the bounds rule out none of their pairs.
     """
     label = components(links, n, few_links)
     members = _labelled(stars, label)
@@ -297,24 +306,43 @@ def _settle(stars: DataFrame, bags: DataFrame, links: DataFrame, n: int, similar
 
     share = F.struct(F.col("shared") / size, "node", "size", "shared", "common")
     lead = compacted(members.groupBy("key").agg(F.max(share).alias("x")).select("key", "x.node", "x.size", "x.shared", "x.common"), 200_000)
-    for kind in ("leader", "rare", "common"):
-        with_label = lambda df: df.join(label, "node", "left").withColumn("l", F.coalesce("label", "node")).drop("label")  # noqa: B023, E731
-        now = with_label(members)
-        if kind == "leader":
-            pairs = now.join(other(with_label(lead), "key"), "key").where(may_link("shared"))
-        elif kind == "rare":
-            own = rare.where("n > 1").drop("n").join(with_label(info), "node")
-            pairs = own.join(other(own, "token"), "token").where((F.col("node") < F.col("node_x")) & may_link("shared"))
-        else:
-            outside = now.join(with_label(lead).select("key", F.col("l").alias("lead_l")), "key").where("l <> lead_l").drop("lead_l")
-            enough = outside.where(F.col("common") >= similarity * size - 1e-6)
-            pairs = now.join(other(compacted(enough), "key"), "key").where(may_link("common"))
+    with_label = lambda df: df.join(label, "node", "left").withColumn("l", F.coalesce("label", "node")).drop("label")
+
+    def compare(pairs: DataFrame) -> None:
+        nonlocal links, n, label
         pairs = pairs.select(F.least("node", "node_x").alias("a"), F.greatest("node", "node_x").alias("b")).distinct()
         more, n_more = _verify(pairs, bags, similarity)
         if n_more:
             links, n = links.unionByName(more), n + n_more
             label = components(links, n, few_links)
-    return links, label
+
+    compare(with_label(members).join(other(with_label(lead), "key"), "key").where(may_link("shared")))
+    own = rare.where("n > 1").drop("n").join(with_label(info), "node")
+    with_rare = own.join(other(own, "token"), "token").where((F.col("node") < F.col("node_x")) & may_link("shared")).select("node", "node_x")
+    members, pivots = members.where(F.col("common") >= similarity * size - 1e-6).drop("shared"), PIVOTS
+    while True:
+        now = with_label(members)
+        parts = now.groupBy("key", "l").agg(F.count("*").alias("n"))
+        main = parts.groupBy("key").agg(F.max(F.struct("n", "l")).alias("x"), F.sum("n").alias("all")).where("all > x.n")
+        main = compacted(main.select("key", F.col("x.l").alias("main"), F.col("x.n").alias("inside"), "all"), 200_000)
+        most, rest = main.agg(F.max("inside"), F.sum(F.col("all").cast("double") * (F.col("all") - F.col("inside")))).first()
+        last = most is None or most <= pivots or rest <= left
+        now = now.join(main.select("key", "main"), "key")
+        outside = now.where("l <> main").drop("main")
+        if last:
+            every = now.withColumn("first", F.col("l") == F.col("main")).drop("main")
+            once = F.col("first_x") | (F.col("node") < F.col("node_x"))
+            pairs = outside.join(other(every, "key"), "key").where(may_link("common") & once)
+        else:
+            # the best of each cell: no task gathers a bucket
+            cell = F.pmod(F.xxhash64("node", F.lit(pivots)), F.lit(pivots))
+            best = now.where("l = main").groupBy("key", cell.alias("cell")).agg(F.max(F.struct(F.col("common") / size, "node", "size", "common", "l")).alias("x"))
+            pairs = outside.join(other(best.select("key", "x.node", "x.size", "x.common", "x.l"), "key"), "key").where(may_link("common"))
+        pairs = pairs.select("node", "node_x")
+        compare(pairs if with_rare is None else pairs.unionByName(with_rare))
+        if last:
+            return links, label
+        with_rare, pivots = None, pivots * STEP
 
 
 def _labelled(stars: DataFrame, label: DataFrame) -> DataFrame:

@@ -178,6 +178,28 @@ def test_group_of_many_edits(spark, few):
     assert {x["doc_id"]: x["class_id"] for x in neardup.members(own, few=few).collect()} == brute_classes(data)
 
 
+def test_a_large_group_is_not_compared_with_all_texts_outside(spark, monkeypatch):
+    """One bucket: a group around its centre, texts that only others of the group link to it, one text with one link."""
+    r, inside, outside = random.Random(6), 200, 40
+    # the marks of 90 places of five tokens; place 20 is each text's own, and the centre has none
+    texts = [{}] + [{20: i + 10, **dict.fromkeys(r.sample(range(20), 5 if i < inside else 10), 1)} for i in range(inside + outside)]
+    texts.append(texts[1] | {20: 900} | dict.fromkeys(range(30, 39), 900))
+    apart = lambda a, b: sum(texts[a].get(k, 0) != texts[b].get(k, 0) for k in range(90))
+    linked = [(a, b) for a in range(len(texts)) for b in range(a) if apart(a, b) <= 10]
+    assert [b for a, b in linked if a == len(texts) - 1] == [1]
+    assert not any(b == 0 and a > inside for a, b in linked) and all(b == 0 or a > inside or apart(a, b) <= 11 for a, b in linked)
+    bags = spark.createDataFrame([(i, [(k * 1000 + m.get(k, 0)) * 5 + j for k in range(90) if m or k != 20 for j in range(5)]) for i, m in enumerate(texts)], "node long, bag array<long>")
+    stars = spark.createDataFrame([(7, 0, i) for i in range(1, len(texts))], "key long, a long, b long")
+    compared, verify = [], neardup._verify
+    monkeypatch.setattr(neardup, "_verify", lambda pairs, *more: compared.append(pairs.count()) or verify(pairs, *more))
+    none = spark.createDataFrame([], "a long, b long, similarity double")
+    found, label = neardup._settle(stars, bags, none, 0, neardup.SIMILARITY, neardup.FEW_LINKS)
+    assert {x["label"] for x in label.collect()} == {0} and label.count() == len(texts)  # all are linked up
+    assert {(max(x.a, x.b), min(x.a, x.b)) for x in found.collect()} <= set(linked)
+    # the leader, 16 of the group for each text outside, and all of it for the last text: every text outside took all of it before
+    assert sum(compared) < 5 * len(texts) + neardup.PIVOTS * (outside + 1) < outside * inside / 3
+
+
 def test_signatures_estimate_weighted_jaccard():
     import numpy as np
 
