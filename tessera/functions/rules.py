@@ -91,9 +91,9 @@ BODY_FORMS = ["10-K", "10-K/A", "10-Q", "10-Q/A", "8-K", "8-K/A", "20-F", "40-F"
 EXHIBIT_FORMS = ["8-K", "8-K/A", "S-1", "S-1/A", "S-4", "S-4/A", "DRS", "DRS/A", "10-K", "10-Q"]
 
 
-def any_word(patterns) -> str:
+def any_word(patterns, flags: str = "iU") -> str:
     """One pattern for whole words of any of the patterns."""
-    return r"(?iU)\b(?:" + "|".join(patterns) + r")\b"
+    return rf"(?{flags})\b(?:" + "|".join(patterns) + r")\b"
 
 
 def typical_form(form, forms=TYPICAL_FORMS, prefix: str = "424B") -> Column:
@@ -110,10 +110,13 @@ def exhibit_type(kind, pattern: str = EXHIBIT_TYPE) -> Column:
 
 
 def keep_or_drop(text, title, size, extension, phrase: str = TITLE_PHRASE, terms=TERMS, others=OTHER_INSTRUMENTS) -> Column:
-    """Seven rules, the first that holds decides. Struct of decision, reason and the signals."""
+    """Seven rules, the first that holds decides. Struct of decision, reason and the signals.
+
+    others: patterns of words, or one pattern for all of them as it is.
+    """
     n = X.n_patterns(text, terms)
     said, titled = X.matches(text, phrase), X.matches(title, phrase)
-    other = X.matches(title, any_word(others)) & ~titled
+    other = X.matches(title, others if isinstance(others, str) else any_word(others)) & ~titled
     unread = F.lower(col(extension)) == ".pdf"
     size = col(size)
     number = size.cast("string")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import html
+import re
 
 import pandas as pd
 from pyspark.sql import Column
@@ -16,6 +17,15 @@ def spaced(c) -> Column:
     return F.translate(col(c), " ", " ")
 
 
+def as_re2(pattern: str) -> str:
+    """A pattern with the word boundaries and white space that RE2 knows: those of ASCII, with form feed but without
+    vertical tab. Java's own boundaries are of Unicode before JDK 19. Inside brackets, only white space is allowed. A boundary beside a letter
+    of the pattern needs one look only."""
+    pattern = re.sub(r"\\b(?=[A-Za-z0-9](?![?*{]))", r"(?<!\\w)", pattern)
+    pattern = re.sub(r"(?<!\\)([A-Za-z0-9])\\b", r"\1(?!\\w)", pattern)
+    return pattern.replace(r"\b", r"(?:(?<=\w)(?!\w)|(?<!\w)(?=\w))").replace(r"\s", r"[ \t\n\f\r]")
+
+
 def first_group(c, pattern: str, group: int = 1) -> Column:
     """A group of the first match; null, not blank, if there is none."""
     return F.nullif(F.regexp_extract(col(c), pattern, group), F.lit(""))

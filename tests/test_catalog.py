@@ -65,3 +65,22 @@ def test_filters_and_columns_reach_the_scan(spark, name):
     if name == "range_semi_anti":
         assert "PushedFilters: [IsNotNull(o_orderdate)" in plan or "GreaterThanOrEqual(o_orderdate" in plan
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
+def same_as_sql(spark, tmp_path, name, **tables):
+    """The query and its SQL over tables given as SQL."""
+    duck = duckdb.connect()
+    for t, sql in tables.items():
+        duck.execute(f"COPY ({sql}) TO '{tmp_path}/{t}.parquet' (FORMAT parquet)")
+        duck.execute(f"CREATE VIEW {t} AS FROM '{tmp_path}/{t}.parquet'")
+    got, want = catalog.QUERIES[name](spark, str(tmp_path)), duck.execute(catalog.ORACLES[name])
+    names = [x[0] for x in want.description]
+    got, want = rows(got.columns, [tuple(r) for r in got.collect()]), rows(names, want.fetchall())
+    assert got == want
+    return got
+
+
+@pytest.mark.parametrize("name", ["doc_rules", "mention_counts"])
+def test_words_beside_letters_beyond_ascii(spark, tmp_path, name):
+    texts = ["Zu und dasßbeö und", "éof the", "of theé", "das", "dasx", "the thé", "éthe th", "the\x0bthx", "of\x0bthe", "oder-das", "das_", "1das", "ofé! license", "", None]
+    same_as_sql(spark, tmp_path, name, documents="SELECT * FROM (VALUES " + ", ".join(f"({i + 1}::BIGINT, {'NULL' if t is None else chr(39) + t + chr(39)})" for i, t in enumerate(texts)) + ") AS d (doc_id, text)")
