@@ -87,9 +87,11 @@ class TokenBucket:
 
 
 def fresh(log: DataFrame, now: str, max_age_s: int) -> DataFrame:
-    """Keys of a fetch log (key, fetched_at) that need no new fetch at a given time."""
-    age = F.unix_timestamp(F.lit(now).cast("timestamp")) - F.unix_timestamp(F.col("fetched_at").cast("timestamp"))
-    return log.where(age.between(0, max_age_s)).select("key").distinct()
+    """Keys of a fetch log (key, fetched_at) that need no new fetch at a given time. Ages are in whole seconds; what was
+    fetched after that time, be it by less than a second, does not count."""
+    now, at = F.lit(now).cast("timestamp"), F.col("fetched_at").cast("timestamp")
+    age = F.unix_timestamp(now) - F.unix_timestamp(at)
+    return log.where((at <= now) & (age <= max_age_s)).select("key").distinct()
 
 
 def guarded(results: DataFrame, key: str, stage: str, error: str = "error") -> tuple[DataFrame, DataFrame]:

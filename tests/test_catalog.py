@@ -84,3 +84,10 @@ def same_as_sql(spark, tmp_path, name, **tables):
 def test_words_beside_letters_beyond_ascii(spark, tmp_path, name):
     texts = ["Zu und dasßbeö und", "éof the", "of theé", "das", "dasx", "the thé", "éthe th", "the\x0bthx", "of\x0bthe", "oder-das", "das_", "1das", "ofé! license", "", None]
     same_as_sql(spark, tmp_path, name, documents="SELECT * FROM (VALUES " + ", ".join(f"({i + 1}::BIGINT, {'NULL' if t is None else chr(39) + t + chr(39)})" for i, t in enumerate(texts)) + ") AS d (doc_id, text)")
+
+
+def test_fetches_within_a_second_of_the_bounds(spark, tmp_path):
+    times = ["2024-01-10 00:00:00", "2024-01-10 00:00:00.000001", "2024-01-10 00:00:00.999999", "2024-01-09 23:59:59.5", "2024-01-09 00:00:00", "2024-01-08 23:59:59.999999", "2024-01-09 00:00:00.5"]
+    values = ", ".join(f"({i}::BIGINT, {10 + i}::BIGINT, TIMESTAMP '{t}', 'view')" for i, t in enumerate(times))
+    got = same_as_sql(spark, tmp_path, "fetch_log", events=f"SELECT * FROM (VALUES {values}) AS e (event_id, user_id, ts, event_type)")
+    assert [r[0] for r in got if "fresh" in r] == ["10", "13", "14", "16"]
