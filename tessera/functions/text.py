@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import html
 import re
+from html.entities import html5
 
 import pandas as pd
 from pyspark.sql import Column
@@ -101,6 +102,14 @@ def by_record(f, kind: str):
 unescaped = by_value(lambda x: None if x is None else html.unescape(x), "string")
 
 
+def closed_references(text: str) -> str:
+    """Character references that end with a semicolon decoded; one that is cut short stays."""
+    return re.sub(r"&(?:#[0-9]+|#[xX][0-9a-fA-F]+|([A-Za-z][A-Za-z0-9]*));", lambda m: m[0] if m[1] and m[1] + ";" not in html5 else html.unescape(m[0]), text)
+
+
+unescaped_if_closed = by_value(lambda x: None if x is None else closed_references(x), "string")
+
+
 def percent(part, whole, digits: int = 1) -> Column:
     """A share as text; blank without a whole."""
     return F.when(col(whole) != 0, F.concat(F.format_number(100.0 * col(part) / col(whole), digits), F.lit("%"))).otherwise("")
@@ -115,11 +124,11 @@ def without_scripts(c) -> Column:
     return F.regexp_replace(col(c), r"(?is)<(script|style)[^>]*>.*?</\1>", " ")
 
 
-def lines_of_html(c) -> Column:
+def lines_of_html(c, decoded=unescaped) -> Column:
     """Text of a page with a line for each block: scripts go, block tags become line ends, other
-    tags spaces; references are decoded after that, so a decoded "<" stays."""
+    tags spaces; references are decoded after that, so a decoded "<" stays. decoded: how."""
     c = F.regexp_replace(without_scripts(c), r"(?i)</?(p|div|tr|h[1-6]|li|br|table)[^>]*>", "\n")
-    c = unescaped(F.regexp_replace(c, r"(?s)<[^>]+>", " "))
+    c = decoded(F.regexp_replace(c, r"(?s)<[^>]+>", " "))
     c = F.regexp_replace(F.regexp_replace(c, r"[ \t]+", " "), r"\n{3,}", "\n\n")
     return F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
 

@@ -91,3 +91,9 @@ def test_fetches_within_a_second_of_the_bounds(spark, tmp_path):
     values = ", ".join(f"({i}::BIGINT, {10 + i}::BIGINT, TIMESTAMP '{t}', 'view')" for i, t in enumerate(times))
     got = same_as_sql(spark, tmp_path, "fetch_log", events=f"SELECT * FROM (VALUES {values}) AS e (event_id, user_id, ts, event_type)")
     assert [r[0] for r in got if "fresh" in r] == ["10", "13", "14", "16"]
+
+
+def test_references_cut_short(spark, tmp_path):
+    pages = ["<p>a &amp;&amp&am <b>x</b> &amp;lt; &amp;amp; &lt;b&gt; &quot; &copy; &middot;", "<p>&ampx; &notit; &copy2 &; &#; &lt", "", None]
+    got = same_as_sql(spark, tmp_path, "html_lines", pages="SELECT * FROM (VALUES " + ", ".join(f"({i}::BIGINT, {'NULL' if p is None else chr(39) + p + chr(39)})" for i, p in enumerate(pages)) + ") AS p (page_id, html)")
+    assert got[0] == ("0", 'a &&amp&am x &lt; &amp; <b> " © ·')
