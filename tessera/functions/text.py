@@ -46,16 +46,24 @@ def n_patterns(c, patterns) -> Column:
     return sum((matches(c, p).cast("long") for p in patterns), F.lit(0).cast("long"))
 
 
+#: Spaces of any kind (Unicode's Zs), for the ends of a text.
+SPACES = " \u00a0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u202f\u205f\u3000"
+
+
 def words(c) -> Column:
-    """Words between white space; empty for a blank text."""
-    return F.filter(F.split(F.trim(col(c)), r"\s+"), lambda x: x != "")
+    """Words between white space; empty for a blank text. Spaces of any kind at the ends go."""
+    return F.filter(F.split(F.btrim(col(c), F.lit(SPACES)), r"\s+"), lambda x: x != "")
+
+
+def n_capital(c) -> Column:
+    """How many words begin with a capital; null for null."""
+    return F.size(F.filter(words(c), lambda x: x.rlike(r"^\p{Lu}")))
 
 
 def capital_share(c) -> Column:
     """Share of words that begin with a capital; null without words."""
     own = words(c)
-    capital = F.filter(own, lambda x: x.rlike(r"^\p{Lu}"))
-    return F.when(F.size(own) > 0, F.size(capital) / F.size(own))
+    return F.when(F.size(own) > 0, n_capital(c) / F.size(own))
 
 
 def all_capitals(c) -> Column:

@@ -97,3 +97,9 @@ def test_references_cut_short(spark, tmp_path):
     pages = ["<p>a &amp;&amp&am <b>x</b> &amp;lt; &amp;amp; &lt;b&gt; &quot; &copy; &middot;", "<p>&ampx; &notit; &copy2 &; &#; &lt", "", None]
     got = same_as_sql(spark, tmp_path, "html_lines", pages="SELECT * FROM (VALUES " + ", ".join(f"({i}::BIGINT, {'NULL' if p is None else chr(39) + p + chr(39)})" for i, p in enumerate(pages)) + ") AS p (page_id, html)")
     assert got[0] == ("0", 'a &&amp&am x &lt; &amp; <b> " © ·')
+
+
+def test_words_of_blank_texts(spark, tmp_path):
+    codes = [[], [32, 32], [10], [160], [160, 65, 98, 32, 160], [0x3000, 0xC9, 32, 0x2009, 66], [9, 160, 65], [65, 11, 66, 12, 99], None]
+    values = ", ".join(f"({i}::BIGINT, {'NULL' if c is None else ' || '.join(['chr(' + str(x) + ')' for x in c]) or chr(39) * 2})" for i, c in enumerate(codes))
+    assert len(same_as_sql(spark, tmp_path, "text_functions", documents=f"SELECT * FROM (VALUES {values}) AS d (doc_id, text)")) == len(codes)
