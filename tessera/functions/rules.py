@@ -53,7 +53,7 @@ OTHER_INSTRUMENTS = [
 ]
 CONTRACT_SHAPE = r"(?isU)\b(?:WHEREAS|NOW,?\s+THEREFORE|IN\s+WITNESS\s+WHEREOF|ARTICLE\s+[IVX]+|Section\s+1\.0?1)\b"
 CONTRACT_TITLE = r"(?isU)\b(?:(?:income\s+)?tax\s+receivables?\s+agreements?\b|tra\s+waiver(?:\s+and\s+assignment)?|tra\s+amendment|waiver\s+and\s+assignment\s+agreement.{0,80}tax\s+receivable)"
-EXCLUDED_TITLE = r"(?isU)\b(?:credit\s+agreement|loan\s+agreement|indenture|guarantee\s+(?:agreement|and\s+collateral)|security\s+agreement|registration\s+rights\s+agreement|stockholders?\s+agreement|amended\s+and\s+restated\s+credit|.*amendment\s+to\s+(?:the\s+)?credit\s+agreement)"
+EXCLUDED_TITLE = r"(?isU)\b(?:credit\s+agreement|loan\s+agreement|indenture|guarantee\s+(?:agreement|and\s+collateral)|security\s+agreement|registration\s+rights\s+agreement|stockholders?\s+agreement|amended\s+and\s+restated\s+credit)|amendment\s+to\s+(?:the\s+)?credit\s+agreement"
 MAIN_FORMS = r"FORM\s+10-K\b|FORM\s+10-Q\b|FORM\s+8-K\b|FORM\s+DEF\s*14A\b"
 PROSPECTUS = r"FORM\s+S-1\b|REGISTRATION STATEMENT|PROSPECTUS"
 EXHIBIT_MARK = r"EXHIBIT|EX-\d|EX\d"
