@@ -309,3 +309,26 @@ def test_fields_of_a_firm_are_evaluated_once(spark):
     """Written out in all that is made of them, the patterns of a firm's fields made a plan too large to be compiled."""
     plan = M.firm_summary(frame(spark, "x").select(F.lit("a_1").alias("directory"), "text"))._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("in_force|") <= 4 and plan.count("338h10") <= 4  # 204 and 74 copies
+
+
+def test_plain_front_matter_is_what_the_loader_makes_of_it():
+    import yaml
+
+    values = ["", " ", " Order 12", " yes", " No", " null", " 2001-02-03", " 2001-02-30", " [N, O]", " [no, O]", " [a b, c-d]", " a: b", " a #c", " - x", " 12", " 1e3", " .5", " [a,b]", " [a, ]", " []", " 'q'", " a.b/c-d ", "  two", "x", " ~", " é", " true x", "\ty", " a -", " On"]
+    n = 0
+    for key in ("title", "yes", "tax-asset-type", "a b"):
+        for v in values:
+            block = f"k: first\n{key}:{v}\nk: Last one"
+            own = M._plain_yaml(block)
+            if own is not None:
+                n += 1
+                want = yaml.safe_load(block)
+                assert {k: x if isinstance(x, list) or x is None else str(x) for k, x in want.items()} == own, block
+    assert n >= 16
+
+
+def test_front_matter_is_parsed_once_a_file(spark):
+    files = frame(spark, "---\ntitle: A\n---\n## TRA Timeline\n- 2001-01-02: a\n- 2003-01-02: b\n- 2002-01-02: c\n", "---\ntitle: B\n---\nx").select(F.concat(F.lit("f_1/"), F.col("id").cast("string"), F.lit("_summary.qmd")).alias("path"), "text")
+    table = M.agreements_and_events(files)[0]
+    assert sorted((r["title"], r["last_event_date"]) for r in table.collect()) == [("A", "2003-01-02"), ("B", "")]
+    assert table._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
