@@ -7,8 +7,11 @@ import re
 from html.entities import html5
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import DataType
 
 from .ids import col
 
@@ -92,6 +95,21 @@ def by_value(f, kind: str):
     return applied
 
 
+def by_text(f, kind: str):
+    """Like by_value, for long texts: only one text of an Arrow batch at a time is a Python string."""
+
+    def applied(c) -> Column:
+        to = to_arrow_type(DataType.fromDDL(kind))
+
+        @F.arrow_udf(kind)
+        def run(values: pa.Array) -> pa.Array:
+            return pa.array((f(x.as_py()) for x in values), to)
+
+        return run(col(c))
+
+    return applied
+
+
 def by_record(f, kind: str):
     """Like by_value, for an f that gives a dict of the fields of a struct. It is declared not to be
     deterministic, so that no use of a field, above all in a filter, has f applied once more."""
@@ -132,12 +150,26 @@ def without_scripts(c) -> Column:
     return F.regexp_replace(col(c), r"(?is)<(script|style)[^>]*>.*?</\1>", " ")
 
 
+def without_tags(c) -> Column:
+    """The first half of lines_of_html: scripts and tags go, references are as they were."""
+    c = F.regexp_replace(without_scripts(c), r"(?i)</?(p|div|tr|h[1-6]|li|br|table)[^>]*>", "\n")
+    return F.regexp_replace(c, r"(?s)<[^>]+>", " ")
+
+
+#: White space of Unicode, as Java's patterns have it.
+WHITE = SPACES + "\t\n\x0b\x0c\r\x85\u2028\u2029"
+
+
+def lines_of_rest(text: str) -> str:
+    """The second half of lines_of_html, in Python."""
+    text = re.sub(r"[ \t]+", " ", html.unescape(text))
+    return re.sub(r"\n{3,}", "\n\n", text).strip(WHITE)
+
+
 def lines_of_html(c, decoded=unescaped) -> Column:
     """Text of a page with a line for each block: scripts go, block tags become line ends, other
     tags spaces; references are decoded after that, so a decoded "<" stays. decoded: how."""
-    c = F.regexp_replace(without_scripts(c), r"(?i)</?(p|div|tr|h[1-6]|li|br|table)[^>]*>", "\n")
-    c = decoded(F.regexp_replace(c, r"(?s)<[^>]+>", " "))
-    c = F.regexp_replace(F.regexp_replace(c, r"[ \t]+", " "), r"\n{3,}", "\n\n")
+    c = F.regexp_replace(F.regexp_replace(decoded(without_tags(c)), r"[ \t]+", " "), r"\n{3,}", "\n\n")
     return F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
 
 

@@ -332,3 +332,15 @@ def test_front_matter_is_parsed_once_a_file(spark):
     table = M.agreements_and_events(files)[0]
     assert sorted((r["title"], r["last_event_date"]) for r in table.collect()) == [("A", "2003-01-02"), ("B", "")]
     assert table._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
+
+
+def test_mentions_take_one_pass_of_python(spark):
+    pages = [f"<p>&nbsp;\x1f a  \t b</p><p></p><br><br>\n &amp;{NAME}&#8232;", f"　\x85 {NAME} ", "x\r\n \x1c", "", None]
+    df = frame(spark, *pages)
+    found = M.mentions(df, "text", ["id"])
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("EvalPython") == 1
+    want = df.select("id", F.explode(M.mention_windows(X.lines_of_html("text"))).alias("m")).select("id", "m.*")
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, want.collect())) and want.count() == 2
+    lines = [r[0] for r in df.select("id", X.without_tags("text").alias("rest"), X.lines_of_html("text").alias("t")).orderBy("id").select(F.struct("rest", "t")).collect()]
+    assert [x["t"] for x in lines] == [None if x["rest"] is None else X.lines_of_rest(x["rest"]) for x in lines]
